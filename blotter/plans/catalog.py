@@ -22,6 +22,7 @@ from ..sources import derived
 from ..sources.files import csv_to_parquet, read_csv, read_parquet, write_csv
 from ..sources.schemas import INCIDENTS_RAW
 from ..sources.typed import typed_incidents
+from ..streaming import convert_available
 from . import q1, q2, q3, q4
 from .incidents import merged_incidents, merged_incidents_from_csv
 
@@ -46,6 +47,15 @@ def csv_to_parquet_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, out[src])
 
 
+def csv_to_parquet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both extracts land as CSV folders; one available-now stream converts them."""
+    base = shared_dir(spark, "landing")
+    for part in ("a", "b"):
+        write_csv(derived.incidents_raw(spark, sf_dir, part), f"{base}/in/incidents_{part}.csv")
+    return convert_available(spark, f"{base}/in/*.csv", f"{base}/parquet", INCIDENTS_RAW,
+                             checkpoint=f"{base}/checkpoint")
+
+
 def timestamp_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _incidents(spark, sf_dir).select("dr_no", "date_occ")
 
@@ -93,7 +103,7 @@ def reduce_by_key_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rank_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_shipdate")
+    li = derived.table(spark, sf_dir, "lineitem", "l_shipdate")
     return q1.top_months(li, date_col="l_shipdate")
 
 
@@ -187,6 +197,7 @@ def _q4(strategy: str = "auto", filtered: bool = True, udf: bool = False, rows:
 QUERIES: dict[str, Query] = {
     "csv_scan_typed": csv_scan_typed,
     "csv_to_parquet": csv_to_parquet_query,
+    "csv_to_parquet_stream": csv_to_parquet_stream,
     "timestamp_parse": timestamp_parse,
     "money_parse": money_parse,
     "filter_equals": filter_equals,

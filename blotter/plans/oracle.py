@@ -233,6 +233,9 @@ def _all() -> dict[str, str]:
     q: dict[str, str] = {}
     q["csv_scan_typed"] = with_views(["incidents"], "SELECT * FROM incidents")
     q["csv_to_parquet"] = with_views(["incidents_raw"], "SELECT * FROM incidents_raw")
+    q["csv_to_parquet_stream"] = with_views(
+        ["incidents_a_raw", "incidents_b_raw"],
+        "SELECT * FROM incidents_a_raw UNION ALL SELECT * FROM incidents_b_raw")
     q["timestamp_parse"] = with_views(["incidents"], "SELECT dr_no, date_occ FROM incidents")
     q["money_parse"] = with_views(["households"], "SELECT household_id, median_income FROM households")
     q["filter_equals"] = with_views(

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
+from .files import spread_thin_scan
 from .typed import (typed_households, typed_incidents, typed_income, typed_revgeo,
                     typed_stations)
 
@@ -30,8 +31,38 @@ REVGEO_SIZE = 600
 UNKNOWN_COORD_TEXT = "0"
 
 
+# Fact-like tables whose rows grow with the data; dimensions are read as is.
+FACT_TABLES = ("orders", "customer", "lineitem")
+
+# The driver tables are immutable inputs: their resolved scan (schema from
+# the Parquet footers, split count) is looked up once per session and path,
+# instead of re-running the footer job on every read. ``forget()`` drops it.
+_BASE: dict[tuple[int, str], tuple[DataFrame, int]] = {}
+
+
+def forget() -> None:
+    _BASE.clear()
+
+
+def _base(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    key = (id(spark), path)
+    hit = _BASE.get(key)
+    if hit is None or hit[0].sparkSession is not spark:
+        df = spark.read.parquet(path)
+        hit = (df, df.rdd.getNumPartitions())
+        _BASE[key] = hit
+    return hit
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*cols)
+    df, splits = _base(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = df.select(*cols)
+    return spread_thin_scan(df, splits) if name in FACT_TABLES else df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """A driver table with only ``cols`` read."""
+    return _table(spark, sf_dir, name, *cols)
 
 
 def milli_text(v: Column) -> Column:

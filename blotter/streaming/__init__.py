@@ -1,0 +1,6 @@
+"""Structured Streaming routes. The questions are batch; only the file
+conversion has a streaming form (incremental, exactly-once, restartable)."""
+
+from .ingest import convert_available, start_conversion
+
+__all__ = ["convert_available", "start_conversion"]
