@@ -32,11 +32,13 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 def has_at_most(df: DataFrame, n: int) -> bool:
     """True when ``df`` has at most ``n`` rows.
 
-    Runs ``limit(n + 1).count()``: each task stops after n + 1 rows, so
-    the check costs O(n) per partition whatever the table's size, and
-    nothing but one number reaches the driver.
+    A plain distributed ``count()``: every task counts its own rows and only
+    one number per task is shuffled, so the check costs one scan of the
+    (candidate build) side and never funnels rows into a single task, as a
+    ``limit(n + 1)`` would (its global limit gathers up to n + 1 rows from
+    every task in one partition).
     """
-    return df.limit(n + 1).count() <= n
+    return df.count() <= n
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame | None:
