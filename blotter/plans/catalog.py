@@ -226,6 +226,9 @@ QUERIES: dict[str, Query] = {
     "q3_income_top_broadcast": _q3(q3.descent_richest, "broadcast"),
     "q3_income_top_merge": _q3(q3.descent_richest, "merge"),
     "q3_income_top_shuffle_hash": _q3(q3.descent_richest, "shuffle_hash"),
+    "q3_income_bottom_broadcast": _q3(q3.descent_poorest, "broadcast"),
+    "q3_income_bottom_merge": _q3(q3.descent_poorest, "merge"),
+    "q3_income_bottom_shuffle_hash": _q3(q3.descent_poorest, "shuffle_hash"),
     "q3_income_extremes": _q3(q3.descent_extremes, "auto"),
     "q4_distance_rows": _q4(rows=True),
     "q4_station_distance": _q4(),

@@ -286,6 +286,7 @@ SELECT a.dr_no, a.weapon_cd FROM incidents_a a JOIN incidents_b b
     q["q3_income_bottom"] = _q3("ASC")
     for s in ("broadcast", "merge", "shuffle_hash"):
         q[f"q3_income_top_{s}"] = _q3("DESC")
+        q[f"q3_income_bottom_{s}"] = _q3("ASC")
     q["q3_income_extremes"] = _q3_both()
     q["q4_distance_rows"] = _q4_rows()
     q["q4_station_distance"] = _q4(True)

@@ -59,6 +59,8 @@ def test_fixture_counts(spark):
 
 @pytest.mark.parametrize("group", [
     ["q3_income_top", "q3_income_top_broadcast", "q3_income_top_merge", "q3_income_top_shuffle_hash"],
+    ["q3_income_bottom", "q3_income_bottom_broadcast", "q3_income_bottom_merge",
+     "q3_income_bottom_shuffle_hash"],
     ["q4_station_distance", "q4_station_distance_broadcast", "q4_station_distance_repartition",
      "q4_station_distance_udf"],
     ["q1_top_months_df_parquet", "q1_top_months_df_csv", "q1_top_months_sql_parquet",
