@@ -137,10 +137,15 @@ def join_using(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of extract A also present in extract B, null weapon codes matching.
+
+    A left-semi join: each A row is kept once if any B row matches, so a key
+    repeated on both sides never multiplies into all pairs.
+    """
     a = derived.incidents(spark, sf_dir, "a").select("dr_no", "weapon_cd")
     b = derived.incidents(spark, sf_dir, "b").select("dr_no", "weapon_cd")
     cond = null_safe_condition(a, b, [("dr_no", "dr_no"), ("weapon_cd", "weapon_cd")])
-    return a.join(b, cond, "inner").select(a["dr_no"], a["weapon_cd"])
+    return a.join(b, cond, "left_semi")
 
 
 # --- Q1 ------------------------------------------------------------------

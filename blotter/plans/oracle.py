@@ -275,8 +275,9 @@ SELECT i.dr_no, g.zip FROM incidents i JOIN revgeo g ON i.lat = g.lat AND i.lon
               FROM incidents i JOIN revgeo g ON i.lat = g.lat AND i.lon = g.lon GROUP BY g.zip)
 SELECT zip, community, "count" FROM per_zip JOIN income USING (zip)""")
     q["join_null_safe"] = with_views(["incidents_a", "incidents_b"], """
-SELECT a.dr_no, a.weapon_cd FROM incidents_a a JOIN incidents_b b
-  ON a.dr_no = b.dr_no AND a.weapon_cd IS NOT DISTINCT FROM b.weapon_cd""")
+SELECT a.dr_no, a.weapon_cd FROM incidents_a a
+WHERE EXISTS (SELECT 1 FROM incidents_b b
+              WHERE a.dr_no = b.dr_no AND a.weapon_cd IS NOT DISTINCT FROM b.weapon_cd)""")
     for fmt in ("parquet", "csv"):
         q[f"q1_top_months_df_{fmt}"] = _q1("merged", '"count"')
         q[f"q1_top_months_sql_{fmt}"] = _q1("merged", "total_crimes")

@@ -46,21 +46,24 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
-def spread_thin_scan(df: DataFrame, splits: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
+def spread_thin_scan(df: DataFrame, splits: int | None = None, key: str | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
 
     A file written as one Parquet row group (or one small CSV) is read by a
     single task, leaving the per-row work above the scan on one core. Then,
-    and only then, the rows are dealt out to ``defaultParallelism``
-    partitions. On a large input the scan already has more splits than
-    cores and the frame is returned unchanged, so no shuffle is added.
-    Filters and column pruning still reach the scan below the exchange.
-    ``splits`` is the scan's known split count, if already looked up.
+    and only then, the rows are hash-partitioned on ``key`` (a unique row
+    key, so the partitions are even and a retry recomputes the same ones
+    without the sort a round-robin split needs) into ``defaultParallelism``
+    partitions; without a key they are dealt round-robin. On a large input
+    the scan already has more splits than cores and the frame is returned
+    unchanged, so no shuffle is added. Filters and column pruning still
+    reach the scan below the exchange. ``splits`` is the scan's split
+    count, if already known.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if (splits if splits is not None else df.rdd.getNumPartitions()) < cores:
-        return df.repartition(cores)
-    return df
+    if (splits if splits is not None else df.rdd.getNumPartitions()) >= cores:
+        return df
+    return df.repartition(cores, key) if key else df.repartition(cores)
 
 
 def parquet_name(csv_path: str, out_dir: str) -> str:
