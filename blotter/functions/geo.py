@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # WGS-84 semi-major axis (km) and flattening.
@@ -29,14 +29,20 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def geodesic_km(lat1: Column | str, lon1: Column | str,
-                lat2: Column | str, lon2: Column | str) -> Column:
-    one_minus_f = 1.0 - WGS84_F
-    b1 = F.atan(F.lit(one_minus_f) * F.tan(F.radians(_c(lat1))))
-    b2 = F.atan(F.lit(one_minus_f) * F.tan(F.radians(_c(lat2))))
-    dlon = F.radians(_c(lon2)) - F.radians(_c(lon1))
+def _reduced(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> tuple[Column, Column, Column]:
+    """Reduced latitudes and the longitude difference (radians)."""
+    one_minus_f = F.lit(1.0 - WGS84_F)
+    b1 = F.atan(one_minus_f * F.tan(F.radians(lat1)))
+    b2 = F.atan(one_minus_f * F.tan(F.radians(lat2)))
+    return b1, b2, F.radians(lon2) - F.radians(lon1)
+
+
+def _central_angle(b1: Column, b2: Column, dlon: Column) -> Column:
     h = F.pow(F.sin((b2 - b1) / 2), 2) + F.cos(b1) * F.cos(b2) * F.pow(F.sin(dlon / 2), 2)
-    sigma = 2 * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    return 2 * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+
+
+def _lambert(b1: Column, b2: Column, sigma: Column) -> Column:
     p = (b1 + b2) / 2
     q = (b2 - b1) / 2
     half_cos = F.cos(sigma / 2)
@@ -51,6 +57,29 @@ def geodesic_km(lat1: Column | str, lon1: Column | str,
     return F.when(sigma == 0, F.lit(0.0)).otherwise(d)
 
 
+def geodesic_km(lat1: Column | str, lon1: Column | str,
+                lat2: Column | str, lon2: Column | str) -> Column:
+    """Distance in km as one column expression."""
+    b1, b2, dlon = _reduced(_c(lat1), _c(lon1), _c(lat2), _c(lon2))
+    return _lambert(b1, b2, _central_angle(b1, b2, dlon))
+
+
+def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str,
+                     out: str = "distance") -> DataFrame:
+    """``df`` plus the distance column, computed in three small projections.
+
+    Same formula as ``geodesic_km``; each intermediate (reduced latitudes,
+    central angle) is computed once per row and referenced by name, so the
+    expression trees stay small (cheap to analyse) and the optimizer keeps
+    the steps as separate projections fused by whole-stage codegen.
+    """
+    b1, b2, dlon = _reduced(F.col(lat1), F.col(lon1), F.col(lat2), F.col(lon2))
+    staged = df.withColumns({"_g_b1": b1, "_g_b2": b2, "_g_dl": dlon})
+    staged = staged.withColumn("_g_s", _central_angle(F.col("_g_b1"), F.col("_g_b2"), F.col("_g_dl")))
+    staged = staged.withColumn(out, _lambert(F.col("_g_b1"), F.col("_g_b2"), F.col("_g_s")))
+    return staged.drop("_g_b1", "_g_b2", "_g_dl", "_g_s")
+
+
 def geodesic_km_numpy(lat1, lon1, lat2, lon2):
     """The same formula on numpy arrays (used inside the pandas UDF)."""
     import numpy as np

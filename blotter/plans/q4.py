@@ -25,12 +25,10 @@ one row per division and task is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import geodesic_km, geodesic_km_udf
+from ..functions.geo import geodesic_km_udf, with_geodesic_km
 from ..operators.aggregate import one_per_key
 from ..operators.filters import firearm_with_coordinates
 from ..operators.joins import join_with_strategy, salted_join
@@ -39,8 +37,6 @@ from ..operators.joins import join_with_strategy, salted_join
 # formula's own accuracy, so results do not depend on summation order.
 DISTANCE_DECIMALS = 6
 
-Distance = Callable[[Column, Column, Column, Column], Column]
-
 
 def incidents_with_station(incidents: DataFrame, stations: DataFrame, strategy: str = "auto",
                            filtered: bool = True, area_col: str = "area") -> DataFrame:
@@ -56,23 +52,26 @@ def incidents_with_station(incidents: DataFrame, stations: DataFrame, strategy:
     return join_with_strategy(inc, st, ["_key"], strategy=strategy)
 
 
-def with_distance(joined: DataFrame, distance: Distance = geodesic_km) -> DataFrame:
-    return joined.select(
-        F.col("lat").alias("crime_lat"), F.col("lon").alias("crime_lon"),
-        F.col("y").alias("station_lat"), F.col("x").alias("station_lon"),
-        "division",
-        distance(F.col("lat"), F.col("lon"), F.col("y"), F.col("x")).alias("distance"))
+def with_distance(joined: DataFrame, udf: bool = False) -> DataFrame:
+    """Per-row distance; native staged expression, or the pandas UDF route."""
+    rows = joined.select(F.col("lat").alias("crime_lat"), F.col("lon").alias("crime_lon"),
+                         F.col("y").alias("station_lat"), F.col("x").alias("station_lon"),
+                         "division")
+    if udf:
+        return rows.withColumn("distance", geodesic_km_udf("crime_lat", "crime_lon",
+                                                           "station_lat", "station_lon"))
+    return with_geodesic_km(rows, "crime_lat", "crime_lon", "station_lat", "station_lon", "distance")
 
 
 def distance_rows(incidents: DataFrame, stations: DataFrame, strategy: str = "auto",
-                  filtered: bool = True, distance: Distance = geodesic_km) -> DataFrame:
-    rows = with_distance(incidents_with_station(incidents, stations, strategy, filtered), distance)
+                  filtered: bool = True, udf: bool = False) -> DataFrame:
+    rows = with_distance(incidents_with_station(incidents, stations, strategy, filtered), udf)
     return rows.withColumn("distance", F.round("distance", DISTANCE_DECIMALS))
 
 
 def station_distance(incidents: DataFrame, stations: DataFrame, strategy: str = "auto",
-                     filtered: bool = True, distance: Distance = geodesic_km) -> DataFrame:
-    rows = with_distance(incidents_with_station(incidents, stations, strategy, filtered), distance)
+                     filtered: bool = True, udf: bool = False) -> DataFrame:
+    rows = with_distance(incidents_with_station(incidents, stations, strategy, filtered), udf)
     return (rows.groupBy("division")
                 .agg(F.round(F.avg("distance"), DISTANCE_DECIMALS).alias("average_distance"),
                      F.count(F.lit(1)).alias("number_of_incidents"))
@@ -82,4 +81,4 @@ def station_distance(incidents: DataFrame, stations: DataFrame, strategy: str =
 def station_distance_udf(incidents: DataFrame, stations: DataFrame,
                          strategy: str = "auto", filtered: bool = True) -> DataFrame:
     """Same answer with the distance in an Arrow-batched pandas UDF."""
-    return station_distance(incidents, stations, strategy, filtered, distance=geodesic_km_udf)
+    return station_distance(incidents, stations, strategy, filtered, udf=True)

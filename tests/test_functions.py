@@ -114,3 +114,15 @@ def test_geodesic_nulls_and_udf_agree(spark):
     assert native[0] == pytest.approx(udf[0], rel=1e-12)
     assert float(geodesic_km_numpy(np.array([34.0]), np.array([-118.2]), np.array([34.1]),
                                    np.array([-118.3]))[0]) == pytest.approx(native[0], rel=1e-12)
+
+
+def test_staged_distance_equals_single_expression(spark):
+    from blotter.functions import with_geodesic_km
+
+    rows = [(33.7 + i / 997, -118.7 + i / 1009, 34.0 + i / 2003, -118.2 - i / 3001) for i in range(500)]
+    rows += [(34.0, -118.2, 34.0, -118.2), (None, -118.2, 34.0, -118.2)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    one = [r[0] for r in df.select(geodesic_km("a", "b", "c", "d")).collect()]
+    staged = [r[0] for r in with_geodesic_km(df, "a", "b", "c", "d", "x").select("x").collect()]
+    assert one == staged
+    assert with_geodesic_km(df, "a", "b", "c", "d", "x").columns == ["a", "b", "c", "d", "x"]
