@@ -12,6 +12,8 @@ values, so both are kept under their own names:
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,7 +39,24 @@ def _hhmm(n: int) -> str:
 
 
 def daypart_text(c: Column | str) -> Column:
-    t = F.col(c) if isinstance(c, str) else c
+    return _text_by_name(c) if isinstance(c, str) else _daypart_text(c)
+
+
+def daypart_number(c: Column | str) -> Column:
+    return _number_by_name(c) if isinstance(c, str) else _daypart_number(c)
+
+
+@cache
+def _text_by_name(name: str) -> Column:
+    return _daypart_text(F.col(name))
+
+
+@cache
+def _number_by_name(name: str) -> Column:
+    return _daypart_number(F.col(name))
+
+
+def _daypart_text(t: Column) -> Column:
     expr = None
     for label, lo, hi in BUCKETS:
         cond = (t >= _hhmm(lo)) & (t <= _hhmm(hi))
@@ -46,8 +65,8 @@ def daypart_text(c: Column | str) -> Column:
     return expr.when(night, NIGHT).otherwise(TEXT_FALLBACK)
 
 
-def daypart_number(c: Column | str) -> Column:
-    t = (F.col(c) if isinstance(c, str) else c).try_cast("int")
+def _daypart_number(c: Column) -> Column:
+    t = c.try_cast("int")
     expr = None
     for label, lo, hi in BUCKETS:
         cond = t.between(lo, hi)

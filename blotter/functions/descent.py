@@ -7,6 +7,7 @@ Codes H and I share a label, so grouping by label can merge two codes.
 
 from __future__ import annotations
 
+from functools import cache
 from itertools import chain
 
 from pyspark.sql import Column
@@ -37,8 +38,18 @@ DESCENT_LABELS = {
 FALLBACK = "OTHERWISE"
 
 
+@cache
+def _lookup(items: tuple[tuple[str, str], ...]) -> Column:
+    return F.create_map(*[F.lit(x) for x in chain.from_iterable(items)])
+
+
+@cache
+def _label_of(name: str, items: tuple[tuple[str, str], ...]) -> Column:
+    return F.coalesce(F.try_element_at(_lookup(items), F.col(name)), F.lit(FALLBACK))
+
+
 def descent_label(c: Column | str, labels: dict[str, str] | None = None) -> Column:
-    table = DESCENT_LABELS if labels is None else labels
-    lookup = F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())])
-    code = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(F.try_element_at(lookup, code), F.lit(FALLBACK))
+    items = tuple((DESCENT_LABELS if labels is None else labels).items())
+    if isinstance(c, str):
+        return _label_of(c, items)
+    return F.coalesce(F.try_element_at(_lookup(items), c), F.lit(FALLBACK))

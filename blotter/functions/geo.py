@@ -15,6 +15,7 @@ kept for the UDF route of the distance query.
 from __future__ import annotations
 
 import math
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -64,6 +65,14 @@ def geodesic_km(lat1: Column | str, lon1: Column | str,
     return _lambert(b1, b2, _central_angle(b1, b2, dlon))
 
 
+@cache
+def _stages(lat1: str, lon1: str, lat2: str, lon2: str) -> tuple[dict[str, Column], Column, Column]:
+    b1, b2, dlon = _reduced(F.col(lat1), F.col(lon1), F.col(lat2), F.col(lon2))
+    sigma = _central_angle(F.col("_g_b1"), F.col("_g_b2"), F.col("_g_dl"))
+    d = _lambert(F.col("_g_b1"), F.col("_g_b2"), F.col("_g_s"))
+    return {"_g_b1": b1, "_g_b2": b2, "_g_dl": dlon}, sigma, d
+
+
 def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str,
                      out: str = "distance") -> DataFrame:
     """``df`` plus the distance column, computed in three small projections.
@@ -71,12 +80,11 @@ def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str,
     Same formula as ``geodesic_km``; each intermediate (reduced latitudes,
     central angle) is computed once per row and referenced by name, so the
     expression trees stay small (cheap to analyse) and the optimizer keeps
-    the steps as separate projections fused by whole-stage codegen.
+    the steps as separate projections fused by whole-stage codegen. The
+    expression trees are built once per column layout and reused.
     """
-    b1, b2, dlon = _reduced(F.col(lat1), F.col(lon1), F.col(lat2), F.col(lon2))
-    staged = df.withColumns({"_g_b1": b1, "_g_b2": b2, "_g_dl": dlon})
-    staged = staged.withColumn("_g_s", _central_angle(F.col("_g_b1"), F.col("_g_b2"), F.col("_g_dl")))
-    staged = staged.withColumn(out, _lambert(F.col("_g_b1"), F.col("_g_b2"), F.col("_g_s")))
+    first, sigma, d = _stages(lat1, lon1, lat2, lon2)
+    staged = df.withColumns(first).withColumn("_g_s", sigma).withColumn(out, d)
     return staged.drop("_g_b1", "_g_b2", "_g_dl", "_g_s")
 
 

@@ -15,6 +15,8 @@ pushdown.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,20 +88,24 @@ def _ntz(day: str) -> Column:
     return F.lit(day).cast("timestamp_ntz")
 
 
-def incidents_raw(spark: SparkSession, sf_dir: str, extract: str | None = None) -> DataFrame:
-    """One text row per ``orders`` row; ``extract`` 'a' / 'b' picks an overlapping file."""
-    o = _table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+# Expression trees are built once per process and reused: a Column is an
+# immutable, unresolved expression, and building one costs JVM round trips.
+@cache
+def _extract_filter(extract: str) -> Column:
     if extract == "a":
-        o = o.filter(F.col("o_orderdate") < _ntz(SPLIT_A_BEFORE))
-    elif extract == "b":
-        o = o.filter(F.col("o_orderdate") >= _ntz(SPLIT_B_FROM))
-    elif extract is not None:
-        raise ValueError(f"unknown extract {extract!r}")
+        return F.col("o_orderdate") < _ntz(SPLIT_A_BEFORE)
+    if extract == "b":
+        return F.col("o_orderdate") >= _ntz(SPLIT_B_FROM)
+    raise ValueError(f"unknown extract {extract!r}")
+
+
+@cache
+def _incident_text() -> tuple[Column, ...]:
     k = F.col("o_orderkey")
     cust = F.col("o_custkey")
     unknown = k % 97 == 0
     letters = F.array(*[F.lit(ch) for ch in DESCENT_LETTERS])
-    return o.select(
+    return (
         k.cast("string").alias("dr_no"),
         F.when(k % 101 == 0, F.lit("bad"))
          .otherwise(F.date_format("o_orderdate", "MM/dd/yyyy hh:mm:ss a")).alias("date_occ"),
@@ -115,48 +121,73 @@ def incidents_raw(spark: SparkSession, sf_dir: str, extract: str | None = None)
     )
 
 
-def stations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def incidents_raw(spark: SparkSession, sf_dir: str, extract: str | None = None) -> DataFrame:
+    """One text row per ``orders`` row; ``extract`` 'a' / 'b' picks an overlapping file."""
+    o = _table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    if extract is not None:
+        o = o.filter(_extract_filter(extract))
+    return o.select(*_incident_text())
+
+
+@cache
+def _station_text() -> tuple[Column, ...]:
     n = F.col("n_nationkey")
-    return (_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-            .filter(n.between(1, 21))
-            .select(n.cast("string").alias("prec"),
-                    F.col("n_name").alias("division"),
-                    F.concat(F.lit("-"), milli_text(F.lit(118700) - n * 31 % 600)).alias("x"),
-                    milli_text(F.lit(33700) + n * 29 % 600).alias("y")))
+    return (n.between(1, 21),
+            n.cast("string").alias("prec"),
+            F.col("n_name").alias("division"),
+            F.concat(F.lit("-"), milli_text(F.lit(118700) - n * 31 % 600)).alias("x"),
+            milli_text(F.lit(33700) + n * 29 % 600).alias("y"))
+
+
+def stations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keep, *cols = _station_text()
+    return _table(spark, sf_dir, "nation", "n_nationkey", "n_name").filter(keep).select(*cols)
 
 
 def _community(flag: Column, name: Column) -> Column:
     return F.when(flag, F.concat(F.lit("Los Angeles ("), name, F.lit(")"))).otherwise(name)
 
 
-def income_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+@cache
+def _income_text() -> tuple[Column, ...]:
     n = F.col("n_nationkey")
-    return (_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-            .select((F.lit(90000) + n).cast("string").alias("zip"),
-                    _community(n % 3 != 0, F.col("n_name")).alias("community"),
-                    F.concat(F.lit("$"), F.format_number(F.lit(30000) + n * 3721, 0))
-                     .alias("median_income")))
+    return ((F.lit(90000) + n).cast("string").alias("zip"),
+            _community(n % 3 != 0, F.col("n_name")).alias("community"),
+            F.concat(F.lit("$"), F.format_number(F.lit(30000) + n * 3721, 0)).alias("median_income"))
 
 
-def revgeo_raw(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
+def income_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "nation", "n_nationkey", "n_name").select(*_income_text())
+
+
+@cache
+def _revgeo_text() -> tuple[Column, ...]:
     i = F.col("id")
-    return (spark.range(REVGEO_SIZE)
-            .filter(i % 13 != 0)
-            .select(lat_text(i).alias("lat"), lon_text(i).alias("lon"),
-                    (F.lit(90000) + i % 25).cast("string").alias("zip")))
+    return (i % 13 != 0,
+            lat_text(i).alias("lat"), lon_text(i).alias("lon"),
+            (F.lit(90000) + i % 25).cast("string").alias("zip"))
+
+
+def revgeo_raw(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
+    keep, *cols = _revgeo_text()
+    return spark.range(REVGEO_SIZE).filter(keep).select(*cols)
+
+
+@cache
+def _household_text() -> tuple[Column, ...]:
+    c = F.col("c_custkey")
+    return (c.cast("string").alias("household_id"),
+            (F.lit(90000) + F.col("c_nationkey")).cast("string").alias("zip"),
+            _community(c % 3 != 0, F.col("c_mktsegment")).alias("community"),
+            F.when(c % 89 == 0, F.lit("n/a"))
+             .otherwise(F.concat(F.lit("$"), F.format_number(F.floor("c_acctbal"), 0)))
+             .alias("median_income"))
 
 
 def households_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-household income records (one per ``customer`` row)."""
-    c = F.col("c_custkey")
     return (_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-            .select(c.cast("string").alias("household_id"),
-                    (F.lit(90000) + F.col("c_nationkey")).cast("string").alias("zip"),
-                    _community(c % 3 != 0, F.col("c_mktsegment")).alias("community"),
-                    F.when(c % 89 == 0, F.lit("n/a"))
-                     .otherwise(F.concat(F.lit("$"),
-                                         F.format_number(F.floor("c_acctbal"), 0)))
-                     .alias("median_income")))
+            .select(*_household_text()))
 
 
 RAW = {

@@ -9,6 +9,7 @@ pruned by the optimizer.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,26 +35,44 @@ HOUSEHOLDS: Mapping[str, Converter] = {
 
 
 def typed(df: DataFrame, spec: Mapping[str, Converter]) -> DataFrame:
-    return df.select(*[
-        (spec[c](F.col(c)) if c in spec else F.col(c)).alias(c) for c in df.columns
-    ])
+    return df.select(*_projection(spec, tuple(df.columns)))
+
+
+def _projection(spec: Mapping[str, Converter], columns: tuple[str, ...]) -> list[Column]:
+    return [(spec[c](F.col(c)) if c in spec else F.col(c)).alias(c) for c in columns]
+
+
+SPECS: dict[str, Mapping[str, Converter]] = {
+    "incidents": INCIDENTS, "stations": STATIONS, "income": INCOME,
+    "revgeo": REVGEO, "households": HOUSEHOLDS,
+}
+
+
+@cache
+def _named_projection(name: str, columns: tuple[str, ...]) -> tuple[Column, ...]:
+    # Built once per (table, layout) and reused: Columns are immutable.
+    return tuple(_projection(SPECS[name], columns))
+
+
+def _typed_named(df: DataFrame, name: str) -> DataFrame:
+    return df.select(*_named_projection(name, tuple(df.columns)))
 
 
 def typed_incidents(df: DataFrame) -> DataFrame:
-    return typed(df, INCIDENTS)
+    return _typed_named(df, "incidents")
 
 
 def typed_stations(df: DataFrame) -> DataFrame:
-    return typed(df, STATIONS)
+    return _typed_named(df, "stations")
 
 
 def typed_income(df: DataFrame) -> DataFrame:
-    return typed(df, INCOME)
+    return _typed_named(df, "income")
 
 
 def typed_revgeo(df: DataFrame) -> DataFrame:
-    return typed(df, REVGEO)
+    return _typed_named(df, "revgeo")
 
 
 def typed_households(df: DataFrame) -> DataFrame:
-    return typed(df, HOUSEHOLDS)
+    return _typed_named(df, "households")
