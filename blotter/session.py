@@ -60,3 +60,20 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     name = "-".join(parts + (uuid.uuid4().hex[:12],))
     return f"{checkpoint_base(spark)}/blotter/{name}"
+
+
+def materialize(df, name: str = "table", partition_by: list[str] | None = None):
+    """Write ``df`` as Parquet under the shared folder and return the table read back.
+
+    This is the lineage cut for results reused by several jobs: the read-back
+    frame depends only on files in the shared folder, so a lost executor
+    never forces the upstream shuffles to be recomputed, and later plans get
+    a plain Parquet scan (pushdown, pruning) instead of the whole lineage.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.parquet(path)

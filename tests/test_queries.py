@@ -110,3 +110,17 @@ def test_filters_reach_the_scan(spark):
     # only the four source columns the extract is built from are read
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz," \
            "o_orderpriority:string>" in p
+
+
+def test_all_questions_from_one_dedup_agree(spark):
+    from blotter.plans.report import all_questions
+    from blotter.sources import derived
+
+    got = all_questions(derived.incidents_raw(spark, SF_SMALL, "a"), derived.incidents_raw(spark, SF_SMALL, "b"),
+                        derived.stations(spark, SF_SMALL), derived.revgeo(spark), derived.income(spark, SF_SMALL),
+                        derived.incidents(spark, SF_SMALL, "a"))
+    same = {"q1_top_months": "q1_top_months_df_parquet", "q2_time_of_day_string": "q2_time_of_day_string",
+            "q2_time_of_day_int": "q2_time_of_day_int", "q3_income_extremes": "q3_income_extremes",
+            "q4_station_distance": "q4_station_distance"}
+    for mine, name in same.items():
+        assert _multiset(got[mine]) == _multiset(QUERIES[name](spark, SF_SMALL)), mine
