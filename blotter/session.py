@@ -47,6 +47,10 @@ def checkpoint_base(spark: SparkSession) -> str:
     """The shared checkpoint folder; created privately only when unset."""
     base = spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                f"{CHECKPOINT_KEY} is not set: on a cluster, intermediate tables must go to a "
+                "shared file system folder, not to a machine-local temp folder")
         app = spark.sparkContext.applicationId
         base = _PRIVATE_BASE.get(app)
         if base is None:

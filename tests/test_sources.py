@@ -55,3 +55,22 @@ def test_streaming_conversion_is_incremental_and_exactly_once(spark):
     # a newly landed extract is picked up on its own
     write_csv(derived.incidents_raw(spark, SF_SMALL, "b"), f"{base}/in/incidents_b.csv")
     assert convert_available(spark, f"{base}/in/*.csv", f"{base}/out", INCIDENTS_RAW, ckpt).count() == 925 + 686
+
+
+def test_configured_checkpoint_dir_is_used(tmp_path):
+    """A session that names spark.checkpoint.dir gets its shared folders there."""
+    import subprocess
+    import sys
+    import textwrap
+
+    shared = tmp_path / "shared"
+    code = textwrap.dedent(f"""
+        import sys; sys.path.insert(0, {str(__import__('conftest').ROOT)!r})
+        from blotter.session import build_session, shared_dir
+        s = build_session("local[1]", 1, extra={{"spark.checkpoint.dir": {str(shared)!r}}})
+        print(shared_dir(s, "probe"))
+        s.stop()
+    """)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.strip().splitlines()[-1].startswith(str(shared) + "/blotter/probe-")
