@@ -95,6 +95,11 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     partitions, so the join reuses that partitioning without a second
     shuffle, and a key holding a third of the big side is spread over
     ``salts`` tasks. The salt columns are dropped from the result.
+
+    The salt is a hash of the row, so it is the same on every recomputation
+    (a retried task sends each row where it went before). Identical rows get
+    the same salt: pass ``salt_source`` (e.g. a hash of the full source row)
+    when the big side's projected rows can repeat.
     """
     src = [F.col(salt_source)] if salt_source else [F.col(c) for c in big.columns]
     b = big.withColumn("_salt", F.pmod(F.hash(*src), F.lit(salts)))

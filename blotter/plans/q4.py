@@ -41,14 +41,18 @@ DISTANCE_DECIMALS = 6
 def incidents_with_station(incidents: DataFrame, stations: DataFrame, strategy: str = "auto",
                            filtered: bool = True, area_col: str = "area") -> DataFrame:
     inc = firearm_with_coordinates(incidents) if filtered else incidents
-    inc = inc.select(F.col(area_col).alias("_key"), "lat", "lon")
     st = stations.select(F.col("prec").alias("_key"), "division", "y", "x")
+    if strategy == "salted":
+        # Salt on the whole incident row: many incidents of one area at the
+        # same spot are still distinct rows and spread over the salts.
+        inc = inc.select(F.col(area_col).alias("_key"), "lat", "lon",
+                         F.hash(*[F.col(c) for c in inc.columns]).alias("_row"))
+        st = st.withColumnRenamed("_key", "_skey")
+        return salted_join(inc, st, "_key", "_skey", salt_source="_row").drop("_skey", "_row")
+    inc = inc.select(F.col(area_col).alias("_key"), "lat", "lon")
     if strategy == "broadcast":
         st = one_per_key(st, "_key")
         return join_with_strategy(inc, st, ["_key"], strategy="broadcast")
-    if strategy == "salted":
-        st = st.withColumnRenamed("_key", "_skey")
-        return salted_join(inc, st, "_key", "_skey").drop("_skey")
     return join_with_strategy(inc, st, ["_key"], strategy=strategy)
 
 

@@ -153,3 +153,18 @@ def test_q3_strategies_agree_with_fanout(spark):
     assert results[0] == Counter({(2, "H", "Hispanic/Latin/Mexican", 2): 1,
                                   (2, "I", "Hispanic/Latin/Mexican", 1): 1,
                                   (2, "W", "White", 1): 1})
+
+
+def test_salted_route_spreads_a_hot_spot(spark):
+    """A third of the incidents share area and position: the salted route spreads them."""
+    rows = [(i, 7, 150, 34.0, -118.0) for i in range(600)] + \
+           [(600 + i, 1 + i % 5, 150, 34.0 + i / 1000, -118.0) for i in range(1200)]
+    inc = spark.createDataFrame(rows, "dr_no long, area int, weapon_cd int, lat double, lon double")
+    st = spark.createDataFrame([(a, f"D{a}", 34.1, -118.1) for a in range(1, 8)],
+                               "prec int, division string, y double, x double")
+    joined = q4.incidents_with_station(inc, st, "salted")
+    sizes = [r[1] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 1800
+    assert max(sizes) < 600          # the hot (area 7, same spot) rows are not in one task
+    assert Counter(tuple(r) for r in q4.station_distance(inc, st, "salted").collect()) == \
+        Counter(tuple(r) for r in q4.station_distance(inc, st, "auto").collect())
