@@ -11,11 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.descent import descent_label
 from ..operators import (bottom_k, firearm_with_coordinates, group_count, null_safe_condition,
-                         sum_by_key, top_k, top_n_per_group, union_all, union_distinct,
+                         sum_by_key, top_k, union_all, union_distinct,
                          where_equals, where_like, where_not_null)
 from ..session import shared_dir
 from ..sources import derived
@@ -242,5 +241,3 @@ QUERIES: dict[str, Query] = {
     "q4_station_distance_repartition": _q4("salted"),
     "q4_station_distance_udf": _q4(udf=True),
 }
-
-_ = F  # functions re-exported for interactive use

@@ -124,3 +124,29 @@ def test_all_questions_from_one_dedup_agree(spark):
             "q4_station_distance": "q4_station_distance"}
     for mine, name in same.items():
         assert _multiset(got[mine]) == _multiset(QUERIES[name](spark, SF_SMALL)), mine
+
+
+def test_dedup_is_combined_on_the_map_side(spark):
+    """Whole-row distinct = partial aggregate, exchange, final aggregate (copies collapse per task)."""
+    p = plan(QUERIES["q1_top_months_df_parquet"](spark, SF_SMALL))
+    lines = [ln.strip(" :+-") for ln in p.splitlines()]
+    distinct = [i for i, ln in enumerate(lines) if ln.startswith("HashAggregate(keys=[") and "functions=[]" in ln]
+    assert len(distinct) == 2
+    between = lines[distinct[0] + 1:distinct[1]]
+    assert any(ln.startswith("Exchange hashpartitioning(") for ln in between)
+
+
+@pytest.mark.parametrize("name", ["q3_income_top_merge", "q3_income_top_shuffle_hash", "q3_income_bottom_merge"])
+def test_q3_shuffle_routes_aggregate_both_sides_before_the_join(spark, name):
+    p = plan(QUERIES[name](spark, SF_SMALL))
+    join_at = p.index("SortMergeJoin" if "merge" in name else "ShuffledHashJoin")
+    below = p[join_at:]
+    assert below.count("partial_count(1)") == 2          # incidents per point, geocoding per point
+    assert "functions=[count(1)]" in below
+
+
+def test_q3_broadcast_route_does_not_shuffle_incidents(spark):
+    p = plan(QUERIES["q3_income_top_broadcast"](spark, SF_SMALL))
+    # the only exchanges: the thin-scan spread, the (zip, code) aggregate, broadcasts and the final sort
+    assert "BroadcastHashJoin [knownfloatingpointnormalized" in p
+    assert "partial_count(1)" in p and "hashpartitioning(lat" not in p
