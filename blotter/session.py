@@ -45,17 +45,24 @@ _PRIVATE_BASE: dict[str, str] = {}
 
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared checkpoint folder; created privately only when unset."""
-    base = spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: only the session conf is visible
+        base = spark.conf.get(CHECKPOINT_KEY, None)
+        if not base:
+            raise RuntimeError(f"{CHECKPOINT_KEY} is not set; name a shared folder for staging")
+        return base.rstrip("/")
+    base = sc.getConf().get(CHECKPOINT_KEY, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError(
                 f"{CHECKPOINT_KEY} is not set: on a cluster, intermediate tables must go to a "
                 "shared file system folder, not to a machine-local temp folder")
-        app = spark.sparkContext.applicationId
+        app = sc.applicationId
         base = _PRIVATE_BASE.get(app)
         if base is None:
             base = tempfile.mkdtemp(prefix="blotter-ckpt-")
-            spark.sparkContext.setCheckpointDir(base)
+            sc.setCheckpointDir(base)
             _PRIVATE_BASE[app] = base
     return base.rstrip("/")
 

@@ -41,7 +41,7 @@ FACT_KEYS = {"orders": "o_orderkey", "customer": "c_custkey"}
 # The driver tables are immutable inputs: their resolved scan (schema from
 # the Parquet footers, split count) is looked up once per session and path,
 # instead of re-running the footer job on every read. ``forget()`` drops it.
-_BASE: dict[tuple[int, str], tuple[DataFrame, int]] = {}
+_BASE: dict[tuple[int, str], tuple[DataFrame, int | None]] = {}
 
 
 def forget() -> None:
@@ -53,7 +53,11 @@ def _base(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     hit = _BASE.get(key)
     if hit is None or hit[0].sparkSession is not spark:
         df = spark.read.parquet(path)
-        hit = (df, df.rdd.getNumPartitions())
+        try:
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
+            splits = None
+        hit = (df, splits)
         _BASE[key] = hit
     return hit
 
@@ -62,7 +66,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame
     df, splits = _base(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
     df = df.select(*cols)
     key = FACT_KEYS.get(name)
-    return spread_thin_scan(df, splits, key) if key in cols else df
+    return spread_thin_scan(df, splits, key) if key in cols and splits is not None else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:

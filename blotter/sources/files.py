@@ -60,8 +60,11 @@ def spread_thin_scan(df: DataFrame, splits: int | None = None, key: str | None =
     reach the scan below the exchange. ``splits`` is the scan's split
     count, if already known.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if (splits if splits is not None else df.rdd.getNumPartitions()) >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if (splits if splits is not None else df.rdd.getNumPartitions()) >= cores:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the scan as is
         return df
     return df.repartition(cores, key) if key else df.repartition(cores)
 
