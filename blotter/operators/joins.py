@@ -107,6 +107,9 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     n = partitions or big.sparkSession.conf.get("spark.sql.shuffle.partitions")
     n = int(n)
     b = b.repartition(n, F.col(big_key), F.col("_salt"))
-    s = s.repartition(n, F.col(small_key), F.col("_salt"))
+    # The hint keeps this a shuffled join that consumes the (key, salt)
+    # partitioning of both sides (no second exchange), rather than letting a
+    # small replicated side be broadcast after the big side was already shuffled.
+    s = s.repartition(n, F.col(small_key), F.col("_salt")).hint("shuffle_hash")
     cond = (b[big_key] == s[small_key]) & (b["_salt"] == s["_salt"])
     return b.join(s, cond, "inner").drop(b["_salt"]).drop(s["_salt"])
