@@ -40,10 +40,12 @@ def csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_to_parquet_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch conversion over every raw extract; returns the incidents table."""
     base = shared_dir(spark, "convert")
-    src = write_csv(derived.incidents_raw(spark, sf_dir), f"{base}/csv/incidents.csv")
-    out = csv_to_parquet(spark, [src], f"{base}/parquet", {"incidents": INCIDENTS_RAW})
-    return read_parquet(spark, out[src])
+    written = {name: write_csv(make(spark, sf_dir), f"{base}/csv/{name}.csv")
+               for name, make in derived.RAW.items()}
+    out = csv_to_parquet(spark, list(written.values()), f"{base}/parquet")
+    return read_parquet(spark, out[written["incidents"]])
 
 
 def csv_to_parquet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
