@@ -18,8 +18,8 @@ def test_shared_dir_lives_under_the_checkpoint_dir(spark):
 
 
 def test_parquet_name_uses_the_stem():
-    assert parquet_name("hdfs://h:9000/data/LA_income_2015.csv", "hdfs://h:9000/out/") == \
-        "hdfs://h:9000/out/LA_income_2015.parquet"
+    assert parquet_name("hdfs://nn:8020/data/income_2015.csv", "hdfs://nn:8020/out/") == \
+        "hdfs://nn:8020/out/income_2015.parquet"
 
 
 def test_csv_roundtrip_keeps_text_and_nulls(spark):
