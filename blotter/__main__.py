@@ -42,6 +42,10 @@ def parser() -> argparse.ArgumentParser:
         q.add_argument("--out", help="write the answer here instead of showing it")
         q.add_argument("--out-format", choices=["parquet", "csv"], default="parquet")
         q.add_argument("--show", type=int, default=100)
+        if name != "q3":
+            q.add_argument("--dedup", choices=["rows", "fingerprint"], default="rows",
+                           help="de-duplicate on whole rows (exact), or on a SHA-256 fingerprint "
+                                "of each row plus the columns the question reads (smaller shuffle)")
         return q
 
     a = question("q1", "three busiest months of each year")
@@ -70,13 +74,17 @@ def answer(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     def extracts(kind: str, paths: list[str]) -> list[DataFrame]:
         return [read_extract(spark, path, kind, args.format) for path in paths]
 
+    def merged(reads: list[str]) -> DataFrame:
+        keep = reads if getattr(args, "dedup", "rows") == "fingerprint" else None
+        return merge_extracts(*extracts("incidents", args.incidents), keep=keep)
+
     if args.command == "q1":
-        merged = merge_extracts(*extracts("incidents", args.incidents))
-        return q1.top_months_sql(spark, merged) if args.api == "sql" else q1.top_months(merged)
+        inc = merged(["date_occ"])
+        return q1.top_months_sql(spark, inc) if args.api == "sql" else q1.top_months(inc)
     if args.command == "q2":
-        merged = merge_extracts(*extracts("incidents", args.incidents))
-        return q2.street_by_daypart_number(merged) if args.buckets == "number" \
-            else q2.street_by_daypart_text(merged)
+        inc = merged(["premis_desc", "time_occ"])
+        return q2.street_by_daypart_number(inc) if args.buckets == "number" \
+            else q2.street_by_daypart_text(inc)
     if args.command == "q3":
         incidents = typed_incidents(union_all(*extracts("incidents", args.incidents)))
         revgeo = typed_revgeo(union_all(*extracts("revgeo", args.revgeo)))
@@ -85,11 +93,11 @@ def answer(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
                 "both": q3.descent_extremes}[args.side]
         return side(incidents, revgeo, income, args.strategy)
     if args.command == "q4":
-        merged = merge_extracts(*extracts("incidents", args.incidents))
+        inc = merged(["area", "weapon_cd", "lat", "lon"])
         stations = typed_stations(union_all(*extracts("stations", args.stations)))
         if args.rows:
-            return q4.distance_rows(merged, stations, args.strategy, not args.unfiltered, args.udf)
-        return q4.station_distance(merged, stations, args.strategy, not args.unfiltered, args.udf)
+            return q4.distance_rows(inc, stations, args.strategy, not args.unfiltered, args.udf)
+        return q4.station_distance(inc, stations, args.strategy, not args.unfiltered, args.udf)
     raise ValueError(args.command)
 
 

@@ -15,7 +15,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def union_all(*frames: DataFrame, by_name: bool = True) -> DataFrame:
@@ -35,3 +36,27 @@ def union_distinct(*frames: DataFrame, key: list[str] | None = None,
     """
     u = union_all(*frames, by_name=by_name)
     return u.dropDuplicates(key) if key else u.distinct()
+
+
+def row_fingerprint(*cols: Column) -> Column:
+    """SHA-256 of an unambiguous text form of the row (JSON of a struct).
+
+    JSON escapes every value and names every field (a null field is left
+    out, which is itself unambiguous for a fixed set of names), so two rows
+    have the same text exactly when they are equal.
+    """
+    return F.sha2(F.to_json(F.struct(*cols)), 256)
+
+
+def distinct_projected(*frames: DataFrame, keep: list[str], by_name: bool = True) -> DataFrame:
+    """The de-duplicated union of ``frames``, keeping only ``keep`` columns.
+
+    Same multiset of ``keep`` values as ``union_distinct(...).select(keep)``,
+    but the shuffle carries a 64-character fingerprint of each whole row plus
+    the kept columns instead of every column. Exact unless two different
+    rows share a SHA-256 digest; use ``union_distinct`` where that bound is
+    not acceptable.
+    """
+    u = union_all(*frames, by_name=by_name)
+    fp = row_fingerprint(*[F.col(c) for c in u.columns])
+    return u.select(fp.alias("_row_fp"), *keep).distinct().drop("_row_fp")

@@ -73,6 +73,9 @@ def test_read_extract_keeps_every_column(spark, source_files):
     (["q4"], "q4_station_distance"),
     (["q4", "--strategy", "salted"], "q4_station_distance_repartition"),
     (["q4", "--unfiltered"], "q4_station_distance_unfiltered"),
+    (["q1", "--dedup", "fingerprint"], "q1_top_months_df_parquet"),
+    (["q2", "--dedup", "fingerprint"], "q2_time_of_day_string"),
+    (["q4", "--dedup", "fingerprint"], "q4_station_distance"),
 ])
 def test_questions_on_source_files(spark, source_files, argv, name):
     args = argv + ["--incidents", source_files["a"], source_files["b"], "--show", "0"]

@@ -168,3 +168,20 @@ def test_salted_route_spreads_a_hot_spot(spark):
     assert max(sizes) < 600          # the hot (area 7, same spot) rows are not in one task
     assert Counter(tuple(r) for r in q4.station_distance(inc, st, "salted").collect()) == \
         Counter(tuple(r) for r in q4.station_distance(inc, st, "auto").collect())
+
+
+def test_fingerprint_is_unambiguous_with_nulls(spark):
+    from blotter.operators import row_fingerprint
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a,", ""), ("a", ","), ('a"', None)],
+                               "x string, y string")
+    fps = [r[0] for r in df.select(row_fingerprint(F.col("x"), F.col("y"))).collect()]
+    assert len(set(fps)) == 5
+
+
+def test_distinct_projected_matches_whole_row_distinct(spark):
+    from blotter.operators import distinct_projected
+    a = spark.createDataFrame([("1", "x", "d1"), ("2", "y", "d1"), ("2", "y", "d1")], "k string, v string, d string")
+    b = spark.createDataFrame([("2", "y", "d1"), ("3", "y", "d1"), ("3", "z", "d1")], "k string, v string, d string")
+    want = Counter(tuple(r) for r in union_distinct(a, b).select("d").collect())
+    got = Counter(tuple(r) for r in distinct_projected(a, b, keep=["d"]).collect())
+    assert got == want == Counter({("d1",): 4})

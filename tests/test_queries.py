@@ -150,3 +150,18 @@ def test_q3_broadcast_route_does_not_shuffle_incidents(spark):
     # the only exchanges: the thin-scan spread, the (zip, code) aggregate, broadcasts and the final sort
     assert "BroadcastHashJoin [knownfloatingpointnormalized" in p
     assert "partial_count(1)" in p and "hashpartitioning(lat" not in p
+
+
+def test_fingerprint_merge_gives_the_same_answers(spark):
+    from blotter.plans import merge_extracts, q1, q2, q4
+    from blotter.sources import derived
+
+    a, b = derived.incidents_raw(spark, SF_MID, "a"), derived.incidents_raw(spark, SF_MID, "b")
+    st = derived.stations(spark, SF_MID)
+    assert _multiset(q1.top_months(merge_extracts(a, b, keep=["date_occ"]))) == \
+        _multiset(QUERIES["q1_top_months_df_parquet"](spark, SF_MID))
+    assert _multiset(q2.street_by_daypart_text(merge_extracts(a, b, keep=["premis_desc", "time_occ"]))) == \
+        _multiset(QUERIES["q2_time_of_day_string"](spark, SF_MID))
+    keep = ["area", "weapon_cd", "lat", "lon"]
+    assert _multiset(q4.station_distance(merge_extracts(a, b, keep=keep), st)) == \
+        _multiset(QUERIES["q4_station_distance"](spark, SF_MID))
