@@ -165,3 +165,16 @@ def test_fingerprint_merge_gives_the_same_answers(spark):
     keep = ["area", "weapon_cd", "lat", "lon"]
     assert _multiset(q4.station_distance(merge_extracts(a, b, keep=keep), st)) == \
         _multiset(QUERIES["q4_station_distance"](spark, SF_MID))
+
+
+@pytest.mark.parametrize("name", ["q1_top_months_df_parquet", "q2_time_of_day_int", "q3_income_top_merge",
+                                  "q3_income_extremes", "q4_station_distance", "q4_station_distance_repartition"])
+def test_final_plan_stays_in_whole_stage_codegen(spark, name):
+    import re
+    df = QUERIES[name](spark, SF_SMALL)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    ops = re.findall(r"^[\s:+-]*(\*\(\d+\) )?(Project|Filter|HashAggregate|BroadcastHashJoin|SortMergeJoin|"
+                     r"ShuffledHashJoin|Generate)\b", final, flags=re.M)
+    assert ops and all(star for star, _ in ops), [op for star, op in ops if not star]
