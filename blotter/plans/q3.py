@@ -12,15 +12,19 @@
 
 How step 3 runs is the ``strategy``:
 
-* ``broadcast``: the selected geocoding rows are broadcast after a size
-  check and the incidents are never shuffled; the count is aggregated
-  after the join.
-* ``auto`` / ``merge`` / ``shuffle_hash``: both sides are first reduced
-  by a partial aggregate (incidents to one row per (lat, lon, code) with a
-  count, geocoding to one row per (lat, lon, zip) with a multiplicity),
-  then joined on (lat, lon) and summed as count x multiplicity. A
-  coordinate that holds a third of all incidents is thus collapsed on the
-  map side before any shuffle, and the join sees small, unskewed keys.
+* ``auto`` / ``broadcast``: when the selected geocoding rows are proven
+  few (a distributed count against ``max_broadcast_rows``), they are
+  broadcast and the incidents are never shuffled; the count is aggregated
+  right after the join, in the same stage. Beyond the bound, as below
+  with the optimizer choosing the join.
+* ``merge`` / ``shuffle_hash`` (and large geocoding sides): both sides are
+  first reduced by a partial aggregate (incidents to one row per
+  (lat, lon, code) with a count, geocoding to one row per (lat, lon, zip)
+  with a multiplicity), then joined on (lat, lon) with that strategy and
+  summed as count x multiplicity. A coordinate that holds a third of all
+  incidents is thus collapsed on the map side before any shuffle, the join
+  sees small, unskewed keys, and no pairs within a hot coordinate are
+  emitted.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions.descent import descent_label
 from ..operators.filters import where_like, where_not_null
-from ..operators.joins import join_with_strategy
+from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, has_at_most, join_with_strategy
 from ..operators.topk import bottom_k, top_k
 
 # The city's community pattern and the number of ZIPs per side.
@@ -51,17 +55,19 @@ def poorest_zips(income: DataFrame, k: int = EXTREME_ZIPS) -> DataFrame:
 
 
 def victims_per_zip(incidents: DataFrame, revgeo: DataFrame, zips: DataFrame,
-                    strategy: str = "auto") -> DataFrame:
+                    strategy: str = "auto",
+                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Count of incidents per (zip, vict_descent) inside the given ZIPs."""
     victims = where_not_null(incidents, "vict_descent").select("lat", "lon", "vict_descent")
     chosen = F.broadcast(zips.select("zip").distinct())
     geo = revgeo.select("lat", "lon", "zip").join(chosen, "zip", "left_semi")
-    if strategy == "broadcast":
-        joined = join_with_strategy(victims, geo, ["lat", "lon"], strategy="broadcast")
+    if strategy in ("auto", "broadcast") and has_at_most(geo, max_broadcast_rows):
+        joined = victims.join(F.broadcast(geo), ["lat", "lon"])
         return joined.groupBy("zip", "vict_descent").agg(F.count(F.lit(1)).alias("count"))
     per_point = victims.groupBy("lat", "lon", "vict_descent").agg(F.count(F.lit(1)).alias("_n"))
     geo_points = geo.groupBy("lat", "lon", "zip").agg(F.count(F.lit(1)).alias("_m"))
-    joined = join_with_strategy(per_point, geo_points, ["lat", "lon"], strategy=strategy)
+    hint = strategy if strategy in ("merge", "shuffle_hash") else "auto"
+    joined = join_with_strategy(per_point, geo_points, ["lat", "lon"], strategy=hint)
     return (joined.groupBy("zip", "vict_descent")
                   .agg(F.sum(F.col("_n") * F.col("_m")).alias("count")))
 

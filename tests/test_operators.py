@@ -185,3 +185,16 @@ def test_distinct_projected_matches_whole_row_distinct(spark):
     want = Counter(tuple(r) for r in union_distinct(a, b).select("d").collect())
     got = Counter(tuple(r) for r in distinct_projected(a, b, keep=["d"]).collect())
     assert got == want == Counter({("d1",): 4})
+
+
+def test_q3_auto_falls_back_to_preaggregated_shuffle(spark):
+    inc = spark.createDataFrame([(34.0, -118.0, "H")] * 5 + [(34.1, -118.1, "W")],
+                                "lat double, lon double, vict_descent string")
+    geo = spark.createDataFrame([(34.0, -118.0, 1), (34.1, -118.1, 1)], "lat double, lon double, zip int")
+    zips = spark.createDataFrame([(1,)], "zip int")
+    small = q3.victims_per_zip(inc, geo, zips, "auto")
+    big = q3.victims_per_zip(inc, geo, zips, "auto", max_broadcast_rows=1)
+    small_plan, big_plan = plan(small), plan(big)              # initial plans, before running
+    assert small_plan.count("partial_count(1)") == 1            # aggregated after the broadcast join
+    assert big_plan.count("partial_count(1)") == 2              # both sides pre-aggregated
+    assert rows(small) == rows(big) == Counter({(1, "H", 5): 1, (1, "W", 1): 1})
