@@ -7,8 +7,9 @@ distance and the number of incidents are reported, most incidents first.
 
 Join routes (the physical strategy is the only difference):
 
-* ``auto``        optimizer choice; the station table is a small
-                  dimension, so it is broadcast by size estimate.
+* ``auto``        the station table is broadcast once a distributed count
+                  proves it small (it is a dimension: one row per area);
+                  otherwise the salted shuffle join below.
 * ``broadcast``   one row per station key (``max_by``; a dict built from
                   the pairs would keep one too), broadcast after a row
                   count check, falling back to a shuffle join beyond it.
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from ..functions.geo import geodesic_km_udf, with_geodesic_km
 from ..operators.aggregate import one_per_key
 from ..operators.filters import firearm_with_coordinates
-from ..operators.joins import join_with_strategy, salted_join
+from ..operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, has_at_most, join_with_strategy,
+                               salted_join)
 
 # Fixed value: reported distances are rounded to 1e-6 km (1 mm), below the
 # formula's own accuracy, so results do not depend on summation order.
@@ -53,6 +55,10 @@ def incidents_with_station(incidents: DataFrame, stations: DataFrame, strategy:
     if strategy == "broadcast":
         st = one_per_key(st, "_key")
         return join_with_strategy(inc, st, ["_key"], strategy="broadcast")
+    if strategy == "auto":
+        if has_at_most(st, DEFAULT_MAX_BROADCAST_ROWS):
+            return inc.join(F.broadcast(st), ["_key"])
+        return incidents_with_station(incidents, stations, "salted", filtered, area_col)
     return join_with_strategy(inc, st, ["_key"], strategy=strategy)
 
 

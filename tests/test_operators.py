@@ -198,3 +198,16 @@ def test_q3_auto_falls_back_to_preaggregated_shuffle(spark):
     assert small_plan.count("partial_count(1)") == 1            # aggregated after the broadcast join
     assert big_plan.count("partial_count(1)") == 2              # both sides pre-aggregated
     assert rows(small) == rows(big) == Counter({(1, "H", 5): 1, (1, "W", 1): 1})
+
+
+def test_q4_auto_uses_salted_join_beyond_the_bound(spark, monkeypatch):
+    inc = spark.createDataFrame([(i, 1 + i % 3, 150, 34.0, -118.0 + i / 1000) for i in range(60)],
+                                "dr_no long, area int, weapon_cd int, lat double, lon double")
+    st = spark.createDataFrame([(a, f"D{a}", 34.1, -118.1) for a in range(1, 4)],
+                               "prec int, division string, y double, x double")
+    small = q4.incidents_with_station(inc, st, "auto")
+    assert "BroadcastHashJoin" in plan(small)
+    monkeypatch.setattr(q4, "DEFAULT_MAX_BROADCAST_ROWS", 2)
+    big = q4.incidents_with_station(inc, st, "auto")
+    assert "ShuffledHashJoin" in plan(big) and "_salt" in plan(big)
+    assert rows(small.select("_key", "lat", "division")) == rows(big.select("_key", "lat", "division"))
