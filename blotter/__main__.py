@@ -27,6 +27,7 @@ from blotter.operators.sets import union_all  # noqa: E402
 from blotter.plans import merge_extracts, q1, q2, q3, q4  # noqa: E402
 from blotter.sources.files import csv_to_parquet  # noqa: E402
 from blotter.sources.layouts import read_extract  # noqa: E402
+from blotter.streaming import convert_available  # noqa: E402
 from blotter.sources.typed import (typed_incidents, typed_income, typed_revgeo,  # noqa: E402
                                    typed_stations)
 
@@ -66,6 +67,10 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--rows", action="store_true", help="per-incident distances instead of the summary")
     conv = sub.add_parser("convert", help="CSV -> Parquet, one <stem>.parquet per input, all text")
     conv.add_argument("--out", required=True)
+    conv.add_argument("--stream", action="store_true",
+                      help="incremental: convert the files in one landing folder (glob) not yet "
+                           "converted into one Parquet table, checkpointed under --checkpoint")
+    conv.add_argument("--checkpoint", help="streaming checkpoint (default: under spark.checkpoint.dir)")
     conv.add_argument("csv", nargs="+")
     return p
 
@@ -102,8 +107,14 @@ def answer(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> DataFrame | dict:
+    """Parse ``argv``, run the command, and return its answer (for tests and notebooks)."""
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"blotter {args.command}").getOrCreate()
+    if args.command == "convert" and args.stream:
+        if len(args.csv) != 1:
+            raise SystemExit("--stream takes one landing folder or glob")
+        schema = spark.read.option("header", True).csv(args.csv[0]).schema   # header names, all text
+        return convert_available(spark, args.csv[0], args.out, schema, args.checkpoint)
     if args.command == "convert":
         done = csv_to_parquet(spark, args.csv, args.out)
         for src, dst in done.items():

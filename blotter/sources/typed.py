@@ -20,6 +20,8 @@ Converter = Callable[[Column], Column]
 
 INCIDENTS: Mapping[str, Converter] = {
     "dr_no": to_long,
+    "date_rptd": parse_timestamp,   # present in the published files only
+    "vict_age": to_int,             # idem
     "date_occ": parse_timestamp,
     "area": to_int,
     "weapon_cd": to_int,

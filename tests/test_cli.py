@@ -102,3 +102,20 @@ def test_convert_then_query_parquet(spark, source_files):
     written = shared_dir(spark, "cli-out")
     main(["q2", "--incidents", source_files["a"], source_files["b"], "--out", written], spark)
     assert _multiset(spark.read.parquet(written)) == _multiset(QUERIES["q2_time_of_day_string"](spark, SF_SMALL))
+
+
+def test_typed_step_parses_extra_published_columns(spark, source_files):
+    from blotter.sources.typed import typed_incidents
+    df = typed_incidents(read_extract(spark, source_files["a"], "incidents"))
+    types = dict(df.dtypes)
+    assert types["vict_age"] == "int" and types["date_rptd"] == "timestamp_ntz"   # 'R<n>' text -> null
+    assert df.filter("vict_age = 34").count() == df.count()
+
+
+def test_streaming_convert_of_a_landing_folder(spark, source_files):
+    import os
+    landing = os.path.dirname(source_files["a"])
+    out = shared_dir(spark, "cli-stream")
+    df = main(["convert", "--stream", "--out", out, f"{landing}/crimes_*.csv"], spark)
+    assert df.count() == 925 + 686
+    assert "DATE OCC" in df.columns
