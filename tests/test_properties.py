@@ -130,13 +130,14 @@ points = st.tuples(st.sampled_from([34.0, 34.1, 34.2]), st.sampled_from([-118.0,
 @SETTINGS
 @given(st.lists(st.tuples(points, st.sampled_from(["H", "I", "W", None])), max_size=40),
        st.lists(st.tuples(points, st.integers(1, 4)), max_size=10),
-       st.sampled_from(["auto", "broadcast", "merge", "shuffle_hash"]))
-def test_victims_per_zip_matches_brute_force(spark, incidents, geo, strategy):
+       st.sampled_from(["auto", "broadcast", "merge", "shuffle_hash"]),
+       st.sampled_from([1_000_000, 0]))             # 0: the broadcast bound is exceeded
+def test_victims_per_zip_matches_brute_force(spark, incidents, geo, strategy, bound):
     inc = spark.createDataFrame([(p[0], p[1], d) for p, d in incidents], "lat double, lon double, vict_descent string")
     g = spark.createDataFrame([(p[0], p[1], z) for p, z in geo], "lat double, lon double, zip int")
     zips = spark.createDataFrame([(1,), (2,), (3,)], "zip int")
     got = Counter({(r["zip"], r["vict_descent"]): r["count"]
-                   for r in q3.victims_per_zip(inc, g, zips, strategy).collect()})
+                   for r in q3.victims_per_zip(inc, g, zips, strategy, bound).collect()})
     want = Counter()
     for p, d in incidents:                       # nested loops: every incident x every geocoding row
         if d is None:
