@@ -4,8 +4,10 @@
   (no inference pass, no RDD header filtering).
 * ``write_parquet`` / ``csv_to_parquet`` are the conversion job: each
   input becomes ``<out_dir>/<stem>.parquet``, overwritten if present.
-  Every conversion is one independent scan -> write job; Spark splits
-  each file into partitions of ``spark.sql.files.maxPartitionBytes``.
+  Every conversion is one independent scan -> write job (a few run at
+  once); Spark splits each file into partitions of
+  ``spark.sql.files.maxPartitionBytes``.
+* ``spread_thin_scan`` spreads a scan with fewer splits than cores.
 
 Paths are any Hadoop file-system URI (local, HDFS, object stores).
 """
