@@ -119,3 +119,23 @@ def test_streaming_convert_of_a_landing_folder(spark, source_files):
     df = main(["convert", "--stream", "--out", out, f"{landing}/crimes_*.csv"], spark)
     assert df.count() == 925 + 686
     assert "DATE OCC" in df.columns
+
+
+def test_malformed_source_lines_become_nulls(spark, tmp_path):
+    from blotter.sources.typed import typed_incidents
+    text = "\n".join([
+        "DR_NO,DATE OCC,TIME OCC,AREA ,Premis Desc,Vict Descent,Weapon Used Cd,LAT,LON",
+        "1,01/05/2010 12:00:00 AM,0930,7,STREET,H,102,34.05,-118.25",
+        "2,2010-01-05,93O,  7 ,\"STREET, ALLEY\",,abc,0,0",        # bad date, bad time, junk code
+        "3,01/05/2010 12:00:00 AM",                                  # too few fields
+        "4,01/05/2010 12:00:00 AM,2100,7,STREET,W,150,34.1,-118.2,EXTRA",  # too many fields
+    ])
+    path = tmp_path / "odd.csv"
+    path.write_text(text + "\n")
+    df = typed_incidents(read_extract(spark, str(path), "incidents"))
+    got = {r["dr_no"]: r for r in df.collect()}
+    assert set(got) == {1, 2, 3, 4}
+    assert got[2]["date_occ"] is None and got[2]["weapon_cd"] is None and got[2]["area"] == 7
+    assert got[2]["premis_desc"] == "STREET, ALLEY"
+    assert got[3]["time_occ"] is None and got[3]["lat"] is None
+    assert got[4]["weapon_cd"] == 150
