@@ -8,6 +8,8 @@ raw rows are what the extracts hold.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.sets import distinct_projected, union_distinct
@@ -42,8 +44,12 @@ def stage_extracts_as_csv(spark: SparkSession, sf_dir: str) -> list[str]:
     writes to a fresh folder, so concurrent runs never share files.
     """
     base = shared_dir(spark, "incident-extracts")
-    return [write_csv(derived.incidents_raw(spark, sf_dir, part), f"{base}/incidents_{part}.csv")
-            for part in ("a", "b")]
+
+    def stage(part: str) -> str:
+        return write_csv(derived.incidents_raw(spark, sf_dir, part), f"{base}/incidents_{part}.csv")
+
+    with ThreadPoolExecutor(max_workers=2) as pool:     # two independent write jobs
+        return list(pool.map(stage, ("a", "b")))
 
 
 def read_extracts_csv(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
