@@ -74,3 +74,16 @@ def test_configured_checkpoint_dir_is_used(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
     assert out.returncode == 0, out.stderr[-2000:]
     assert out.stdout.strip().splitlines()[-1].startswith(str(shared) + "/blotter/probe-")
+
+
+def test_spread_thin_scan_only_when_splits_are_few(spark):
+    from blotter.sources.files import spread_thin_scan
+
+    thin = spark.read.parquet(f"{SF_SMALL}/orders.parquet")          # one row group -> one split
+    spread = spread_thin_scan(thin, key="o_orderkey")
+    p = spread._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(o_orderkey" in p
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = thin.repartition(spark.sparkContext.defaultParallelism * 2)
+    assert spread_thin_scan(wide, key="o_orderkey") is wide                # enough splits: unchanged
+    assert spread.count() == thin.count()
