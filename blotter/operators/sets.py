@@ -45,14 +45,14 @@ def row_fingerprint(*cols: Column) -> Column:
     out, which is itself unambiguous for a fixed set of names), so two rows
     have the same text exactly when they are equal.
     """
-    return F.sha2(F.to_json(F.struct(*cols)), 256)
+    return F.unhex(F.sha2(F.to_json(F.struct(*cols)), 256))      # 32 bytes, not 64 hex chars
 
 
 def distinct_projected(*frames: DataFrame, keep: list[str], by_name: bool = True) -> DataFrame:
     """The de-duplicated union of ``frames``, keeping only ``keep`` columns.
 
     Same multiset of ``keep`` values as ``union_distinct(...).select(keep)``,
-    but the shuffle carries a 64-character fingerprint of each whole row plus
+    but the shuffle carries a 32-byte fingerprint of each whole row plus
     the kept columns instead of every column. Exact unless two different
     rows share a SHA-256 digest; use ``union_distinct`` where that bound is
     not acceptable.
