@@ -25,6 +25,7 @@ if __package__ in (None, ""):                      # run as a file by spark-subm
 
 from blotter.operators.sets import union_all  # noqa: E402
 from blotter.plans import merge_extracts, q1, q2, q3, q4  # noqa: E402
+from blotter.plans.report import all_questions  # noqa: E402
 from blotter.sources.files import csv_to_parquet  # noqa: E402
 from blotter.sources.layouts import read_extract  # noqa: E402
 from blotter.streaming import convert_available  # noqa: E402
@@ -65,6 +66,14 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--unfiltered", action="store_true", help="count every incident, not only firearms")
     d.add_argument("--udf", action="store_true", help="distance in a pandas UDF")
     d.add_argument("--rows", action="store_true", help="per-incident distances instead of the summary")
+    e = sub.add_parser("all", help="every question from one de-duplication, one folder per answer")
+    e.add_argument("--incidents", nargs="+", required=True, help="incident extract files (first = older)")
+    e.add_argument("--stations", nargs="+", required=True)
+    e.add_argument("--revgeo", nargs="+", required=True)
+    e.add_argument("--income", nargs="+", required=True)
+    e.add_argument("--format", choices=["csv", "parquet"], default="csv")
+    e.add_argument("--out", required=True, help="folder; each answer is written to <out>/<name>")
+    e.add_argument("--out-format", choices=["parquet", "csv"], default="parquet")
     conv = sub.add_parser("convert", help="CSV -> Parquet, one <stem>.parquet per input, all text")
     conv.add_argument("--out", required=True)
     conv.add_argument("--stream", action="store_true",
@@ -120,6 +129,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
         for src, dst in done.items():
             print(f"{src} -> {dst}")
         return done
+    if args.command == "all":
+        def read(kind: str, paths: list[str]) -> DataFrame:
+            return union_all(*[read_extract(spark, p, kind, args.format) for p in paths])
+        older = read_extract(spark, args.incidents[0], "incidents", args.format)
+        rest = [read_extract(spark, p, "incidents", args.format) for p in args.incidents[1:]]
+        answers = all_questions(older, union_all(*rest) if rest else older.limit(0),
+                                typed_stations(read("stations", args.stations)),
+                                typed_revgeo(read("revgeo", args.revgeo)),
+                                typed_income(read("income", args.income)), typed_incidents(older))
+        for name, df in answers.items():
+            df.write.mode("overwrite").format(args.out_format).option("header", True) \
+                .save(f"{args.out.rstrip('/')}/{name}")
+        return answers
     df = answer(spark, args)
     if args.out:
         df.write.mode("overwrite").format(args.out_format).option("header", True).save(args.out)

@@ -139,3 +139,16 @@ def test_malformed_source_lines_become_nulls(spark, tmp_path):
     assert got[2]["premis_desc"] == "STREET, ALLEY"
     assert got[3]["time_occ"] is None and got[3]["lat"] is None
     assert got[4]["weapon_cd"] == 150
+
+
+def test_all_questions_command(spark, source_files):
+    out = shared_dir(spark, "cli-all")
+    answers = main(["all", "--incidents", source_files["a"], source_files["b"],
+                    "--stations", source_files["stations"], "--revgeo", source_files["revgeo"],
+                    "--income", source_files["income"], "--out", out], spark)
+    same = {"q1_top_months": "q1_top_months_df_parquet", "q2_time_of_day_int": "q2_time_of_day_int",
+            "q3_income_extremes": "q3_income_extremes", "q4_station_distance": "q4_station_distance"}
+    for mine, name in same.items():
+        written = spark.read.parquet(f"{out}/{mine}")
+        assert _multiset(written) == _multiset(QUERIES[name](spark, SF_SMALL)), mine
+    assert set(answers) >= set(same)
