@@ -35,10 +35,15 @@ def to_double(c: Column | str) -> Column:
 def parse_timestamp(c: Column | str, fmt: str = INCIDENT_TS_FORMAT) -> Column:
     """Text -> wall-clock timestamp (``timestamp_ntz``); malformed -> null.
 
-    The text is read in the session time zone and converted back to local
-    wall time in that same zone, so the result does not depend on it.
+    The text is read as a wall-clock time, independent of the session time
+    zone (a local-time parse would shift times that fall in a daylight-saving
+    gap of that zone). ``to_timestamp_ntz`` raises on malformed text under
+    ANSI mode, so it only runs where ``try_to_timestamp`` (same pattern,
+    same parser) accepted the text.
     """
-    return F.try_to_timestamp(_col(c), F.lit(fmt)).cast("timestamp_ntz")
+    text = _col(c)
+    pattern = F.lit(fmt)
+    return F.when(F.try_to_timestamp(text, pattern).isNotNull(), F.to_timestamp_ntz(text, pattern))
 
 
 def parse_money(c: Column | str) -> Column:

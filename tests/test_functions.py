@@ -126,3 +126,13 @@ def test_staged_distance_equals_single_expression(spark):
     staged = [r[0] for r in with_geodesic_km(df, "a", "b", "c", "d", "x").select("x").collect()]
     assert one == staged
     assert with_geodesic_km(df, "a", "b", "c", "d", "x").columns == ["a", "b", "c", "d", "x"]
+
+
+def test_timestamp_parse_ignores_session_time_zone(spark):
+    """A wall time inside a daylight-saving gap of the session zone is kept as written."""
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")   # DST began at midnight
+    try:
+        got = one_col(spark, ["10/15/1995 12:00:00 AM", "bad", "02/30/2010 12:00:00 AM"], parse_timestamp)
+    finally:
+        spark.conf.unset("spark.sql.session.timeZone")
+    assert got == [dt.datetime(1995, 10, 15, 0, 0), None, None]
