@@ -88,6 +88,25 @@ def lon_text(i: Column) -> Column:
     return F.concat(F.lit("-"), milli_text(F.lit(118700) - i * 53 % 600))
 
 
+def _two(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def wall_clock_text(ts: Column) -> Column:
+    """``timestamp_ntz`` -> ``'MM/dd/yyyy hh:mm:ss AM'`` from its own fields.
+
+    Built from the wall-clock fields rather than ``date_format``, which goes
+    through the session time zone and would shift times that fall in a
+    daylight-saving gap of that zone.
+    """
+    hour = F.hour(ts)
+    return F.concat(_two(F.month(ts)), F.lit("/"), _two(F.dayofmonth(ts)), F.lit("/"),
+                    F.lpad(F.year(ts).cast("string"), 4, "0"), F.lit(" "),
+                    _two((hour + 11) % 12 + 1), F.lit(":"), _two(F.minute(ts)), F.lit(":"),
+                    _two(F.second(ts)), F.lit(" "),
+                    F.when(hour < 12, F.lit("AM")).otherwise(F.lit("PM")))
+
+
 def _ntz(day: str) -> Column:
     return F.lit(day).cast("timestamp_ntz")
 
@@ -111,8 +130,7 @@ def _incident_text() -> tuple[Column, ...]:
     letters = F.array(*[F.lit(ch) for ch in DESCENT_LETTERS])
     return (
         k.cast("string").alias("dr_no"),
-        F.when(k % 101 == 0, F.lit("bad"))
-         .otherwise(F.date_format("o_orderdate", "MM/dd/yyyy hh:mm:ss a")).alias("date_occ"),
+        F.when(k % 101 == 0, F.lit("bad")).otherwise(wall_clock_text(F.col("o_orderdate"))).alias("date_occ"),
         F.lpad((k * 7 % 2500).cast("string"), 4, "0").alias("time_occ"),
         (cust % 21 + 1).cast("string").alias("area"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("STREET"))
