@@ -146,3 +146,38 @@ def test_victims_per_zip_matches_brute_force(spark, incidents, geo, strategy, bo
             if gp == p and z in (1, 2, 3):
                 want[(z, d)] += 1
     assert got == want
+
+
+@SETTINGS
+@given(rows, rows)
+def test_fingerprint_dedup_matches_whole_row_distinct(spark, a, b):
+    from blotter.operators import distinct_projected
+    da = spark.createDataFrame(a, "k string, v int")
+    db = spark.createDataFrame(b, "k string, v int")
+    got = Counter(tuple(r) for r in distinct_projected(da, db, keep=["v"]).collect())
+    assert got == Counter((v,) for _, v in set(a) | set(b))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", "c"]), st.integers(0, 9)), max_size=30))
+def test_one_per_key_keeps_the_largest_row(spark, data):
+    from blotter.operators import one_per_key
+    df = spark.createDataFrame(data, "k int, name string, y int")
+    got = {r["k"]: (r["name"], r["y"]) for r in one_per_key(df, "k").collect()}
+    want = {}
+    for k, name, y in data:
+        want[k] = max(want.get(k, (name, y)), (name, y))
+    assert got == want
+
+
+coords = st.tuples(st.floats(33.0, 35.0), st.floats(-119.0, -117.0))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(coords, coords), min_size=1, max_size=30))
+def test_distance_is_symmetric_and_non_negative(spark, pairs):
+    from blotter.functions import geodesic_km
+    df = spark.createDataFrame([(a[0], a[1], b[0], b[1]) for a, b in pairs], "a double, b double, c double, d double")
+    got = df.select(geodesic_km("a", "b", "c", "d").alias("ab"), geodesic_km("c", "d", "a", "b").alias("ba")).collect()
+    for r in got:
+        assert r["ab"] >= 0 and abs(r["ab"] - r["ba"]) <= 1e-9 * max(1.0, r["ab"])
