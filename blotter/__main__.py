@@ -150,5 +150,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
     return df
 
 
-if __name__ == "__main__":
+def cli() -> int:
+    """Console entry point: run and report success to the shell."""
     main()
+    return 0
+
+
+if __name__ == "__main__":
+    sys.exit(cli())
