@@ -85,7 +85,7 @@ def equi_condition(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str
 
 
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
-                salts: int = 16, partitions: int | None = None,
+                salts: int | None = None, partitions: int | None = None,
                 salt_source: str | None = None) -> DataFrame:
     """Inner equi-join that survives a hot key on the big side.
 
@@ -96,16 +96,21 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     shuffle, and a key holding a third of the big side is spread over
     ``salts`` tasks. The salt columns are dropped from the result.
 
+    By default ``salts`` equals the number of partitions, so a hot key is
+    spread over the whole shuffle however large it grows; the price is the
+    small side replicated ``salts`` times (21 stations x 20,000 partitions is
+    420,000 rows), so pass a smaller ``salts`` for a larger small side.
+
     The salt is a hash of the row, so it is the same on every recomputation
     (a retried task sends each row where it went before). Identical rows get
     the same salt: pass ``salt_source`` (e.g. a hash of the full source row)
     when the big side's projected rows can repeat.
     """
+    n = int(partitions or big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = salts or n
     src = [F.col(salt_source)] if salt_source else [F.col(c) for c in big.columns]
     b = big.withColumn("_salt", F.pmod(F.hash(*src), F.lit(salts)))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    n = partitions or big.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    n = int(n)
     b = b.repartition(n, F.col(big_key), F.col("_salt"))
     # The hint keeps this a shuffled join that consumes the (key, salt)
     # partitioning of both sides (no second exchange), rather than letting a
