@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 
 def group_count(df: DataFrame, *keys: str | Column, name: str = "count") -> DataFrame:
+    """One row per key with the number of rows (``count`` by default)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 

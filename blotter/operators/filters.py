@@ -12,10 +12,12 @@ def _c(x: Column | str) -> Column:
 
 
 def where_equals(df: DataFrame, column: str, value) -> DataFrame:
+    """Rows whose ``column`` equals ``value`` (null never matches)."""
     return df.filter(_c(column) == F.lit(value))
 
 
 def where_not_null(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows where every one of ``columns`` is set."""
     cond = None
     for c in columns:
         cond = _c(c).isNotNull() if cond is None else cond & _c(c).isNotNull()
@@ -33,6 +35,7 @@ def in_half_open(c: Column | str, lo, hi) -> Column:
 
 
 def nonzero(*columns: str) -> Column:
+    """``c != 0`` for every column; null counts as not kept."""
     cond = None
     for c in columns:
         cond = (_c(c) != 0) if cond is None else cond & (_c(c) != 0)

@@ -77,6 +77,7 @@ def null_safe_condition(left: DataFrame, right: DataFrame,
 
 
 def equi_condition(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
+    """``l.a = r.b AND ...`` for the given column pairs."""
     cond = None
     for lc, rc in pairs:
         c = left[lc] == right[rc]

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 
 def union_all(*frames: DataFrame, by_name: bool = True) -> DataFrame:
+    """UNION ALL of ``frames`` (by column name unless ``by_name=False``)."""
     if not frames:
         raise ValueError("union_all needs at least one frame")
     op = (lambda a, b: a.unionByName(b)) if by_name else (lambda a, b: a.union(b))

@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 def rank_within(df: DataFrame, partition_by: list[str], order_by: list[Column],
                 name: str = "rank") -> DataFrame:
+    """Add SQL RANK() over ``partition_by`` ordered by ``order_by`` as ``name``."""
     w = Window.partitionBy(*partition_by).orderBy(*order_by)
     return df.withColumn(name, F.rank().over(w))
 
 
 def top_n_per_group(df: DataFrame, partition_by: list[str], order_by: list[Column],
                     n: int, name: str = "rank") -> DataFrame:
+    """Rows ranked ``<= n`` within their group (ties kept)."""
     return rank_within(df, partition_by, order_by, name).filter(F.col(name) <= n)

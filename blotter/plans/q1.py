@@ -23,6 +23,7 @@ TOP_MONTHS = 3
 
 
 def top_months(incidents: DataFrame, n: int = TOP_MONTHS, date_col: str = "date_occ") -> DataFrame:
+    """Busiest ``n`` months of each year by incident count, with their rank."""
     ym = incidents.select(F.year(date_col).alias("year"), F.month(date_col).alias("month"))
     counted = group_count(ym, "year", "month", name="count")
     return top_n_per_group(counted, ["year"], [F.col("count").desc()], n, name="rank")

@@ -23,14 +23,17 @@ STREET = "STREET"
 
 def street_by_daypart(incidents: DataFrame,
                       bucket: Callable[[Column | str], Column] = daypart_text) -> DataFrame:
+    """Street incidents counted per part of the day, busiest first."""
     street = where_equals(incidents, "premis_desc", STREET)
     parts = street.select(bucket("time_occ").alias("time_of_day"))
     return group_count(parts, "time_of_day", name="count").orderBy(F.col("count").desc())
 
 
 def street_by_daypart_text(incidents: DataFrame) -> DataFrame:
+    """Q2 with the lexical (text) buckets."""
     return street_by_daypart(incidents, daypart_text)
 
 
 def street_by_daypart_number(incidents: DataFrame) -> DataFrame:
+    """Q2 with the integer buckets."""
     return street_by_daypart(incidents, daypart_number)

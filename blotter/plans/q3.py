@@ -43,14 +43,17 @@ EXTREME_ZIPS = 3
 
 
 def city_income(income: DataFrame) -> DataFrame:
+    """Income rows of the city's own communities."""
     return where_like(income, "community", CITY_PATTERN)
 
 
 def richest_zips(income: DataFrame, k: int = EXTREME_ZIPS) -> DataFrame:
+    """The ``k`` ZIPs of the city with the highest income (at most ``k`` rows)."""
     return top_k(city_income(income), "median_income", k, ["zip"]).select("zip")
 
 
 def poorest_zips(income: DataFrame, k: int = EXTREME_ZIPS) -> DataFrame:
+    """The ``k`` ZIPs of the city with the lowest known income (at most ``k`` rows)."""
     return bottom_k(city_income(income), "median_income", k, ["zip"]).select("zip")
 
 
@@ -84,16 +87,19 @@ def _labelled(zips: DataFrame, per_zip: DataFrame, extra: list[str]) -> DataFram
 
 def descent_in_zips(incidents: DataFrame, revgeo: DataFrame, zips: DataFrame,
                     strategy: str = "auto") -> DataFrame:
+    """Victim-descent counts, labelled, for the given ZIPs."""
     return _labelled(zips, victims_per_zip(incidents, revgeo, zips, strategy), [])
 
 
 def descent_richest(incidents: DataFrame, revgeo: DataFrame, income: DataFrame,
                     strategy: str = "auto", k: int = EXTREME_ZIPS) -> DataFrame:
+    """Q3 for the richest ZIPs."""
     return descent_in_zips(incidents, revgeo, richest_zips(income, k), strategy)
 
 
 def descent_poorest(incidents: DataFrame, revgeo: DataFrame, income: DataFrame,
                     strategy: str = "auto", k: int = EXTREME_ZIPS) -> DataFrame:
+    """Q3 for the poorest ZIPs."""
     return descent_in_zips(incidents, revgeo, poorest_zips(income, k), strategy)
 
 

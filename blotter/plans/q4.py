@@ -42,6 +42,7 @@ DISTANCE_DECIMALS = 6
 
 def incidents_with_station(incidents: DataFrame, stations: DataFrame, strategy: str = "auto",
                            filtered: bool = True, area_col: str = "area") -> DataFrame:
+    """Incidents (firearm, known position unless ``filtered=False``) joined to their station."""
     inc = firearm_with_coordinates(incidents) if filtered else incidents
     st = stations.select(F.col("prec").alias("_key"), "division", "y", "x")
     if strategy == "salted":
@@ -75,12 +76,14 @@ def with_distance(joined: DataFrame, udf: bool = False) -> DataFrame:
 
 def distance_rows(incidents: DataFrame, stations: DataFrame, strategy: str = "auto",
                   filtered: bool = True, udf: bool = False) -> DataFrame:
+    """One row per incident with its station and the distance in km (rounded to 1 mm)."""
     rows = with_distance(incidents_with_station(incidents, stations, strategy, filtered), udf)
     return rows.withColumn("distance", F.round("distance", DISTANCE_DECIMALS))
 
 
 def station_distance(incidents: DataFrame, stations: DataFrame, strategy: str = "auto",
                      filtered: bool = True, udf: bool = False) -> DataFrame:
+    """Per division: mean incident-to-station distance and number of incidents, most first."""
     rows = with_distance(incidents_with_station(incidents, stations, strategy, filtered), udf)
     return (rows.groupBy("division")
                 .agg(F.round(F.avg("distance"), DISTANCE_DECIMALS).alias("average_distance"),

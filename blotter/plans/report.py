@@ -20,6 +20,7 @@ from .incidents import merge_extracts
 def all_questions(extract_a: DataFrame, extract_b: DataFrame, stations: DataFrame,
                   revgeo: DataFrame, income: DataFrame, typed_a: DataFrame,
                   strategy: str = "auto") -> dict[str, DataFrame]:
+    """Every question's answer, de-duplicating the extracts once."""
     merged = materialize(merge_extracts(extract_a, extract_b), "merged-incidents")
     return {
         "q1_top_months": q1.top_months(merged),

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
              header: bool = True) -> DataFrame:
+    """CSV with a header row, read against a declared schema."""
     return (spark.read.schema(schema)
             .option("header", header)
             .option("mode", "PERMISSIVE")
@@ -31,17 +32,20 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Write ``df`` as CSV with a header row; returns ``path``."""
     df.write.mode(mode).option("header", True).csv(path)
     return path
 
 
 def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Parquet table(s) at ``path``."""
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.parquet(*paths)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> str:
+    """Write ``df`` as Parquet (optionally partitioned); returns ``path``."""
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

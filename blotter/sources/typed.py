@@ -37,6 +37,7 @@ HOUSEHOLDS: Mapping[str, Converter] = {
 
 
 def typed(df: DataFrame, spec: Mapping[str, Converter]) -> DataFrame:
+    """One projection applying ``spec`` to the raw text columns."""
     return df.select(*_projection(spec, tuple(df.columns)))
 
 
