@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from .byte_bpe import encoding_digests
 from .common import table
 from .html_extract import extract_main_text
+from .path_join import near_duplicates
+from .simhash import as_hex, fingerprint_documents
 from .topk_search import top_k
 from .url_rules import judge_urls, rules_frame
 from .warc_derive import derive_records, response_records
@@ -38,6 +40,18 @@ def op5_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_records(response_records(table(spark, sf_dir, "pages", "page_id", "url", "html")))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's fingerprint, its edited text's, and how like they and the next document's are."""
+    f = fingerprint_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return f.select("doc_id", "n_chars", "edited_sha256", as_hex(F.col("f0"), F.col("f1")).alias("fingerprint"),
+                    as_hex(F.col("e0"), F.col("e1")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+def op6_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component on two-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), width=2)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's ids under the multilingual ranks, and back, as digests."""
     return encoding_digests(table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -50,7 +64,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op2_html_extract, op5_warc_derive, op9_byte_bpe, op10_topk_search)}
+QUERIES = {f.__name__: f for f in (op1_url_rules, op2_html_extract, op3_simhash, op5_warc_derive, op6_path_join, op9_byte_bpe, op10_topk_search)}
 
 _RULES_SQL = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
 
@@ -68,6 +82,26 @@ ORACLE = {
             SELECT rule_host || rule_path AS rule, verdict FROM rules
             WHERE (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, rule_path)
             ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC LIMIT 1) best ON true""",
+    "op6_path_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+                                              ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+            FROM words),
+        items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+        links AS (
+            SELECT a.doc_id AS x, b.doc_id AS y
+            FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
+                 AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            GROUP BY a.doc_id, b.doc_id
+            HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+        reach(x, y) AS (SELECT doc_id, doc_id FROM sets UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+        comp AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+        FROM sets s JOIN comp c USING (doc_id)""",
     "op10_topk_search": """
         WITH whole AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
