@@ -11,6 +11,7 @@ from .common import table
 from .html_extract import extract_main_text
 from .path_join import near_duplicates
 from .simhash import as_hex, fingerprint_documents
+from .token_packing import pack
 from .topk_search import top_k
 from .url_rules import judge_urls, rules_frame
 from .warc_derive import derive_records, response_records
@@ -52,6 +53,11 @@ def op6_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), width=2)
 
 
+def op8_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, packed into sequences."""
+    return pack(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's ids under the multilingual ranks, and back, as digests."""
     return encoding_digests(table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -64,7 +70,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op2_html_extract, op3_simhash, op5_warc_derive, op6_path_join, op9_byte_bpe, op10_topk_search)}
+QUERIES = {f.__name__: f for f in (op1_url_rules, op2_html_extract, op3_simhash, op5_warc_derive, op6_path_join, op8_token_packing, op9_byte_bpe, op10_topk_search)}
 
 _RULES_SQL = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
 
