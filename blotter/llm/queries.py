@@ -12,6 +12,7 @@ from .html_extract import extract_main_text
 from .path_join import near_duplicates
 from .simhash import as_hex, fingerprint_documents
 from .token_packing import pack
+from .toxicity import score_toxicity
 from .topk_search import top_k
 from .url_rules import judge_urls, rules_frame
 from .warc_derive import derive_records, response_records
@@ -36,6 +37,11 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity."""
+    return score_toxicity(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op5_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A metadata and a conversion record of every page's response."""
     return derive_records(response_records(table(spark, sf_dir, "pages", "page_id", "url", "html")))
@@ -70,7 +76,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op2_html_extract, op3_simhash, op5_warc_derive, op6_path_join, op8_token_packing, op9_byte_bpe, op10_topk_search)}
+QUERIES = {f.__name__: f for f in (op1_url_rules, op2_html_extract, op3_simhash, op4_toxicity, op5_warc_derive, op6_path_join, op8_token_packing, op9_byte_bpe, op10_topk_search)}
 
 _RULES_SQL = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
 
