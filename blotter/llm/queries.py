@@ -10,6 +10,7 @@ from .byte_bpe import encoding_digests
 from .common import table
 from .html_extract import extract_main_text
 from .path_join import near_duplicates
+from .quality import score_quality
 from .simhash import as_hex, fingerprint_documents
 from .token_packing import pack
 from .toxicity import score_toxicity
@@ -59,6 +60,13 @@ def op6_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), width=2)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality; its source is the host, its language there the path."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    return score_quality(docs, table(spark, sf_dir, "labels", "doc_id", "quality"), F.col("source"),
+                         F.concat_ws("/", "source", "lang"), ["doc_id"])
+
+
 def op8_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, packed into sequences."""
     return pack(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -76,7 +84,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op2_html_extract, op3_simhash, op4_toxicity, op5_warc_derive, op6_path_join, op8_token_packing, op9_byte_bpe, op10_topk_search)}
+QUERIES = {f.__name__: f for f in (op1_url_rules, op2_html_extract, op3_simhash, op4_toxicity, op5_warc_derive, op6_path_join, op7_quality, op8_token_packing, op9_byte_bpe, op10_topk_search)}
 
 _RULES_SQL = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
 
