@@ -70,7 +70,7 @@ def shape_features(some: list[str]) -> np.ndarray:
     return out
 
 
-def fit(x: np.ndarray, y: np.ndarray, rounds: int = 200, rate: float = 0.5, ridge: float = 1e-3) -> np.ndarray:
+def fit(x: np.ndarray, y: np.ndarray, rounds: int = 200, rate: float = 2.0, ridge: float = 1e-3) -> np.ndarray:
     """Weights (bias last) of a logistic regression on balanced classes, by gradient descent with momentum."""
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1, dtype=np.float64)
     share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
