@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from .common import remove, write_table
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, component) of every id in ``links`` (a, b); component is the smallest id reachable.
+def components(links: DataFrame) -> tuple[DataFrame, str]:
+    """(node, component) of every id in ``links`` (a, b), and where it is written; component is the smallest id reachable.
 
     Each round every id points to its smallest neighbour if that is smaller,
     pointers are followed to their ends (doubling each step), and links are
@@ -26,8 +26,10 @@ def components(links: DataFrame) -> DataFrame:
         ends, ends_at = write_table(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("end"))
                                     .select("node", F.least("node", "end").alias("end")), "cc-ends")
         while True:
-            nxt = ends.select(F.col("node").alias("end"), F.col("end").alias("further"))
-            jumped, at = write_table(ends.join(nxt, "end").select("node", F.col("further").alias("end"), (F.col("further") != F.col("end")).alias("moved")), "cc-ends")
+            # Twice as far, and twice again.
+            once = ends.join(ends.select(F.col("node").alias("end"), F.col("end").alias("e2")), "end").select("node", "e2")
+            further = once.select(F.col("node").alias("e2"), F.col("e2").alias("e4"))
+            jumped, at = write_table(once.join(further, "e2").select("node", F.col("e4").alias("end"), (F.col("e4") != F.col("e2")).alias("moved")), "cc-ends")
             old.append(ends_at)
             ends, ends_at = jumped.select("node", "end"), at
             if jumped.filter("moved").isEmpty():
@@ -45,7 +47,7 @@ def components(links: DataFrame) -> DataFrame:
                                       .select(F.col("ea").alias("a"), F.col("eb").alias("b")).distinct(), "cc-edges")
     old.append(edges_at)
     if found is None:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    found, _ = write_table(found, "cc-found")
+        found = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    found, found_at = write_table(found, "cc-found")
     remove(spark, *old)
-    return found
+    return found, found_at

@@ -3,7 +3,7 @@
 A document is the set of its word shingles. Documents with equal sets are
 one class; from then on only classes are worked on. Each class has a
 signature of minwise tokens (the smallest value of its set under each of
-``COORDINATES`` hash functions), and a sketch of one bit of each.
+``COORDINATES`` hash functions), and a sketch of four bits of each.
 
 In every tree a class descends from the root along ``BRANCHES`` minwise
 tokens that the node chooses: a child is the node's path with the token's
@@ -11,8 +11,7 @@ value, so classes meet in a child if they share the token. Two classes of
 similarity s share a child with probability 1 - (1-s)^2 or more; ``trees``
 independent trees miss a pair at the threshold 0.8 with a probability under
 1e-4. Nodes are split until they are small, or tight (at least half of the
-members are near the node's centre by sketch: splitting would not part
-them), or ``max_depth`` is reached; no node is ever dropped.
+members are so near the node's centre that splitting would not part them), or ``max_depth`` is reached; no node is ever dropped.
 
 Candidates in final nodes are compared exhaustively, but never as all pairs
 of a group of copies:
@@ -20,11 +19,12 @@ of a group of copies:
 1. each class with its best centre among its nodes (at most one candidate
    per class); those confirmed on full sets join classes into components;
 2. only members of a node that are in different components are compared
-   further: in up to ``NEAREST_TURNS`` turns the pair with the nearest
-   sketches of each two components, then every pair that is left.
+   further: a class asks every larger component that has a member near it in
+   a node, and is joined to it if any of its members is similar enough. A
+   semi-join on full sets answers that, so no pairs are written out.
 
-Two members of one component need no comparing, so what is compared in a
-group of n copies is about n. All links are confirmed on full sets.
+Two members of one component need no comparing, so what a group of n
+copies costs is about n. All links are confirmed on full sets.
 
 Defined results: a null text is empty; documents without words have the
 empty set and link with nothing; with fewer words than a shingle the whole
@@ -38,6 +38,7 @@ Sets hold 64-bit hashes of shingles, classes 128-bit digests of sets.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +52,13 @@ from .words import BASE, U, mix, shingle_sets
 COORDINATES = 128
 BRANCHES = 2
 FIRST_DEPTH = 3
-SMALL_NODE = 24
-# Of 128 sketch bits a pair at similarity 0.8 differs in 13, with a deviation of 3.4.
-SKETCH_NEAR = 32
-NEAREST_TURNS = 2
+SMALL_NODE = 100
+# Of the 128 tokens' sketches two sets of similarity s differ in 128 * (1 - s) * 15/16: at 0.8 in 24, with a deviation
+# of 4.4; five deviations more are still compared. At 0.5, where splitting stops to pay, they differ in 60.
+SKETCH_NEAR = 46
+SKETCH_TIGHT = 60
+SKETCH = [f"s{i}" for i in range(COORDINATES // 16)]
+NIBBLES = 0x1111111111111111
 _SEEDS = mix(np.arange(1, COORDINATES + 1, dtype=U) * U(0xD1B54A32D192ED03))
 _ODD = mix(_SEEDS) | U(1)
 
@@ -80,28 +84,29 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def set_table(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(id_col, n_shingles, set_id, minwise, s0, s1) of every row; for an empty set the last four are null."""
+    """(id_col, n_shingles, set_id, minwise, *SKETCH) of every row; for an empty set all but two are null."""
     def start():
         def run(batch: pa.RecordBatch) -> dict:
-            out: dict[str, list] = {k: [] for k in ("n_shingles", "set_id", "minwise", "s0", "s1")}
+            out: dict[str, list] = {k: [] for k in ("n_shingles", "set_id", "minwise", *SKETCH)}
             sets = shingle_sets(texts(batch, text_col), width)
             for a in range(0, len(sets), 512):
                 some = sets[a:a + 512]
                 sig = signatures([s for s in some if len(s)])
-                bits = np.packbits((mix(sig) & U(1)).astype(np.uint8), axis=1).view("<i8")
+                four = (mix(sig) & U(15)).astype(np.uint8)
+                sketch = np.ascontiguousarray(four[:, 0::2] | four[:, 1::2] << 4).view("<i8")
                 row = iter(range(len(sig)))
                 for s in some:
                     out["n_shingles"].append(len(s))
                     k = next(row) if len(s) else None
                     out["set_id"].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     out["minwise"].append(sig[k].tobytes() if len(s) else None)
-                    out["s0"].append(int(bits[k, 0]) if len(s) else None)
-                    out["s1"].append(int(bits[k, 1]) if len(s) else None)
+                    for i, c in enumerate(SKETCH):
+                        out[c].append(int(sketch[k, i]) if len(s) else None)
             return out
         return run
 
     return map_batches(docs.select(id_col, text_col), [id_col], start,
-                       {"n_shingles": pa.int64(), "set_id": pa.binary(), "minwise": pa.binary(), "s0": pa.int64(), "s1": pa.int64()})
+                       {"n_shingles": pa.int64(), "set_id": pa.binary(), "minwise": pa.binary(), **dict.fromkeys(SKETCH, pa.int64())})
 
 
 def _children(nodes: np.ndarray, minwise: np.ndarray) -> np.ndarray:
@@ -136,7 +141,14 @@ def _branch(rows: DataFrame, trees: int | None = None, depth: int = 1) -> DataFr
 
 
 def _differing(a: str, b: str) -> Column:
-    return F.bit_count(F.col(f"{a}s0").bitwiseXOR(F.col(f"{b}s0"))) + F.bit_count(F.col(f"{a}s1").bitwiseXOR(F.col(f"{b}s1")))
+    """Number of tokens whose sketches differ."""
+    def each(c: str) -> Column:
+        x = F.col(a + c).bitwiseXOR(F.col(b + c))
+        for by in (1, 2):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, by))
+        return F.bit_count(x.bitwiseAND(F.lit(NIBBLES)))
+
+    return reduce(Column.__add__, [each(c) for c in SKETCH])
 
 
 def _close(a: str, b: str, percent: int) -> Column:
@@ -145,6 +157,12 @@ def _close(a: str, b: str, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (_differing(a, b) <= SKETCH_NEAR)
 
 
+def _similar(a: str, b: str, percent: int) -> Column:
+    """Whether two full sets, as arrays, are similar enough."""
+    common = F.size(F.array_intersect(a, b))
+    return common * 100 >= (F.size(a) + F.size(b) - common) * percent
+
+
 def _named(df: DataFrame, prefix: str, *cols: str) -> DataFrame:
     return df.select("path", *[F.col(c).alias(prefix + c) for c in cols])
 
@@ -167,9 +185,9 @@ class _Join:
         return df
 
     def nodes(self) -> DataFrame:
-        """(path, rep, s0, s1, n, centre) of the members of all final nodes that have two or more."""
+        """(path, rep, *SKETCH, n, centre) of the members of all final nodes that have two or more."""
         frontier = _branch(self.classes.select("rep", "minwise"), self.trees, FIRST_DEPTH)
-        sketch = self.classes.select("rep", "s0", "s1", "n")
+        sketch = self.classes.select("rep", *SKETCH, "n")
         final: list[DataFrame] = []
         for depth in range(FIRST_DEPTH, self.max_depth + 1):
             frontier = self.keep(frontier, "frontier") if depth > FIRST_DEPTH else frontier
@@ -181,8 +199,8 @@ class _Join:
                 break
             # A node is split if it is large and most members are not near its centre.
             big = live.filter(F.col("size") > SMALL_NODE)
-            near = F.when(_close("", "c_", self.percent), 1.0).otherwise(0.0)
-            loose = self.keep(big.join(_named(big.filter("centre"), "c_", "s0", "s1", "n"), "path")
+            near = F.when(_differing("", "c_") <= SKETCH_TIGHT, 1.0).otherwise(0.0)
+            loose = self.keep(big.join(_named(big.filter("centre"), "c_", *SKETCH), "path")
                               .groupBy("path").agg(F.avg(near).alias("near")).filter("near < 0.5").select("path"), "loose")
             if loose.isEmpty():
                 final.append(live)
@@ -193,7 +211,7 @@ class _Join:
         out = final[0]
         for f in final[1:]:
             out = out.unionByName(f)
-        return out.select("path", "rep", "s0", "s1", "n", "centre")
+        return out.select("path", "rep", *SKETCH, "n", "centre")
 
     def sets(self, nodes: DataFrame) -> DataFrame:
         """(rep, items) of the classes that share a node with another: their full sets, made anew from the texts."""
@@ -215,70 +233,71 @@ class _Join:
         sets = self.sets(nodes)
         left = sets.select(F.col("rep").alias("a"), F.col("items").alias("ia"))
         right = sets.select(F.col("rep").alias("b"), F.col("items").alias("ib"))
-        common = F.size(F.array_intersect("ia", "ib"))
-        either = F.size("ia") + F.size("ib") - common
         return (pairs.select("a", "b").join(right, "b").join(left, "a")
-                .filter(common * 100 >= either * self.percent).select("a", "b").distinct())
+                .filter(_similar("ia", "ib", self.percent)).select("a", "b").distinct())
 
     def components(self) -> DataFrame:
         """(node, component) of the classes that are linked to another; the component is its smallest class."""
         nodes = self.keep(self.nodes(), "final")
         # 1. Each class and the best centre among its nodes.
-        star = (nodes.filter(~F.col("centre")).join(_named(nodes.filter("centre"), "c_", "rep", "s0", "s1", "n"), "path")
+        star = (nodes.filter(~F.col("centre")).join(_named(nodes.filter("centre"), "c_", "rep", *SKETCH, "n"), "path")
                 .filter(_close("", "c_", self.percent)).groupBy(F.col("rep").alias("a"))
                 .agg(F.min(F.struct(_differing("", "c_").alias("d"), F.col("c_rep").alias("b"))).alias("best"))
                 .select("a", "best.b"))
-        tried = self.keep(self._with_tries(star, nodes), "tried")
-        every_pair = False
-        for turn in range(1, NEAREST_TURNS + 3):
-            comps = components(tried.filter("linked"))
-            if every_pair:
-                return comps
-            # 2. Nodes that still hold several components, and their pairs across components.
-            placed = (nodes.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-                      .select("path", "rep", "s0", "s1", "n", F.coalesce("component", "rep").alias("comp")))
-            mixed = (placed.groupBy("path").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-                     .filter("x <> y").select("path"))
-            placed = self.keep(placed.join(mixed, "path"), "mixed")
-            across = (placed.join(_named(placed, "o_", "rep", "s0", "s1", "n", "comp"), "path")
-                      .filter((F.col("comp") < F.col("o_comp")) & _close("", "o_", self.percent))
-                      .select("comp", "o_comp", F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b"),
-                              _differing("", "o_").alias("d")).distinct())
-            fresh = self.keep(across.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "across")
-            if fresh.isEmpty():
-                return comps
-            every_pair = turn > NEAREST_TURNS
-            pairs = fresh if every_pair else fresh.groupBy("comp", "o_comp").agg(F.min(F.struct("d", "a", "b")).alias("p")).select("p.*")
-            now = self.keep(self._with_tries(pairs, nodes), "tried")
-            if not every_pair and now.filter("linked").isEmpty():
-                # Nothing joins by its nearest pair: every pair that is left, in the same components.
-                rest = fresh.join(now.select("a", "b"), ["a", "b"], "left_anti")
-                now = self.keep(now.unionByName(self._with_tries(rest, nodes)), "tried")
-                every_pair = True
-            tried = self.keep(tried.unionByName(now), "tried")
-        raise AssertionError("unreachable")
-
-    def _with_tries(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """(a, b, linked) with a < b for pairs in any order."""
-        p = self.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        ok = self.confirmed(p, nodes).withColumn("linked", F.lit(True))
-        return p.join(ok, ["a", "b"], "left").select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked"))
-
-
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 4, max_depth: int = 14,
+        links = self.keep(self.confirmed(star, nodes), "star")
+        comps, comps_at = components(links)
+        self.made.append(comps_at)
+
+        # 2. Classes in a node with a class of another component, and that component; asked from the smaller's side.
+        size = comps.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+        member = self.keep(self.classes.select("rep", *SKETCH, "n").join(comps.join(size, "component").withColumnRenamed("node", "rep"), "rep", "left")
+                           .select("rep", *SKETCH, "n", F.coalesce("component", "rep").alias("comp"), F.coalesce("size", F.lit(1)).alias("size")), "members")
+        placed = nodes.select("path", "rep").join(member, "rep")
+        mixed = placed.groupBy("path").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("path")
+        placed = self.keep(placed.join(mixed, "path"), "mixed")
+        smaller = (F.col("size") < F.col("o_size")) | ((F.col("size") == F.col("o_size")) & (F.col("comp") < F.col("o_comp")))
+        single = _named(placed.filter("size = 1"), "o_", *SKETCH, "n", "comp", "size")
+        group = placed.filter("size > 1")
+        groups = _named(group.select("path", "comp", "size").distinct(), "o_", "comp", "size")
+        asked = (placed.join(single, "path").filter(smaller & _close("", "o_", self.percent)).select("rep", "o_comp")
+                 .unionByName(
+                     placed.join(groups, "path").filter(smaller)
+                     .join(group.select(F.col("path").alias("at"), *[F.col(c).alias("m_" + c) for c in ("comp", *SKETCH, "n")]),
+                           (F.col("path") == F.col("at")) & (F.col("o_comp") == F.col("m_comp")) & _close("", "m_", self.percent), "left_semi")
+                     .select("rep", "o_comp"))
+                 .distinct())
+        asked = self.keep(asked, "asked")
+        # A link to any member joins the two; the sets are compared within the join, so no pairs are made.
+        sets = self.sets(nodes)
+        x = (asked.join(member.select("rep", *SKETCH, "n"), "rep").join(sets, "rep"))
+        y = (member.select(F.col("rep").alias("m_rep"), "comp", *[F.col(c).alias("m_" + c) for c in (*SKETCH, "n")])
+             .join(asked.select(F.col("o_comp").alias("comp")).distinct(), "comp", "left_semi")
+             .join(sets.select(F.col("rep").alias("m_rep"), F.col("items").alias("m_items")), "m_rep").drop("m_rep"))
+        more = self.keep(x.join(y, (F.col("o_comp") == F.col("comp")) & _close("", "m_", self.percent)
+                                & _similar("items", "m_items", self.percent), "left_semi")
+                         .select(F.col("rep").alias("a"), F.col("o_comp").alias("b")), "more")
+        if more.isEmpty():
+            return comps
+        comps, comps_at = components(links.unionByName(more))
+        self.made.append(comps_at)
+        return comps
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 4, max_depth: int = 10,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_shingles, component_id, kept) of every row: its set's size, the smallest id of its component."""
     every, every_at = write_table(set_table(docs, width, id_col, text_col), "near-docs")
     whole = every.filter(F.col("set_id").isNotNull() & F.col(id_col).isNotNull())
     # One class per distinct set; copies collapse in the map-side part of this aggregation.
     classes, classes_at = write_table(whole.groupBy("set_id").agg(F.min(F.struct(
-        F.col(id_col).cast("bigint").alias("rep"), "minwise", "s0", "s1", F.col("n_shingles").alias("n"))).alias("c"))
+        F.col(id_col).cast("bigint").alias("rep"), "minwise", *SKETCH, F.col("n_shingles").alias("n"))).alias("c"))
         .select("set_id", "c.*"), "near-classes")
     run = _Join(docs, classes.drop("set_id"), width, percent, trees, max_depth, id_col, text_col)
-    named = (classes.select("set_id", "rep").join(run.components().withColumnRenamed("node", "rep"), "rep", "left")
+    comps = run.components()
+    named = (classes.select("set_id", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
              .select("set_id", F.coalesce("component", "rep").alias("component")))
     # Few distinct sets hold many rows each, at most: a join that may split the rows of one.
-    out = (every.drop("minwise", "s0", "s1").join(named, "set_id", "left")
+    out = (every.drop("minwise", *SKETCH).join(named, "set_id", "left")
            .select(id_col, "n_shingles", F.when(F.col(id_col).isNotNull(), F.coalesce("component", F.col(id_col).cast("bigint"))).alias("component_id")))
     out, _ = write_table(out.withColumn("kept", F.col(id_col).cast("bigint").eqNullSafe(F.col("component_id"))), "near-result")
     remove(docs.sparkSession, every_at, classes_at, *run.made)

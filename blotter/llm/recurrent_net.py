@@ -23,6 +23,8 @@ INPUT, HIDDEN = 12, 8
 GRAMS = (4, 5)                  # characters (UTF-8 bytes), borders included
 BATCH = 512                     # windows scored at once
 F32 = np.float32
+BORDER = np.array([32], np.uint8)
+WORDLESS = -10.0                # the score of a text without words: nothing speaks for label 1
 
 
 @dataclass
@@ -69,12 +71,13 @@ def read_words(texts: list[str]) -> Words:
     for data, (ends, owners) in parts(texts):
         folded = FOLD[data]
         letter = ((folded >= 97) & (folded <= 122)) | (folded >= 128)
-        clean = np.where(letter, folded, np.uint8(32))
-        starts, stops = word_spans(np.append(clean, np.uint8(32)))
-        np.add.at(counts, owners, np.diff(np.searchsorted(starts, np.concatenate([[0], ends]))))
+        # With a border before the first word and after the last.
+        clean = np.concatenate([BORDER, np.where(letter, folded, BORDER), BORDER])
+        starts, stops = word_spans(clean)
+        np.add.at(counts, owners, np.diff(np.searchsorted(starts, np.concatenate([[0], ends + 1]))))
         if not len(starts):
             continue
-        sums = prefix_sums(np.append(clean, np.uint8(32)))
+        sums = prefix_sums(clean)
         n = stops - starts
         # Grams begin anywhere from the border before the word, and end by the border after it.
         per = [np.maximum(n + 2 - g + 1, 0) for g in GRAMS]
@@ -83,12 +86,12 @@ def read_words(texts: list[str]) -> Words:
         hashes = np.empty(first[-1], U)
         hashes[first[:-1]] = span_hashes(sums, starts, stops)
         done = first[:-1] + 1
-        low = np.maximum(starts - 1, 0)
+        low = starts - 1
         for g, k in zip(GRAMS, per):
             word = np.repeat(np.arange(len(k)), k)
             step = np.arange(len(word)) - np.repeat(np.cumsum(k) - k, k)
             at = low[word] + step
-            hashes[done[word] + step] = span_hashes(sums, at, np.minimum(at + g, len(clean))) ^ U(g)
+            hashes[done[word] + step] = span_hashes(sums, at, at + g) ^ U(g)
             done = done + k
         rows.append((mix(hashes) % U(ROWS)).astype(np.int32))
         sizes.append(size)
@@ -106,7 +109,7 @@ def word_vectors(net: Net, words: Words, begin: int, end: int) -> np.ndarray:
 
 
 def windows(n_words: int) -> np.ndarray:
-    """Starts of the overlapping windows that cover ``n_words`` words; one (empty) for none."""
+    """Starts of the overlapping windows that cover ``n_words`` words; one, which is empty, for none."""
     if n_words <= WINDOW:
         return np.zeros(1, np.int64)
     return np.append(np.arange(0, n_words - WINDOW, STRIDE), n_words - WINDOW)
@@ -207,6 +210,7 @@ def score_texts(net: Net, texts: list[str]) -> np.ndarray:
         lo, hi = int(begins[some].min()), int((begins[some] + lengths[some]).max())
         x, mask, _ = _gather(word_vectors(net, words, lo, hi), begins[some] - lo, lengths[some])
         np.maximum.at(best, owner[some], _forward(net, x, mask))
+    best[counts == 0] = WORDLESS
     return best
 
 

@@ -102,8 +102,10 @@ def block_tables(prints: DataFrame, radius: int, exact: int = 2) -> DataFrame:
     """(f0, f1, table, key): every fingerprint once in each table."""
     n = radius + exact
     n += n % 2
+
     def part(first: int, bits: int) -> Column:
-        return F.shiftrightunsigned(F.col(f"f{first // 64}"), first % 64).bitwiseAND(F.lit((1 << bits) - 1))
+        word = F.shiftrightunsigned(F.col(f"f{first // 64}"), first % 64)
+        return word if bits == 64 else word.bitwiseAND(F.lit((1 << bits) - 1))
 
     chosen = combinations(_blocks(n), exact + (n - radius - exact))
     entries = [F.struct(F.lit(t).alias("table"), F.xxhash64(*[part(*b) for b in blocks]).alias("key"))

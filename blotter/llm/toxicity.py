@@ -12,10 +12,10 @@ The sample is at most ``per_class`` documents of each label, of at most
 whose CRC-32 of the id as text leaves a remainder other than 0 modulo
 ``FOLDS`` are ever learnt from. Text alone is an input of a score.
 
-Defined results: a null text is empty; empty texts and texts without words
-have one window without words, and a score; repeated rows have equal
-scores; a document labelled twice counts as toxic if one label says so;
-with no label of one kind to learn from every score is 0.
+Defined results: a null text is empty; texts without words have a score
+near 0; repeated rows have equal scores (up to rounding of sums); a document
+labelled twice counts as toxic if one label says so; with no label of one
+kind to learn from every score is 0.
 """
 
 from __future__ import annotations

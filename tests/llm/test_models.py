@@ -1,0 +1,159 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from blotter.llm.quality import score_quality, shape_features
+from blotter.llm.recurrent_net import STRIDE, WINDOW, _backward, _forward, new_net, read_words, score_texts, windows
+from blotter.llm.toxicity import score_toxicity, stretches, worst_windows
+from helpers import AWKWARD, docs
+from pyspark.sql import functions as F
+
+MID = "/root/testdata/sf0.01"
+
+
+def tables(spark, *names):
+    return [spark.read.parquet(f"{MID}/{n}.parquet") for n in names]
+
+
+# --- the network ------------------------------------------------------------
+
+def test_gradients_are_those_of_the_score():
+    r, net = np.random.default_rng(1), new_net(3)
+    for k, v in net.parameters().items():
+        net.__dict__[k] = v.astype(np.float64)
+    x = r.standard_normal((5, 3, net.wx.shape[1]))
+    mask = (np.arange(5)[:, None] < np.array([5, 3, 1])).astype(float)
+    keep = []
+    weight = r.standard_normal(3)
+    _forward(net, x, mask, keep)
+    grads, d_x = _backward(net, x, keep, weight)
+    f = lambda: float(_forward(net, x, mask) @ weight)
+    for name, target, g in [*((k, getattr(net, k), v) for k, v in grads.items()), ("x", x, d_x)]:
+        for at in [tuple(r.integers(0, s) for s in target.shape) for _ in range(4)]:
+            old = target[at]
+            target[at] = old + 1e-3
+            up = f()
+            target[at] = old - 1e-3
+            down = f()
+            target[at] = old
+            assert abs((up - down) / 2e-3 - g[at]) < 2e-3 * max(1.0, abs(g[at])), (name, at)
+
+
+def test_windows_cover_every_word_and_overlap():
+    for n in range(0, 200):
+        w = windows(n)
+        assert set().union(*(range(s, min(n, s + WINDOW)) for s in w)) == set(range(n))
+        assert all(b - a <= STRIDE for a, b in zip(w, w[1:])) and w[-1] == max(0, n - WINDOW)
+
+
+def test_scores_do_not_depend_on_the_company():
+    net = new_net(2)
+    net.table[:] = np.random.default_rng(1).standard_normal(net.table.shape)
+    some = ["Hello there, you!", "", "a " * 500, "word", "é " * 40 + "END", "1 2 3"]
+    alone = np.array([score_texts(net, [t])[0] for t in some])
+    assert np.allclose(score_texts(net, some), alone, atol=1e-4)
+    assert np.isfinite(alone).all() and read_words(["", "12 !"]).text_first.tolist() == [0, 0, 0]
+
+
+def test_long_texts_are_scored_in_stretches(monkeypatch):
+    from blotter.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "TEXT_CHARS", 400)
+    text = " ".join(f"word{k}" for k in range(600))
+    pieces = stretches(text)
+    assert len(pieces) > 5 and all(p in text for p in pieces) and text.startswith(pieces[0]) and text.endswith(pieces[-1])
+    seen = {tuple(p.split()[k:k + WINDOW]) for p in pieces for k in range(len(p.split()))}
+    assert {w for p in seen for w in p} == set(text.split())
+    assert stretches("") == [""] and stretches("x" * 1000)[0] == "x" * 1000
+    net = new_net(2)
+    assert worst_windows(net, [text, ""]).shape == (2,)
+
+
+# --- toxicity ---------------------------------------------------------------
+
+def test_toxic_documents_are_found_among_those_never_learnt_from(spark):
+    d, labels = tables(spark, "documents", "labels")
+    out = {r["doc_id"]: r for r in score_toxicity(d, labels).collect()}
+    assert len(out) == 1000 and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in out.values())
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in out.items())
+    known = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    held = [(out[i]["score"], t) for i, t in known.items() if out[i]["held_out"]]
+    pairs = [(a > b) + 0.5 * (a == b) for a, t in held if t for b, u in held if not u]
+    assert sum(pairs) / len(pairs) > 0.85
+    assert sum(out[i]["predicted"] for i, t in known.items() if not t) < 0.05 * len(known)
+
+
+def test_labels_of_held_out_rows_lang_and_source_are_no_inputs(spark):
+    d, labels = tables(spark, "documents", "labels")
+    flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    changed = d.withColumns({"lang": F.lit("xx"), "source": F.lit("y")})
+    get = lambda x, y: {r["doc_id"]: r["score"] for r in score_toxicity(x, y, per_class=30, epochs=1).collect()}
+    assert get(d, labels) == get(changed, flipped)
+
+
+def test_toxicity_of_awkward_rows(spark):
+    _, labels = tables(spark, "documents", "labels")
+    out = score_toxicity(docs(spark, AWKWARD), labels).collect()
+    assert len(out) == len(AWKWARD) and {r["score"] for r in out} == {0.0}       # nothing to learn from
+    rows = [*AWKWARD, *((k, "bad word here") for k in range(100, 130)), *((k, "good word there") for k in range(200, 230))]
+    marks = spark.createDataFrame([(k, int(k < 200)) for k, t in rows if k and k >= 100] + [(None, 1), (5, None)], "doc_id bigint, toxic int")
+    out = score_toxicity(docs(spark, rows), marks, epochs=12).collect()
+    by = {r["doc_id"]: r["score"] for r in out}
+    assert len(out) == len(rows) and by[100] == pytest.approx(by[129], abs=1e-5) and by[200] == pytest.approx(by[229], abs=1e-5)
+    assert by[100] > 0.5 > by[200] and by[1] < 0.1 > by[3]
+    assert score_toxicity(docs(spark, rows).limit(0), marks).count() == 0
+
+
+# --- quality ----------------------------------------------------------------
+
+def score(spark, d, labels):
+    return score_quality(d, labels, F.col("source"), F.concat_ws("/", "source", "lang"), ["doc_id"])
+
+
+def test_poor_documents_are_found_and_good_ones_kept(spark):
+    d, labels = tables(spark, "documents", "labels")
+    out = {r["doc_id"]: r for r in score(spark, d, labels.filter("doc_id % 3 > 0")).collect()}
+    known = {r["doc_id"]: r["quality"] for r in labels.filter("doc_id % 3 = 0").collect()}
+    good = [out[i]["good"] for i, q in known.items() if q == 1]
+    poor = [out[i]["good"] for i, q in known.items() if q == 0]
+    assert sum(good) >= 0.97 * len(good) and sum(poor) <= 0.5 * len(poor)
+
+
+def test_posteriors_against_brute_force(spark):
+    r = random.Random(3)
+    rows = [(k, r.choice(["a good text here", "BAD!! ### $$$ |||", "some | text", ""]) + " x" * r.randint(0, 9), "l" + str(r.randint(0, 2)),
+             None if k % 11 == 0 else "h" + str(r.randint(0, 4)), 0) for k in range(200)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = spark.createDataFrame([(k, int("BAD" not in t)) for k, t, *_ in rows if k % 2], "doc_id bigint, quality int")
+    out = [x.asDict() for x in score_quality(d, labels, F.col("source"), F.concat(F.col("source"), F.col("lang")), ["doc_id"]).collect()]
+    assert len(out) == 200
+    mean = sum(x["evidence"] for x in out) / len(out)
+    groups = {}
+    for x in out:
+        for k in (x["host"], (x["host"], x["path"])):
+            groups.setdefault(k, []).append(x["evidence"])
+    hosts = {h: v for h, v in groups.items() if not isinstance(h, tuple)}
+    # One strength explains every host's posterior, and one every path's.
+    strengths = {h: (sum(v) - len(v) * next(x["host_posterior"] for x in out if x["host"] == h)) /
+                 (next(x["host_posterior"] for x in out if x["host"] == h) - mean) for h, v in hosts.items()}
+    assert max(strengths.values()) - min(strengths.values()) < 1e-3 * max(1.0, max(strengths.values()))
+    k_path = set()
+    for x in out:
+        v = groups[(x["host"], x["path"])]
+        rest, m, post = sum(v) - x["evidence"], len(v) - 1, x["path_posterior"]
+        if abs(post - x["host_posterior"]) > 1e-6:
+            k_path.add(round((rest - m * post) / (post - x["host_posterior"]), 3))
+        logit = lambda p: np.log(p / (1 - p))
+        want = 1 / (1 + np.exp(-(logit(x["evidence"]) + logit(post) - logit(mean))))
+        assert abs(x["posterior"] - want) < 1e-9 and x["good"] == (x["posterior"] >= 0.5)
+    assert max(k_path) - min(k_path) < 0.01 * max(k_path)
+
+
+def test_quality_of_awkward_rows(spark):
+    _, labels = tables(spark, "documents", "labels")
+    assert score(spark, docs(spark, AWKWARD), labels.limit(0)).count() == len(AWKWARD)
+    assert score(spark, docs(spark, AWKWARD).limit(0), labels).count() == 0
+    x = shape_features(["", "Word, word", "Word,\n word " * 400, "  ", "é1"])
+    assert x.shape[0] == 5 and np.isfinite(x).all() and not x[0, :-2].any()
+    assert np.array_equal(shape_features(["a", "Word, word", "b"])[1], shape_features(["Word, word"])[0])

@@ -1,0 +1,60 @@
+import random
+
+import pytest
+from blotter.llm.queries import URL_RULES, op1_url_rules
+from blotter.llm.url_rules import judge_urls, rules_frame
+
+RULES = [*URL_RULES, ("b.com", "", "block"), ("a.b.com", "/x", "allow"), ("a.b.com", "/x", "block"), ("c.a.b.com", "/x/y", "allow"),
+         ("b.com", "/x/y/z/long", "allow"), ("", "/", "block"), (None, "/", "block"), ("org", None, "block")]
+URLS = [None, "", "no scheme", "http://", "http://com", "http://com/", "HTTP://A.B.COM/x", "https://a.b.com/x/y", "http://c.a.b.com/x/y/z/long?q#f",
+        "http://b.com?x=1", "http://xb.com/", "http://.com/", "http://b.com./", "http://a..com/", "http://com.example/", "x://y://b.com/",
+        "http://www.example.com/en/1", "http://m.example.com/en/1", "http://example.com/en", "http://a.net/es/", "http://a.net/esx", "http://net/fr/1",
+        "http://ex\nample.com/e\nn/", "http://zz.org", "http://b.com:80/x", "http://É.com/", "http://" + "a." * 50 + "com/" + "p/" * 2000]
+
+
+def brute(url, rules):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+        path = rest[cut:]
+        path = path[:min([path.find(c) for c in "?#" if c in path], default=len(path))]
+    fits = [(len(h + (p or "")), len(h), v, h + (p or "")) for h, p, v in rules
+            if h and (host == h or host.endswith("." + h)) and path.startswith(p or "")]
+    best = max(fits, default=None)
+    return (host, path, best[3], best[2]) if best else (host, path, None, "allow")
+
+
+def check(spark, urls, rules, **kw):
+    rows = spark.createDataFrame([(i, u, "x", "x") for i, u in enumerate(urls)], "page_id bigint, url string, host string, stack string")
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in judge_urls(rows, rules_frame(spark, rules), **kw).collect()}
+    assert len(got) == len(urls)
+    for i, u in enumerate(urls):
+        assert got[i] == brute(u, rules), u
+
+
+@pytest.mark.parametrize("salts", [1, 7])
+def test_awkward_urls(spark, salts):
+    check(spark, URLS, RULES, salts=salts)
+
+
+def test_random_nested_rules(spark):
+    r = random.Random(5)
+    host = lambda: ".".join(r.choice("abc") for _ in range(r.randint(1, 4)))
+    path = lambda: "".join(r.choice(["/", "x", "y"]) for _ in range(r.randint(0, 4)))
+    rules = list({(h, p): (h, p, r.choice(["allow", "block"])) for h, p in ((host(), "/" + path()) for _ in range(60))}.values())
+    check(spark, [f"http://{host()}/{path()}" for _ in range(400)], rules)
+
+
+def test_nulls_repeats_and_no_rows(spark):
+    rows = spark.createDataFrame([(None, "http://a.net/es/"), (1, "http://a.net/es/"), (1, "http://a.net/es/")], "page_id bigint, url string")
+    out = judge_urls(rows, rules_frame(spark, URL_RULES)).collect()
+    assert [r["verdict"] for r in out] == ["block"] * 3
+    assert judge_urls(rows.limit(0), rules_frame(spark, URL_RULES)).count() == 0
+    assert {r["rule"] for r in judge_urls(rows, rules_frame(spark, []) if False else rules_frame(spark, [("x", "/", "block")])).collect()} == {None}
+
+
+def test_query_runs_no_python(spark):
+    plan = op1_url_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
