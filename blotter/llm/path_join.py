@@ -254,14 +254,18 @@ class _Join:
                            .select("rep", *SKETCH, "n", F.coalesce("component", "rep").alias("comp"), F.coalesce("size", F.lit(1)).alias("size")), "members")
         placed = nodes.select("path", "rep").join(member, "rep")
         mixed = placed.groupBy("path").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("path")
-        placed = self.keep(placed.join(mixed, "path"), "mixed")
+        placed = self.keep(placed.join(mixed, "path"), "in-mixed")
+        # A class is in a bounded number of nodes; two that share several are paired in the first of them only.
+        paths = placed.groupBy("rep").agg(F.collect_list("path").alias("paths"))
+        placed = self.keep(placed.join(paths, "rep"), "mixed")
         smaller = (F.col("size") < F.col("o_size")) | ((F.col("size") == F.col("o_size")) & (F.col("comp") < F.col("o_comp")))
-        single = _named(placed.filter("size = 1"), "o_", *SKETCH, "n", "comp", "size")
-        group = placed.filter("size > 1")
+        single = _named(placed.filter("size = 1"), "o_", *SKETCH, "n", "comp", "size", "paths")
+        once = F.array_min(F.array_intersect("paths", "o_paths")) == F.col("path")
+        group = placed.filter("size > 1").drop("paths")
         groups = _named(group.select("path", "comp", "size").distinct(), "o_", "comp", "size")
-        asked = (placed.join(single, "path").filter(smaller & _close("", "o_", self.percent)).select("rep", "o_comp")
+        asked = (placed.join(single, "path").filter(smaller & _close("", "o_", self.percent) & once).select("rep", "o_comp")
                  .unionByName(
-                     placed.join(groups, "path").filter(smaller)
+                     placed.drop("paths").join(groups, "path").filter(smaller)
                      .join(group.select(F.col("path").alias("at"), *[F.col(c).alias("m_" + c) for c in ("comp", *SKETCH, "n")]),
                            (F.col("path") == F.col("at")) & (F.col("o_comp") == F.col("m_comp")) & _close("", "m_", self.percent), "left_semi")
                      .select("rep", "o_comp"))
