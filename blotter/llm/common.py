@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
@@ -66,3 +67,22 @@ def map_batches(df: DataFrame, keep: list[str], fn: Callable[[], Callable[[pa.Re
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:
     """A batch's texts; null is the empty text."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_chars: int, id_col: str, text_col: str) -> list[tuple[str, int]]:
+    """(text, label) of at most ``per_class`` documents of each label, those of more than ``max_chars`` characters left out.
+
+    ``labels`` has (id, label) with one row per id. The documents are chosen
+    by a hash of their ids, so they are the same whatever the partitions;
+    only ids are moved to choose them, and the table of chosen ids, at most
+    2 * ``per_class`` rows, is what is broadcast to fetch their texts.
+    """
+    present = labels.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
+    chosen = [r["id"] for label in (0, 1) for r in present.filter(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(per_class).collect()]
+    if not chosen:
+        return []
+    few = docs.sparkSession.createDataFrame([(i,) for i in chosen], T.StructType([T.StructField("id", labels.schema["id"].dataType)]))
+    few = F.broadcast(few.join(labels, "id"))
+    texts_of = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).filter(F.length("text") <= max_chars)
+    rows = texts_of.join(few, "id").select("id", "text", "label").dropDuplicates(["id", "text"]).collect()
+    return sorted(((r["text"], r["label"]) for r in rows), key=lambda r: (r[1], r[0]))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, texts
+from .common import labelled_sample, map_batches, texts
 from .recurrent_net import WINDOW, Net, score_texts, train
 
 FOLDS = 5
@@ -44,13 +44,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_char
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
              .filter(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id")))
              .groupBy("id").agg(F.max("label").alias("label")))
-    rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-            .filter(F.length("text") <= max_chars).join(known, "id"))
-    out: list = []
-    for label in (0, 1):
-        # Ordered by a hash, so the same documents whatever the partitions; two bounded collects.
-        out += rows.filter(F.col("label") == label).orderBy(F.xxhash64("id"), "text").limit(per_class).select("text", "label").collect()
-    return [r["text"] for r in out], np.array([r["label"] for r in out], np.int64)
+    sample = labelled_sample(docs, known, per_class, max_chars, id_col, text_col)
+    return [t for t, _ in sample], np.array([y for _, y in sample], np.int64)
 
 
 def stretches(text: str) -> list[str]:
