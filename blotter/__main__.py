@@ -26,7 +26,7 @@ if __package__ in (None, ""):                      # run as a file by spark-subm
 from blotter.operators.sets import union_all  # noqa: E402
 from blotter.plans import merge_extracts, q1, q2, q3, q4  # noqa: E402
 from blotter.plans.report import all_questions  # noqa: E402
-from blotter.sources.files import csv_to_parquet  # noqa: E402
+from blotter.sources.files import common_header, csv_to_parquet  # noqa: E402
 from blotter.sources.layouts import read_extract  # noqa: E402
 from blotter.streaming import convert_available  # noqa: E402
 from blotter.sources.typed import (typed_incidents, typed_income, typed_revgeo,  # noqa: E402
@@ -44,10 +44,6 @@ def parser() -> argparse.ArgumentParser:
         q.add_argument("--out", help="write the answer here instead of showing it")
         q.add_argument("--out-format", choices=["parquet", "csv"], default="parquet")
         q.add_argument("--show", type=int, default=100)
-        if name != "q3":
-            q.add_argument("--dedup", choices=["rows", "fingerprint"], default="rows",
-                           help="de-duplicate on whole rows (exact), or on a SHA-256 fingerprint "
-                                "of each row plus the columns the question reads (smaller shuffle)")
         return q
 
     a = question("q1", "three busiest months of each year")
@@ -79,7 +75,7 @@ def parser() -> argparse.ArgumentParser:
     conv.add_argument("--stream", action="store_true",
                       help="incremental: convert the files in one landing folder (glob) not yet "
                            "converted into one Parquet table, checkpointed under --checkpoint")
-    conv.add_argument("--checkpoint", help="streaming checkpoint (default: under spark.checkpoint.dir)")
+    conv.add_argument("--checkpoint", help="streaming checkpoint (default: <out>_checkpoint, so that a second run resumes)")
     conv.add_argument("csv", nargs="+")
     return p
 
@@ -88,15 +84,14 @@ def answer(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     def extracts(kind: str, paths: list[str]) -> list[DataFrame]:
         return [read_extract(spark, path, kind, args.format) for path in paths]
 
-    def merged(reads: list[str]) -> DataFrame:
-        keep = reads if getattr(args, "dedup", "rows") == "fingerprint" else None
-        return merge_extracts(*extracts("incidents", args.incidents), keep=keep)
+    def merged() -> DataFrame:
+        return merge_extracts(*extracts("incidents", args.incidents))
 
     if args.command == "q1":
-        inc = merged(["date_occ"])
+        inc = merged()
         return q1.top_months_sql(spark, inc) if args.api == "sql" else q1.top_months(inc)
     if args.command == "q2":
-        inc = merged(["premis_desc", "time_occ"])
+        inc = merged()
         return q2.street_by_daypart_number(inc) if args.buckets == "number" \
             else q2.street_by_daypart_text(inc)
     if args.command == "q3":
@@ -107,7 +102,7 @@ def answer(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
                 "both": q3.descent_extremes}[args.side]
         return side(incidents, revgeo, income, args.strategy)
     if args.command == "q4":
-        inc = merged(["area", "weapon_cd", "lat", "lon"])
+        inc = merged()
         stations = typed_stations(union_all(*extracts("stations", args.stations)))
         if args.rows:
             return q4.distance_rows(inc, stations, args.strategy, not args.unfiltered, args.udf)
@@ -122,7 +117,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
     if args.command == "convert" and args.stream:
         if len(args.csv) != 1:
             raise SystemExit("--stream takes one landing folder or glob")
-        schema = spark.read.option("header", True).csv(args.csv[0]).schema   # header names, all text
+        schema = common_header(spark, args.csv[0])
         return convert_available(spark, args.csv[0], args.out, schema, args.checkpoint)
     if args.command == "convert":
         done = csv_to_parquet(spark, args.csv, args.out)
@@ -142,10 +137,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
             df.write.mode("overwrite").format(args.out_format).option("header", True) \
                 .save(f"{args.out.rstrip('/')}/{name}")
         return answers
+    if getattr(args, "rows", False) and not args.out:
+        raise SystemExit("--rows gives one row per incident: name a folder with --out")
     df = answer(spark, args)
     if args.out:
         df.write.mode("overwrite").format(args.out_format).option("header", True).save(args.out)
     else:
+        print(f"the first {args.show} rows at most; --out writes them all")
         df.show(args.show, truncate=False)
     return df
 

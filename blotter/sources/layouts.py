@@ -17,10 +17,13 @@ Header matching ignores case and surrounding blanks, so ``AREA `` and
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import read_with_header, files_by_header
+
 # Source-file headers the questions read, and their column names here.
 INCIDENT_HEADERS = {
     "DR_NO": "dr_no",
@@ -68,13 +71,18 @@ def read_extract(spark: SparkSession, paths: str | list[str], kind: str, fmt: st
     layout = LAYOUTS[kind]
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "csv":
-        df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
+        frames = [read_with_header(spark, files, header) for header, files in files_by_header(spark, paths).items()]
     elif fmt == "parquet":
-        df = spark.read.parquet(*paths)
+        frames = [spark.read.parquet(*paths)]
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    names = column_names(df.columns, layout)
-    missing = [n for n in layout.values() if n not in names]
-    if missing:
-        raise ValueError(f"{kind} file lacks columns {missing}")
-    return df.select(*[F.col(f"`{h}`").alias(n) for h, n in zip(df.columns, names)])
+
+    def named(df: DataFrame) -> DataFrame:
+        names = column_names(df.columns, layout)
+        missing = [n for n in layout.values() if n not in names]
+        if missing:
+            raise ValueError(f"{kind} file lacks columns {missing}")
+        return df.select(*[F.col(f"`{h}`").alias(n) for h, n in zip(df.columns, names)])
+
+    # Files of different headers line up by name, after their headers are brought to one form.
+    return reduce(lambda a, b: a.unionByName(b), [named(f) for f in frames])

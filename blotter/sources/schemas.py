@@ -2,7 +2,7 @@
 
 Raw extracts arrive as text (CSV with a header row), so every raw column
 is a string; reading with a declared schema avoids an inference pass over
-the data and makes the two incident files line up by name. The typed
+the data; files are bound to it by the names in their header rows. The typed
 step (``sources.typed``) then imposes real types with tolerant casts.
 """
 

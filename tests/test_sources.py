@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+from pyspark.sql import types as T
+
 from blotter.session import checkpoint_base, shared_dir
 from blotter.sources import csv_to_parquet, parquet_name, read_csv, read_parquet, write_csv
 from blotter.sources.schemas import INCIDENTS_RAW
@@ -76,14 +79,72 @@ def test_configured_checkpoint_dir_is_used(tmp_path):
     assert out.stdout.strip().splitlines()[-1].startswith(str(shared) + "/blotter/probe-")
 
 
-def test_spread_thin_scan_only_when_splits_are_few(spark):
-    from blotter.sources.files import spread_thin_scan
+REORDERED = ("a,b,c\n1,2,3\n", "c,a,b\n6,4,5\n", "b,x,c,a\n8,0,9,7\n")
+
+
+def _written(folder, texts=REORDERED):
+    folder.mkdir()
+    for i, t in enumerate(texts):
+        (folder / f"f{i}.csv").write_text(t)
+    return folder
+
+
+@pytest.mark.parametrize("as_path", [lambda d: str(d), lambda d: f"{d}/*.csv", lambda d: [str(p) for p in sorted(d.iterdir())]])
+def test_csv_columns_are_bound_by_header_name(spark, tmp_path, as_path):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in "abc"])
+    got = read_csv(spark, as_path(_written(tmp_path / "in")), schema)
+    assert sorted(tuple(r) for r in got.collect()) == [("1", "2", "3"), ("4", "5", "6"), ("7", "8", "9")]
+
+
+def test_a_missing_column_is_an_error(spark, tmp_path):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in "abcd"])
+    with pytest.raises(ValueError, match="lacks"):
+        read_csv(spark, str(_written(tmp_path / "in")), schema)
+    with pytest.raises(FileNotFoundError):
+        read_csv(spark, str(tmp_path / "none"), schema)
+
+
+def test_extracts_of_different_layouts_line_up(spark, tmp_path):
+    from blotter.sources.layouts import read_extract
+
+    d = _written(tmp_path / "in", ("PREC,DIVISION,X,Y\n1,N,2.5,3.5\n", "Y,X, DIVISION ,PREC\n30,20,S,2\n"))
+    got = read_extract(spark, [str(p) for p in sorted(d.iterdir())], "stations")
+    assert sorted(tuple(r) for r in got.select("prec", "division", "x", "y").collect()) == [("1", "N", "2.5", "3.5"), ("2", "S", "20", "30")]
+
+
+def test_compressed_files_have_headers_too(spark, tmp_path):
+    import gzip
+
+    with gzip.open(tmp_path / "f.csv.gz", "wt") as f:
+        f.write("b,a\n2,1\n")
+    assert read_csv(spark, str(tmp_path / "f.csv.gz")).select("a", "b").first() == ("1", "2")
+
+
+def test_equal_stems_are_an_error(spark, tmp_path):
+    _written(tmp_path / "x"), _written(tmp_path / "y")
+    with pytest.raises(ValueError, match="same stem"):
+        csv_to_parquet(spark, [f"{tmp_path}/x/f0.csv", f"{tmp_path}/y/f0.csv"], str(tmp_path / "out"))
+
+
+def test_a_second_stream_run_resumes_without_a_named_checkpoint(spark, tmp_path):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in "abc"])
+    d, out = _written(tmp_path / "in", REORDERED[:1]), str(tmp_path / "out")
+    assert convert_available(spark, f"{d}/*.csv", out, schema).count() == 1
+    (d / "g.csv").write_text("a,b,c\n4,5,6\n")
+    assert convert_available(spark, f"{d}/*.csv", out, schema).count() == 2
+    with pytest.raises(ValueError, match="another checkpoint"):
+        convert_available(spark, f"{d}/*.csv", out, schema, checkpoint=str(tmp_path / "other"))
+
+
+def test_a_stream_stops_at_a_reordered_header(spark, tmp_path):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in "abc"])
+    d = _written(tmp_path / "in", REORDERED[:2])
+    with pytest.raises(Exception, match="f1.csv"):
+        convert_available(spark, f"{d}/*.csv", str(tmp_path / "out"), schema)
+
 
-    thin = spark.read.parquet(f"{SF_SMALL}/orders.parquet")          # one row group -> one split
-    spread = spread_thin_scan(thin, key="o_orderkey")
-    p = spread._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(o_orderkey" in p
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = thin.repartition(spark.sparkContext.defaultParallelism * 2)
-    assert spread_thin_scan(wide, key="o_orderkey") is wide                # enough splits: unchanged
-    assert spread.count() == thin.count()
+def test_a_rewritten_table_is_read_anew(spark, tmp_path):
+    at = str(tmp_path / "nation.parquet")
+    for n in (3, 5):
+        spark.range(n).withColumnRenamed("id", "n_nationkey").write.mode("overwrite").parquet(at)
+        assert derived.table(spark, str(tmp_path), "nation", "n_nationkey").count() == n
