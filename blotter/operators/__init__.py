@@ -3,16 +3,16 @@
 from .aggregate import group_count, one_per_key, sum_by_key
 from .filters import (firearm_with_coordinates, in_half_open, nonzero, where_equals, where_like,
                       where_not_null)
-from .joins import (STRATEGIES, checked_broadcast, equi_condition, has_at_most, join_with_strategy,
-                    null_safe_condition, salted_join)
-from .sets import distinct_projected, row_fingerprint, union_all, union_distinct
+from .joins import (STRATEGIES, checked_broadcast, equi_condition, join_with_strategy,
+                    null_safe_condition, null_safe_join, salted_join)
+from .sets import union_all, union_distinct
 from .topk import bottom_k, top_k
 from .window import rank_within, top_n_per_group
 
 __all__ = [
-    "STRATEGIES", "bottom_k", "checked_broadcast", "distinct_projected", "equi_condition",
-    "firearm_with_coordinates", "group_count", "has_at_most", "in_half_open", "join_with_strategy", "nonzero",
-    "null_safe_condition", "one_per_key", "rank_within", "row_fingerprint", "salted_join",
+    "STRATEGIES", "bottom_k", "checked_broadcast", "equi_condition",
+    "firearm_with_coordinates", "group_count", "in_half_open", "join_with_strategy", "nonzero",
+    "null_safe_condition", "null_safe_join", "one_per_key", "rank_within", "salted_join",
     "sum_by_key", "top_k",
     "top_n_per_group", "union_all", "union_distinct", "where_equals", "where_like",
     "where_not_null",

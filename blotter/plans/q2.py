@@ -26,7 +26,7 @@ def street_by_daypart(incidents: DataFrame,
     """Street incidents counted per part of the day, busiest first."""
     street = where_equals(incidents, "premis_desc", STREET)
     parts = street.select(bucket("time_occ").alias("time_of_day"))
-    return group_count(parts, "time_of_day", name="count").orderBy(F.col("count").desc())
+    return group_count(parts, "time_of_day", name="count").orderBy(F.col("count").desc(), "time_of_day")
 
 
 def street_by_daypart_text(incidents: DataFrame) -> DataFrame:

@@ -2,9 +2,8 @@
 
 1. Income rows of the city (community LIKE '%Los Angeles (%') with a known
    income; the k highest and k lowest incomes (ties broken by ZIP) give
-   at most k ZIPs per side. ``limit(k)`` proves that bound, so the ZIP
-   lists are always broadcast.
-2. Geocoding rows of those ZIPs only (a broadcast semi-join).
+   at most k ZIPs per side.
+2. Geocoding rows of those ZIPs only (a semi-join).
 3. Incidents with a known descent are matched to the geocoding rows on
    exact (lat, lon) and counted per (ZIP, descent code). Duplicate
    coordinates in the geocoding table fan out, as an inner join does.
@@ -12,19 +11,17 @@
 
 How step 3 runs is the ``strategy``:
 
-* ``auto`` / ``broadcast``: when the selected geocoding rows are proven
-  few (a distributed count against ``max_broadcast_rows``), they are
-  broadcast and the incidents are never shuffled; the count is aggregated
-  right after the join, in the same stage. Beyond the bound, as below
-  with the optimizer choosing the join.
-* ``merge`` / ``shuffle_hash`` (and large geocoding sides): both sides are
-  first reduced by a partial aggregate (incidents to one row per
-  (lat, lon, code) with a count, geocoding to one row per (lat, lon, zip)
-  with a multiplicity), then joined on (lat, lon) with that strategy and
-  summed as count x multiplicity. A coordinate that holds a third of all
-  incidents is thus collapsed on the map side before any shuffle, the join
-  sees small, unskewed keys, and no pairs within a hot coordinate are
-  emitted.
+* ``auto``: both sides are first reduced by a partial aggregate (incidents
+  to one row per (lat, lon, code) with a count, geocoding to one row per
+  (lat, lon, zip) with a multiplicity), then joined on (lat, lon) without a
+  hint and summed as count x multiplicity; the optimizer, and at run time
+  adaptive execution, choose the join by bytes. A coordinate that holds a
+  third of all incidents is collapsed on the map side before any shuffle,
+  and no pairs within a hot coordinate are emitted.
+* ``merge`` / ``shuffle_hash``: the same with that join.
+* ``broadcast``: the selected geocoding rows are broadcast if their data is
+  checked to be small, and the incidents are counted right after the join;
+  beyond the bound as ``auto``.
 """
 
 from __future__ import annotations
@@ -34,12 +31,13 @@ from pyspark.sql import functions as F
 
 from ..functions.descent import descent_label
 from ..operators.filters import where_like, where_not_null
-from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, has_at_most, join_with_strategy
+from ..operators.joins import DEFAULT_MAX_BROADCAST_BYTES, checked_broadcast, join_with_strategy
 from ..operators.topk import bottom_k, top_k
 
 # The city's community pattern and the number of ZIPs per side.
 CITY_PATTERN = "%Los Angeles (%"
 EXTREME_ZIPS = 3
+STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
 
 def city_income(income: DataFrame) -> DataFrame:
@@ -58,26 +56,24 @@ def poorest_zips(income: DataFrame, k: int = EXTREME_ZIPS) -> DataFrame:
 
 
 def victims_per_zip(incidents: DataFrame, revgeo: DataFrame, zips: DataFrame,
-                    strategy: str = "auto",
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                    strategy: str = "auto", max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Count of incidents per (zip, vict_descent) inside the given ZIPs."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown join strategy {strategy!r}; one of {STRATEGIES}")
     victims = where_not_null(incidents, "vict_descent").select("lat", "lon", "vict_descent")
-    chosen = F.broadcast(zips.select("zip").distinct())
-    geo = revgeo.select("lat", "lon", "zip").join(chosen, "zip", "left_semi")
-    if strategy in ("auto", "broadcast") and has_at_most(geo, max_broadcast_rows):
-        joined = victims.join(F.broadcast(geo), ["lat", "lon"])
-        return joined.groupBy("zip", "vict_descent").agg(F.count(F.lit(1)).alias("count"))
-    per_point = victims.groupBy("lat", "lon", "vict_descent").agg(F.count(F.lit(1)).alias("_n"))
+    geo = revgeo.select("lat", "lon", "zip").join(zips.select("zip").distinct(), "zip", "left_semi")
     geo_points = geo.groupBy("lat", "lon", "zip").agg(F.count(F.lit(1)).alias("_m"))
-    hint = strategy if strategy in ("merge", "shuffle_hash") else "auto"
-    joined = join_with_strategy(per_point, geo_points, ["lat", "lon"], strategy=hint)
+    small = checked_broadcast(geo_points, max_bytes) if strategy == "broadcast" else None
+    if small is not None:
+        return victims.join(small, ["lat", "lon"]).groupBy("zip", "vict_descent").agg(F.sum("_m").alias("count"))
+    per_point = victims.groupBy("lat", "lon", "vict_descent").agg(F.count(F.lit(1)).alias("_n"))
+    joined = join_with_strategy(per_point, geo_points, ["lat", "lon"], strategy="auto" if strategy == "broadcast" else strategy)
     return (joined.groupBy("zip", "vict_descent")
                   .agg(F.sum(F.col("_n") * F.col("_m")).alias("count")))
 
 
 def _labelled(zips: DataFrame, per_zip: DataFrame, extra: list[str]) -> DataFrame:
-    # zips holds at most 2k rows (limit-bounded): broadcast it.
-    out = F.broadcast(zips).join(per_zip, "zip")
+    out = zips.join(per_zip, "zip")
     return (out.select(*extra, "zip",
                        F.col("vict_descent").alias("descent_code"),
                        descent_label("vict_descent").alias("descent"),

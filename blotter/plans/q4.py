@@ -7,17 +7,16 @@ distance and the number of incidents are reported, most incidents first.
 
 Join routes (the physical strategy is the only difference):
 
-* ``auto``        the station table is broadcast once a distributed count
-                  proves it small (it is a dimension: one row per area);
-                  otherwise the salted shuffle join below.
+* ``auto``        no hint: the optimizer, and at run time adaptive
+                  execution, choose the join by bytes (a station table is
+                  a dimension, so a broadcast) and split skewed partitions.
 * ``broadcast``   one row per station key (``max_by``; a dict built from
-                  the pairs would keep one too), broadcast after a row
-                  count check, falling back to a shuffle join beyond it.
-* ``salted``      explicit repartition-by-key join of both sides with a
-                  salt, for when the station side is too big to broadcast:
-                  the key space here is tiny (one key per area), so a plain
-                  hash repartition would put each area, possibly a third of
-                  all incidents, into one task.
+                  the pairs would keep one too), broadcast if its data is
+                  checked to be small, else as ``auto``.
+* ``salted``      the shuffled join whose hot keys are salted, for a station
+                  side too big to broadcast: there are few keys (one per
+                  area), so a plain hash repartition would put each area,
+                  possibly a third of all incidents, into one task.
 * ``merge`` / ``shuffle_hash`` as in ``operators.joins``.
 
 The aggregate is partial + final on ``division``: after the map side only
@@ -32,8 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import geodesic_km_udf, with_geodesic_km
 from ..operators.aggregate import one_per_key
 from ..operators.filters import firearm_with_coordinates
-from ..operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, has_at_most, join_with_strategy,
-                               salted_join)
+from ..operators.joins import ROWS_PER_SALT, join_with_strategy, salted_join
 
 # Fixed value: reported distances are rounded to 1e-6 km (1 mm), below the
 # formula's own accuracy, so results do not depend on summation order.
@@ -41,7 +39,8 @@ DISTANCE_DECIMALS = 6
 
 
 def incidents_with_station(incidents: DataFrame, stations: DataFrame, strategy: str = "auto",
-                           filtered: bool = True, area_col: str = "area") -> DataFrame:
+                           filtered: bool = True, area_col: str = "area",
+                           rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Incidents (firearm, known position unless ``filtered=False``) joined to their station."""
     inc = firearm_with_coordinates(incidents) if filtered else incidents
     st = stations.select(F.col("prec").alias("_key"), "division", "y", "x")
@@ -51,15 +50,11 @@ def incidents_with_station(incidents: DataFrame, stations: DataFrame, strategy:
         inc = inc.select(F.col(area_col).alias("_key"), "lat", "lon",
                          F.hash(*[F.col(c) for c in inc.columns]).alias("_row"))
         st = st.withColumnRenamed("_key", "_skey")
-        return salted_join(inc, st, "_key", "_skey", salt_source="_row").drop("_skey", "_row")
+        return salted_join(inc, st, "_key", "_skey", rows_per_salt, salt_source="_row").drop("_skey", "_row")
     inc = inc.select(F.col(area_col).alias("_key"), "lat", "lon")
     if strategy == "broadcast":
         st = one_per_key(st, "_key")
         return join_with_strategy(inc, st, ["_key"], strategy="broadcast")
-    if strategy == "auto":
-        if has_at_most(st, DEFAULT_MAX_BROADCAST_ROWS):
-            return inc.join(F.broadcast(st), ["_key"])
-        return incidents_with_station(incidents, stations, "salted", filtered, area_col)
     return join_with_strategy(inc, st, ["_key"], strategy=strategy)
 
 
@@ -88,7 +83,7 @@ def station_distance(incidents: DataFrame, stations: DataFrame, strategy: str =
     return (rows.groupBy("division")
                 .agg(F.round(F.avg("distance"), DISTANCE_DECIMALS).alias("average_distance"),
                      F.count(F.lit(1)).alias("number_of_incidents"))
-                .orderBy(F.col("number_of_incidents").desc()))
+                .orderBy(F.col("number_of_incidents").desc(), "division"))
 
 
 def station_distance_udf(incidents: DataFrame, stations: DataFrame,

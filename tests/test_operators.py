@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from blotter.operators import (bottom_k, checked_broadcast, firearm_with_coordinates, group_count,
-                               has_at_most, join_with_strategy, null_safe_condition, one_per_key,
+                               join_with_strategy, null_safe_condition, null_safe_join, one_per_key,
                                salted_join, top_k, top_n_per_group, union_all, union_distinct)
 from blotter.plans import q3, q4
 
@@ -93,23 +93,23 @@ def test_empty_input_gives_empty_result(spark):
         assert q4.station_distance(inc, st, strategy).collect() == []
 
 
-def test_has_at_most_and_checked_broadcast(spark):
-    df = spark.range(100)
-    assert has_at_most(df, 100) and not has_at_most(df, 99)
-    assert checked_broadcast(df, 10) is None
+def test_checked_broadcast_is_bound_in_bytes(spark):
+    df = spark.range(100).withColumn("t", F.lit("x" * 1000))
+    assert checked_broadcast(df, 100_000) is None and checked_broadcast(df, 110_000) is not None
+    assert checked_broadcast(df.limit(0), 0) is not None
     big = spark.range(10000).withColumnRenamed("id", "k")
     small = spark.range(50).withColumnRenamed("id", "k")
     # beyond the bound no broadcast is forced; the optimizer's own choice stands
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = join_with_strategy(big, small, ["k"], strategy="broadcast", max_broadcast_rows=10)
+        joined = join_with_strategy(big, small, ["k"], strategy="broadcast", max_bytes=10)
         assert joined.count() == 50
         assert "BroadcastExchange" not in plan(joined)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    joined = join_with_strategy(big, small, ["k"], strategy="broadcast", max_broadcast_rows=100)
+    joined = join_with_strategy(big, small, ["k"], strategy="broadcast", max_bytes=10_000)
     assert "BroadcastHashJoin" in plan(joined)
 
 
@@ -133,7 +133,7 @@ def test_salted_join_equals_plain_join_under_a_hot_key(spark):
                                    F.col("id").alias("v"))
     small = spark.createDataFrame([(i, f"s{i}") for i in range(5)], "sk long, name string")
     plain = big.join(small, big["k"] == small["sk"]).select("v", "name")
-    salted = salted_join(big, small, "k", "sk", salts=8).select("v", "name")
+    salted = salted_join(big, small, "k", "sk", rows_per_salt=100).select("v", "name")
     assert rows(plain) == rows(salted)
 
 
@@ -155,59 +155,94 @@ def test_q3_strategies_agree_with_fanout(spark):
                                   (2, "W", "White", 1): 1})
 
 
-def test_salted_route_spreads_a_hot_spot(spark):
-    """A third of the incidents share area and position: the salted route spreads them."""
+def _hot_incidents(spark):
+    """A third of the incidents share area and position."""
     rows = [(i, 7, 150, 34.0, -118.0) for i in range(600)] + \
            [(600 + i, 1 + i % 5, 150, 34.0 + i / 1000, -118.0) for i in range(1200)]
     inc = spark.createDataFrame(rows, "dr_no long, area int, weapon_cd int, lat double, lon double")
-    st = spark.createDataFrame([(a, f"D{a}", 34.1, -118.1) for a in range(1, 8)],
+    st = spark.createDataFrame([(a, f"D{a}", 34.1, -118.1) for a in range(1, 200)],
                                "prec int, division string, y double, x double")
-    joined = q4.incidents_with_station(inc, st, "salted")
-    sizes = [r[1] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return inc, st
+
+
+def test_salted_route_spreads_a_hot_spot(spark):
+    inc, st = _hot_incidents(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = q4.incidents_with_station(inc, st, "salted", rows_per_salt=50)
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(sizes) == 1800
     assert max(sizes) < 600          # the hot (area 7, same spot) rows are not in one task
-    assert Counter(tuple(r) for r in q4.station_distance(inc, st, "salted").collect()) == \
-        Counter(tuple(r) for r in q4.station_distance(inc, st, "auto").collect())
-
+    assert rows(q4.station_distance(inc, st, "salted")) == rows(q4.station_distance(inc, st, "auto"))
+
+
+def test_only_hot_keys_are_replicated(spark):
+    big = spark.range(4000).select(F.when(F.col("id") < 1500, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    small = spark.range(5000).select(F.col("id").alias("sk"))
+    joined = salted_join(big, small, "k", "sk", rows_per_salt=100)
+    assert joined.count() == 4000
+    df = joined._jdf.queryExecution()
+    joined.collect()
+    # The replicated side: 5,000 rows and 14 copies more of the one hot key.
+    found = [int(m) for m in _generated_rows(df)]
+    assert found and max(found) == 5000 + 14
+
+
+def _generated_rows(execution):
+    """Output rows of every Generate node of the plan that ran."""
+    out, todo = [], [execution.executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName() == "Generate":
+            out.append(node.metrics().apply("numOutputRows").value())
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return out
+
+
+def test_q3_auto_has_no_hint_and_aggregates_before_the_join(spark):
+    inc = spark.createDataFrame([(34.0, -118.0, "H")] * 5 + [(34.1, -118.1, "W")],
+                                "lat double, lon double, vict_descent string")
+    geo = spark.createDataFrame([(34.0, -118.0, 1), (34.1, -118.1, 1)], "lat double, lon double, zip int")
+    zips = spark.createDataFrame([(1,)], "zip int")
+    auto = q3.victims_per_zip(inc, geo, zips, "auto")
+    assert plan(auto).count("partial_count(1)") == 2              # both sides pre-aggregated
+    assert "ResolvedHint" not in auto._jdf.queryExecution().analyzed().toString()
+    small = q3.victims_per_zip(inc, geo, zips, "broadcast")
+    beyond = q3.victims_per_zip(inc, geo, zips, "broadcast", max_bytes=1)
+    assert "broadcast" in small._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in beyond._jdf.queryExecution().analyzed().toString()
+    assert rows(small) == rows(beyond) == rows(auto) == Counter({(1, "H", 5): 1, (1, "W", 1): 1})
+    with pytest.raises(ValueError):
+        q3.victims_per_zip(inc, geo, zips, "mrege")
 
-def test_fingerprint_is_unambiguous_with_nulls(spark):
-    from blotter.operators import row_fingerprint
-    df = spark.createDataFrame([("a", None), (None, "a"), ("a,", ""), ("a", ","), ('a"', None)],
-                               "x string, y string")
-    fps = [r[0] for r in df.select(row_fingerprint(F.col("x"), F.col("y"))).collect()]
-    assert len(set(fps)) == 5
 
+def test_null_safe_join_is_inner_without_all_pairs(spark):
+    left = spark.createDataFrame([(1, None, "a"), (None, None, "b"), (2, 5, "c"), (1, None, "d"), (3, 1, "e")], "k int, w int, l string")
+    right = spark.createDataFrame([(1, None, "x", 1), (1, None, "y", 0), (None, None, "z", 7), (2, 6, "q", 1), (2, 5, "r", None)],
+                                  "rk int, rw int, r string, n int")
+    got = null_safe_join(left, right, [("k", "rk"), ("w", "rw")])
+    assert got.columns == ["k", "w", "l", "r", "n"]
+    assert rows(got) == Counter([(1, None, "a", "y", 0), (None, None, "b", "z", 7), (2, 5, "c", "r", None), (1, None, "d", "y", 0)])
+    with pytest.raises(ValueError):
+        null_safe_join(left, right.withColumnRenamed("r", "l"), [("k", "rk")])
 
-def test_distinct_projected_matches_whole_row_distinct(spark):
-    from blotter.operators import distinct_projected
-    a = spark.createDataFrame([("1", "x", "d1"), ("2", "y", "d1"), ("2", "y", "d1")], "k string, v string, d string")
-    b = spark.createDataFrame([("2", "y", "d1"), ("3", "y", "d1"), ("3", "z", "d1")], "k string, v string, d string")
-    want = Counter(tuple(r) for r in union_distinct(a, b).select("d").collect())
-    got = Counter(tuple(r) for r in distinct_projected(a, b, keep=["d"]).collect())
-    assert got == want == Counter({("d1",): 4})
 
+def test_answers_are_in_order_with_ties_broken(spark):
+    from blotter.plans import q2
 
-def test_q3_auto_falls_back_to_preaggregated_shuffle(spark):
-    inc = spark.createDataFrame([(34.0, -118.0, "H")] * 5 + [(34.1, -118.1, "W")],
-                                "lat double, lon double, vict_descent string")
-    geo = spark.createDataFrame([(34.0, -118.0, 1), (34.1, -118.1, 1)], "lat double, lon double, zip int")
-    zips = spark.createDataFrame([(1,)], "zip int")
-    small = q3.victims_per_zip(inc, geo, zips, "auto")
-    big = q3.victims_per_zip(inc, geo, zips, "auto", max_broadcast_rows=1)
-    small_plan, big_plan = plan(small), plan(big)              # initial plans, before running
-    assert small_plan.count("partial_count(1)") == 1            # aggregated after the broadcast join
-    assert big_plan.count("partial_count(1)") == 2              # both sides pre-aggregated
-    assert rows(small) == rows(big) == Counter({(1, "H", 5): 1, (1, "W", 1): 1})
-
-
-def test_q4_auto_uses_salted_join_beyond_the_bound(spark, monkeypatch):
-    inc = spark.createDataFrame([(i, 1 + i % 3, 150, 34.0, -118.0 + i / 1000) for i in range(60)],
-                                "dr_no long, area int, weapon_cd int, lat double, lon double")
-    st = spark.createDataFrame([(a, f"D{a}", 34.1, -118.1) for a in range(1, 4)],
-                               "prec int, division string, y double, x double")
-    small = q4.incidents_with_station(inc, st, "auto")
-    assert "BroadcastHashJoin" in plan(small)
-    monkeypatch.setattr(q4, "DEFAULT_MAX_BROADCAST_ROWS", 2)
-    big = q4.incidents_with_station(inc, st, "auto")
-    assert "ShuffledHashJoin" in plan(big) and "_salt" in plan(big)
-    assert rows(small.select("_key", "lat", "division")) == rows(big.select("_key", "lat", "division"))
+    inc = spark.createDataFrame([("STREET", t) for t in ("2200", "0600", "1300", "1300", "1800", None)], "premis_desc string, time_occ string")
+    assert [r[0] for r in q2.street_by_daypart_text(inc).collect()] == ["AFTERNOON", "EVENING", "MORNING", "NIGHT", "OTHERWISE"]
+    crimes = spark.createDataFrame([(i, a, 150, 34.0, -118.0) for i, a in enumerate([3, 2, 2, 1, 4])],
+                                   "dr_no long, area int, weapon_cd int, lat double, lon double")
+    st = spark.createDataFrame([(a, f"D{9 - a}", 34.1, -118.1) for a in range(1, 5)], "prec int, division string, y double, x double")
+    assert [r["division"] for r in q4.station_distance(crimes, st).collect()] == ["D7", "D5", "D6", "D8"]

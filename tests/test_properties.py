@@ -120,7 +120,7 @@ def test_salted_join_equals_plain_join(spark, keys, salts):
     big = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, v int")
     small = spark.createDataFrame([(0, "x"), (1, "y"), (1, "y2"), (3, "z")], "sk int, name string")
     plain = Counter(tuple(r) for r in big.join(small, big["k"] == small["sk"]).select("v", "name").collect())
-    salted = Counter(tuple(r) for r in salted_join(big, small, "k", "sk", salts=salts).select("v", "name").collect())
+    salted = Counter(tuple(r) for r in salted_join(big, small, "k", "sk", rows_per_salt=salts).select("v", "name").collect())
     assert plain == salted
 
 
@@ -148,16 +148,6 @@ def test_victims_per_zip_matches_brute_force(spark, incidents, geo, strategy, bo
     assert got == want
 
 
-@SETTINGS
-@given(rows, rows)
-def test_fingerprint_dedup_matches_whole_row_distinct(spark, a, b):
-    from blotter.operators import distinct_projected
-    da = spark.createDataFrame(a, "k string, v int")
-    db = spark.createDataFrame(b, "k string, v int")
-    got = Counter(tuple(r) for r in distinct_projected(da, db, keep=["v"]).collect())
-    assert got == Counter((v,) for _, v in set(a) | set(b))
-
-
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", "c"]), st.integers(0, 9)), max_size=30))
 def test_one_per_key_keeps_the_largest_row(spark, data):
@@ -176,8 +166,8 @@ coords = st.tuples(st.floats(33.0, 35.0), st.floats(-119.0, -117.0))
 @SETTINGS
 @given(st.lists(st.tuples(coords, coords), min_size=1, max_size=30))
 def test_distance_is_symmetric_and_non_negative(spark, pairs):
-    from blotter.functions import geodesic_km
+    from blotter.functions import with_geodesic_km
     df = spark.createDataFrame([(a[0], a[1], b[0], b[1]) for a, b in pairs], "a double, b double, c double, d double")
-    got = df.select(geodesic_km("a", "b", "c", "d").alias("ab"), geodesic_km("c", "d", "a", "b").alias("ba")).collect()
+    got = with_geodesic_km(with_geodesic_km(df, "a", "b", "c", "d", "ab"), "c", "d", "a", "b", "ba").collect()
     for r in got:
         assert r["ab"] >= 0 and abs(r["ab"] - r["ba"]) <= 1e-9 * max(1.0, r["ab"])
