@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from blotter.functions import (daypart_number, daypart_text, descent_label, geodesic_km,
-                               geodesic_km_udf, parse_money, parse_timestamp, to_double, to_int)
+from blotter.functions import (daypart_number, daypart_text, descent_label, geodesic_km_udf,
+                               parse_money, parse_timestamp, to_double, to_int,
+                               with_geodesic_km)
 from blotter.functions.geo import WGS84_A_KM, WGS84_F, geodesic_km_numpy
 
 
@@ -87,45 +88,50 @@ def vincenty_km(lat1, lon1, lat2, lon2):
     return b * A * (sigma - ds)
 
 
-def test_geodesic_matches_iterative_solution(spark):
+def native_km(spark, pts):
+    df = spark.createDataFrame(pts, "a double, b double, c double, d double")
+    return [r[0] for r in with_geodesic_km(df, "a", "b", "c", "d", "x").select("x").collect()]
+
+
+def test_geodesic_is_within_a_millimetre_of_an_iterative_solution(spark):
     rng = np.random.default_rng(7)
     pts = [(float(33.7 + rng.random() * 0.6), float(-118.7 + rng.random() * 0.6),
-            float(33.7 + rng.random() * 0.6), float(-118.7 + rng.random() * 0.6)) for _ in range(200)]
-    pts.append((34.0, -118.2, 34.0, -118.2))
-    pts.append((34.05, -118.25, 40.71, -74.0))   # across the country
-    df = spark.createDataFrame(pts, "a double, b double, c double, d double")
-    got = [r[0] for r in df.select(geodesic_km("a", "b", "c", "d")).collect()]
-    for (a, b, c, d), g in zip(pts, got):
-        ref = vincenty_km(a, b, c, d)
-        if ref == 0:
-            assert g == 0.0
-        else:
-            assert abs(g - ref) / ref < 1e-5
+            float(33.7 + rng.random() * 0.6), float(-118.7 + rng.random() * 0.6)) for _ in range(9_000)]
+    pts += [(0.0, 0.0, float(33.7 + rng.random() * 0.6), float(-118.7 + rng.random() * 0.6)) for _ in range(900)]
+    pts += [(float(rng.uniform(-80, 80)), float(rng.uniform(-60, 60)), float(rng.uniform(-80, 80)), float(rng.uniform(-60, 60)))
+            for _ in range(98)]
+    pts += [(34.0, -118.2, 34.0, -118.2), (34.05, -118.25, 40.71, -74.0)]
+    got = native_km(spark, pts)
+    assert max(abs(g - vincenty_km(*p)) for p, g in zip(pts, got)) < 1e-6
     assert got[-2] == 0.0
 
 
-def test_geodesic_nulls_and_udf_agree(spark):
-    rows = [(34.0, -118.2, 34.1, -118.3), (None, -118.2, 34.1, -118.3), (34.0, -118.2, 34.0, -118.2)]
-    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
-    native = [r[0] for r in df.select(geodesic_km("a", "b", "c", "d")).collect()]
+def test_geodesic_pinned_distances(spark):
+    # Published or closed-form: JFK to LHR, a degree and a half turn's worth of the equator, a meridian quadrant.
+    got = native_km(spark, [(40.6, -73.8, 51.6, -0.5), (0.0, 0.0, 0.0, 1.0), (0.0, 0.0, 90.0, 0.0), (0.0, 10.0, 0.0, 100.0)])
+    want = [5551.759400, 6378.137 * math.pi / 180, 10001.965729, 6378.137 * math.pi / 2]
+    assert got == pytest.approx(want, abs=1e-6)
+
+
+def test_geodesic_nulls_antipodes_and_udf_agree(spark):
+    pts = [(34.0, -118.2, 34.1, -118.3), (None, -118.2, 34.1, -118.3), (34.0, -118.2, 34.0, -118.2), (0.0, 0.0, 0.5, 179.7)]
+    native = native_km(spark, pts)
+    df = spark.createDataFrame(pts, "a double, b double, c double, d double")
     udf = [r[0] for r in df.select(geodesic_km_udf("a", "b", "c", "d")).collect()]
-    assert native[1] is None and udf[1] is None
+    assert native[1] is None and udf[1] is None and native[3] is None and udf[3] is None     # no wrong number
     assert native[2] == 0.0 and udf[2] == 0.0
     assert native[0] == pytest.approx(udf[0], rel=1e-12)
     assert float(geodesic_km_numpy(np.array([34.0]), np.array([-118.2]), np.array([34.1]),
                                    np.array([-118.3]))[0]) == pytest.approx(native[0], rel=1e-12)
+    assert with_geodesic_km(df, "a", "b", "c", "d", "x").columns == ["a", "b", "c", "d", "x"]
 
 
-def test_staged_distance_equals_single_expression(spark):
-    from blotter.functions import with_geodesic_km
-
-    rows = [(33.7 + i / 997, -118.7 + i / 1009, 34.0 + i / 2003, -118.2 - i / 3001) for i in range(500)]
-    rows += [(34.0, -118.2, 34.0, -118.2), (None, -118.2, 34.0, -118.2)]
-    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
-    one = [r[0] for r in df.select(geodesic_km("a", "b", "c", "d")).collect()]
-    staged = [r[0] for r in with_geodesic_km(df, "a", "b", "c", "d", "x").select("x").collect()]
-    assert one == staged
-    assert with_geodesic_km(df, "a", "b", "c", "d", "x").columns == ["a", "b", "c", "d", "x"]
+def test_every_descent_label(spark):
+    want = {"A": "Other Asian", "B": "Black", "C": "Chinese", "D": "Cambodian", "F": "Filipino", "G": "Guamanian",
+            "H": "Hispanic/Latin/Mexican", "I": "Hispanic/Latin/Mexican", "J": "Japanese", "K": "Korean", "L": "Laotian",
+            "O": "Other", "P": "Pacific Islander", "S": "Samoan", "U": "Hawaiian", "V": "Vietnamese", "W": "White",
+            "X": "Unknown", "Z": "Asian Indian", "E": "OTHERWISE", "": "OTHERWISE", None: "OTHERWISE"}
+    assert one_col(spark, list(want), descent_label) == list(want.values())
 
 
 def test_timestamp_parse_ignores_session_time_zone(spark):
