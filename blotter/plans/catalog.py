@@ -11,19 +11,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.descent import descent_label
 from ..operators import (bottom_k, firearm_with_coordinates, group_count, null_safe_condition,
-                         sum_by_key, top_k, union_all, union_distinct,
+                         null_safe_join, salted_join, sum_by_key, top_k, union_all, union_distinct,
                          where_equals, where_like, where_not_null)
 from ..session import shared_dir
 from ..sources import derived
 from ..sources.files import csv_to_parquet, read_csv, read_parquet, write_csv
-from ..sources.schemas import INCIDENTS_RAW
+from ..sources.schemas import INCIDENTS_RAW, RAW_SCHEMAS
 from ..sources.typed import typed_incidents
 from ..streaming import convert_available
 from . import q1, q2, q3, q4
-from .incidents import merged_incidents, merged_incidents_from_csv
+from .incidents import (merge_extracts, merged_incidents, merged_incidents_from_csv,
+                        stage_extracts_as_csv)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,13 +41,31 @@ def csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_incidents(read_csv(spark, path, INCIDENTS_RAW))
 
 
+def csv_scan_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files whose columns come in different orders, one with a column more, read as one table."""
+    base = shared_dir(spark, "reordered")
+    a, b = (derived.incidents_raw(spark, sf_dir, part) for part in ("a", "b"))
+    paths = [write_csv(a.select(*reversed(a.columns)), f"{base}/a.csv"),
+             write_csv(b.withColumn("note", F.lit("x")).select("note", *b.columns), f"{base}/b.csv")]
+    return typed_incidents(read_csv(spark, paths, INCIDENTS_RAW))
+
+
+def row_checksum(df: DataFrame) -> DataFrame:
+    """(row_count, checksum): a sum over rows of the first 32 bits of a digest of each row's text."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("<null>")) for c in df.columns])
+    return df.agg(F.count(F.lit(1)).alias("row_count"),
+                  F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")).alias("checksum"))
+
+
 def csv_to_parquet_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batch conversion over every raw extract; returns the incidents table."""
+    """The batch conversion over every raw extract: rows and checksum of each converted table."""
     base = shared_dir(spark, "convert")
     written = {name: write_csv(make(spark, sf_dir), f"{base}/csv/{name}.csv")
                for name, make in derived.RAW.items()}
     out = csv_to_parquet(spark, list(written.values()), f"{base}/parquet")
-    return read_parquet(spark, out[written["incidents"]])
+    sums = [row_checksum(read_parquet(spark, out[at]).select(*RAW_SCHEMAS[name].names))
+            .select(F.lit(name).alias("table_name"), "row_count", "checksum") for name, at in written.items()]
+    return union_all(*sums)
 
 
 def csv_to_parquet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,18 +146,29 @@ def decode_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- joins ----------------------------------------------------------------
 
 def join_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inc = _incidents(spark, sf_dir).select("dr_no", "lat", "lon")
-    return inc.join(derived.revgeo(spark), ["lat", "lon"]).select("dr_no", "zip")
+    """Every incident with the ZIP of its position; a position with many incidents is salted."""
+    inc = _incidents(spark, sf_dir).select("dr_no", F.struct("lat", "lon").alias("spot")).filter("spot.lat is not null and spot.lon is not null")
+    geo = derived.revgeo(spark, sf_dir).select(F.struct("lat", "lon").alias("at"), "zip")
+    return salted_join(inc, geo, "spot", "at", salt_source="dr_no").select("dr_no", "zip")
 
 
 def join_using(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inc = _incidents(spark, sf_dir).select("lat", "lon")
-    per_zip = group_count(inc.join(derived.revgeo(spark), ["lat", "lon"]), "zip")
+    """Incidents per ZIP, with its community; both sides are counted per position before they are joined."""
+    inc = _incidents(spark, sf_dir).groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("n"))
+    geo = derived.revgeo(spark, sf_dir).groupBy("lat", "lon", "zip").agg(F.count(F.lit(1)).alias("m"))
+    per_zip = inc.join(geo, ["lat", "lon"]).groupBy("zip").agg(F.sum(F.col("n") * F.col("m")).alias("count"))
     return per_zip.join(derived.income(spark, sf_dir).select("zip", "community"), "zip") \
         .select("zip", "community", "count")
 
 
 def join_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of extract A with the time and area that extract B has for them, null weapon codes matching."""
+    a = derived.incidents(spark, sf_dir, "a").select("dr_no", "weapon_cd", "premis_desc")
+    b = derived.incidents(spark, sf_dir, "b").select("dr_no", "weapon_cd", "time_occ", "area")
+    return null_safe_join(a, b, [("dr_no", "dr_no"), ("weapon_cd", "weapon_cd")])
+
+
+def join_null_safe_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of extract A also present in extract B, null weapon codes matching.
 
     A left-semi join: each A row is kept once if any B row matches, so a key
@@ -155,6 +186,13 @@ def q1_df_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q1.top_months(merged_incidents(spark, sf_dir))
 
 
+def q1_df_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 on the Parquet copies that the conversion made of the text files."""
+    paths = stage_extracts_as_csv(spark, sf_dir)
+    out = csv_to_parquet(spark, paths, f"{shared_dir(spark, 'converted')}/parquet")
+    return q1.top_months(merge_extracts(*[read_parquet(spark, out[p]) for p in paths]))
+
+
 def q1_df_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q1.top_months(merged_incidents_from_csv(spark, sf_dir))
 
@@ -181,7 +219,7 @@ def q2_int(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _q3(side: Callable, strategy: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return side(derived.incidents(spark, sf_dir, "a"), derived.revgeo(spark),
+        return side(derived.incidents(spark, sf_dir, "a"), derived.revgeo(spark, sf_dir),
                     derived.income(spark, sf_dir), strategy)
     return run
 
@@ -202,6 +240,7 @@ def _q4(strategy: str = "auto", filtered: bool = True, udf: bool = False, rows:
 
 QUERIES: dict[str, Query] = {
     "csv_scan_typed": csv_scan_typed,
+    "csv_scan_reordered": csv_scan_reordered,
     "csv_to_parquet": csv_to_parquet_query,
     "csv_to_parquet_stream": csv_to_parquet_stream,
     "timestamp_parse": timestamp_parse,
@@ -221,8 +260,10 @@ QUERIES: dict[str, Query] = {
     "join_composite_key": join_composite_key,
     "join_using": join_using,
     "join_null_safe": join_null_safe,
+    "join_null_safe_semi": join_null_safe_semi,
     "q1_top_months_df_parquet": q1_df_parquet,
     "q1_top_months_df_csv": q1_df_csv,
+    "q1_top_months_df_converted": q1_df_converted,
     "q1_top_months_sql_parquet": q1_sql_parquet,
     "q1_top_months_sql_csv": q1_sql_csv,
     "q2_time_of_day_string": q2_string,

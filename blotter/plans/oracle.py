@@ -1,19 +1,14 @@
 """Independent DuckDB SQL for every catalog query.
 
-The domain extracts are restated here in DuckDB's dialect straight from
-the fixture rules, not generated from the Spark code, so the oracle is a
-second implementation of the same definitions. ``sql(name)`` returns one
+The domain extracts, labels, bounds and constants are restated here as
+literals in DuckDB's dialect straight from the rules in FIXTURES.md; this
+module imports nothing from the rest of the package, so a wrong bound,
+label or constant there turns a row red. ``sql(name)`` returns one
 self-contained statement over the driver's pre-registered tables.
 """
 
 from __future__ import annotations
 
-from ..functions.daypart import (BUCKETS, NIGHT, NIGHT_EARLY, NIGHT_LATE, NUMBER_FALLBACK,
-                                 TEXT_FALLBACK)
-from ..functions.descent import DESCENT_LABELS, FALLBACK
-from ..functions.geo import WGS84_A_KM, WGS84_F
-from ..sources.derived import DESCENT_LETTERS, SPLIT_A_BEFORE, SPLIT_B_FROM
-
 TS_FORMAT = "%m/%d/%Y %I:%M:%S %p"
 
 
@@ -22,11 +17,11 @@ def _milli(v: str) -> str:
 
 
 def _lat(i: str) -> str:
-    return _milli(f"33700 + {i} * 37 % 600")
+    return _milli(f"33000 + {i} * 37 % 2000")
 
 
 def _lon(i: str) -> str:
-    return "('-' || " + _milli(f"118700 - {i} * 53 % 600") + ")"
+    return "('-' || " + _milli(f"117000 + {i} // 2000 * 7 % 60000") + ")"
 
 
 RAW_COLS = "dr_no, date_occ, time_occ, area, premis_desc, vict_descent, weapon_cd, lat, lon"
@@ -38,19 +33,19 @@ SELECT o_orderdate AS _day,
   CAST(o_orderkey AS VARCHAR) AS dr_no,
   CASE WHEN o_orderkey % 101 = 0 THEN 'bad' ELSE strftime(o_orderdate, '{TS_FORMAT}') END AS date_occ,
   lpad(CAST(o_orderkey * 7 % 2500 AS VARCHAR), 4, '0') AS time_occ,
-  CAST(o_custkey % 21 + 1 AS VARCHAR) AS area,
+  CAST(o_custkey % 27 + 1 AS VARCHAR) AS area,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 'STREET' ELSE o_orderpriority END AS premis_desc,
   CASE WHEN o_custkey % 20 = 19 THEN NULL
-       ELSE substr('{DESCENT_LETTERS}', CAST(o_custkey % 20 AS INTEGER) + 1, 1) END AS vict_descent,
+       ELSE substr('ABCDFGHIJKLOPSUVWXZ', CAST(o_custkey % 20 AS INTEGER) + 1, 1) END AS vict_descent,
   CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderkey % 300 AS VARCHAR) END AS weapon_cd,
-  CASE WHEN o_orderkey % 97 = 0 THEN '0' ELSE {_lat('o_orderkey')} END AS lat,
-  CASE WHEN o_orderkey % 97 = 0 THEN '0' ELSE {_lon('o_orderkey')} END AS lon
+  CASE WHEN o_orderkey % 97 = 0 THEN '0' ELSE {_lat('o_custkey')} END AS lat,
+  CASE WHEN o_orderkey % 97 = 0 THEN '0' ELSE {_lon('o_custkey')} END AS lon
 FROM orders"""
 CTES["incidents_raw"] = f"SELECT {RAW_COLS} FROM orders_text"
 CTES["incidents_a_raw"] = (f"SELECT {RAW_COLS} FROM orders_text "
-                           f"WHERE _day < TIMESTAMP '{SPLIT_A_BEFORE}'")
+                           f"WHERE _day < TIMESTAMP '1999-01-01'")
 CTES["incidents_b_raw"] = (f"SELECT {RAW_COLS} FROM orders_text "
-                           f"WHERE _day >= TIMESTAMP '{SPLIT_B_FROM}'")
+                           f"WHERE _day >= TIMESTAMP '1998-07-01'")
 CTES["merged_raw"] = "SELECT * FROM incidents_a_raw UNION SELECT * FROM incidents_b_raw"
 
 
@@ -71,29 +66,34 @@ CTES["incidents"] = _typed_incidents("incidents_raw")
 CTES["incidents_a"] = _typed_incidents("incidents_a_raw")
 CTES["incidents_b"] = _typed_incidents("incidents_b_raw")
 CTES["merged"] = _typed_incidents("merged_raw")
-CTES["stations"] = f"""
-SELECT n_nationkey AS prec, n_name AS division,
-  TRY_CAST(('-' || {_milli('118700 - n_nationkey * 31 % 600')}) AS DOUBLE) AS x,
-  TRY_CAST({_milli('33700 + n_nationkey * 29 % 600')} AS DOUBLE) AS y
-FROM nation WHERE n_nationkey BETWEEN 1 AND 21"""
-CTES["income"] = """
-SELECT 90000 + n_nationkey AS zip,
+CTES["stations_raw"] = f"""
+SELECT CAST(n_nationkey + 1 AS VARCHAR) AS prec, n_name AS division,
+  '-' || {_milli('118700 - n_nationkey * 31 % 600')} AS x, {_milli('33700 + n_nationkey * 29 % 600')} AS y
+FROM nation"""
+CTES["stations"] = """
+SELECT CAST(prec AS INTEGER) AS prec, division, TRY_CAST(x AS DOUBLE) AS x, TRY_CAST(y AS DOUBLE) AS y FROM stations_raw"""
+CTES["income_raw"] = """
+SELECT CAST(90000 + n_nationkey AS VARCHAR) AS zip,
   CASE WHEN n_nationkey % 3 <> 0 THEN 'Los Angeles (' || n_name || ')' ELSE n_name END AS community,
-  TRY_CAST(regexp_replace('$' || format('{:,}', 30000 + n_nationkey * 3721), '[$,]', '', 'g')
-           AS DOUBLE) AS median_income
+  '$' || format('{:,}', 30000 + n_nationkey * 3721) AS median_income
 FROM nation"""
-CTES["revgeo"] = f"""
-SELECT TRY_CAST({_lat('i')} AS DOUBLE) AS lat, TRY_CAST({_lon('i')} AS DOUBLE) AS lon,
-  CAST(90000 + i % 25 AS INTEGER) AS zip
-FROM range(600) t(i) WHERE i % 13 <> 0"""
-CTES["households"] = """
-SELECT c_custkey AS household_id, CAST(90000 + c_nationkey AS INTEGER) AS zip,
-  CASE WHEN c_custkey % 3 <> 0 THEN 'Los Angeles (' || c_mktsegment || ')' ELSE c_mktsegment END
-    AS community,
-  CASE WHEN c_custkey % 89 = 0 THEN NULL
-       ELSE TRY_CAST(regexp_replace('$' || format('{:,}', CAST(floor(c_acctbal) AS BIGINT)),
-                                    '[$,]', '', 'g') AS DOUBLE) END AS median_income
+CTES["income"] = """
+SELECT CAST(zip AS INTEGER) AS zip, community,
+  TRY_CAST(regexp_replace(median_income, '[$,]', '', 'g') AS DOUBLE) AS median_income FROM income_raw"""
+CTES["revgeo_raw"] = f"""
+SELECT {_lat('c_custkey')} AS lat, {_lon('c_custkey')} AS lon, CAST(90000 + c_custkey % 25 AS VARCHAR) AS zip
+FROM customer WHERE c_custkey % 13 <> 0"""
+CTES["revgeo"] = """
+SELECT TRY_CAST(lat AS DOUBLE) AS lat, TRY_CAST(lon AS DOUBLE) AS lon, CAST(zip AS INTEGER) AS zip FROM revgeo_raw"""
+CTES["households_raw"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS household_id, CAST(90000 + c_nationkey AS VARCHAR) AS zip,
+  CASE WHEN c_custkey % 3 <> 0 THEN 'Los Angeles (' || c_mktsegment || ')' ELSE c_mktsegment END AS community,
+  CASE WHEN c_custkey % 89 = 0 THEN 'n/a'
+       ELSE '$' || format('{:,}', CAST(floor(c_acctbal) AS BIGINT)) END AS median_income
 FROM customer"""
+CTES["households"] = """
+SELECT CAST(household_id AS BIGINT) AS household_id, CAST(zip AS INTEGER) AS zip, community,
+  TRY_CAST(regexp_replace(median_income, '[$,]', '', 'g') AS DOUBLE) AS median_income FROM households_raw"""
 
 DEPENDS = {
     "incidents_raw": ["orders_text"],
@@ -104,6 +104,10 @@ DEPENDS = {
     "incidents_a": ["incidents_a_raw"],
     "incidents_b": ["incidents_b_raw"],
     "merged": ["merged_raw"],
+    "stations": ["stations_raw"],
+    "income": ["income_raw"],
+    "revgeo": ["revgeo_raw"],
+    "households": ["households_raw"],
 }
 
 
@@ -123,44 +127,76 @@ def _closure(names: list[str]) -> list[str]:
 
 def with_views(views: list[str], body: str, extra: list[tuple[str, str]] | None = None) -> str:
     parts = [f"{n} AS ({CTES[n]}\n)" for n in _closure(views)]
-    parts += [f"{n} AS ({q}\n)" for n, q in extra or []]
+    # A long chain of steps: materialised, or the optimizer multiplies their expressions out.
+    parts += [f"{n} AS MATERIALIZED ({q}\n)" for n, q in extra or []]
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
 def descent_case(col: str) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DESCENT_LABELS.items())
-    return f"CASE {col} {whens} ELSE '{FALLBACK}' END"
+    return f"""CASE WHEN {col} = 'A' THEN 'Other Asian' WHEN {col} = 'B' THEN 'Black' WHEN {col} = 'C' THEN 'Chinese'
+  WHEN {col} = 'D' THEN 'Cambodian' WHEN {col} = 'F' THEN 'Filipino' WHEN {col} = 'G' THEN 'Guamanian'
+  WHEN {col} IN ('H', 'I') THEN 'Hispanic/Latin/Mexican' WHEN {col} = 'J' THEN 'Japanese' WHEN {col} = 'K' THEN 'Korean'
+  WHEN {col} = 'L' THEN 'Laotian' WHEN {col} = 'O' THEN 'Other' WHEN {col} = 'P' THEN 'Pacific Islander'
+  WHEN {col} = 'S' THEN 'Samoan' WHEN {col} = 'U' THEN 'Hawaiian' WHEN {col} = 'V' THEN 'Vietnamese'
+  WHEN {col} = 'W' THEN 'White' WHEN {col} = 'X' THEN 'Unknown' WHEN {col} = 'Z' THEN 'Asian Indian'
+  ELSE 'OTHERWISE' END"""
 
 
 def daypart_text_case(col: str) -> str:
-    whens = " ".join(f"WHEN {col} >= '{lo:04d}' AND {col} <= '{hi:04d}' THEN '{lab}'"
-                     for lab, lo, hi in BUCKETS)
-    night = f"WHEN {col} >= '{NIGHT_LATE[0]:04d}' OR {col} <= '{NIGHT_EARLY[1]:04d}' THEN '{NIGHT}'"
-    return f"CASE {whens} {night} ELSE '{TEXT_FALLBACK}' END"
+    return f"""CASE WHEN {col} BETWEEN '0500' AND '1159' THEN 'MORNING' WHEN {col} BETWEEN '1200' AND '1659' THEN 'AFTERNOON'
+  WHEN {col} BETWEEN '1700' AND '2059' THEN 'EVENING' WHEN {col} >= '2100' OR {col} <= '0459' THEN 'NIGHT'
+  ELSE 'OTHERWISE' END"""
 
 
 def daypart_number_case(col: str) -> str:
     t = f"TRY_CAST({col} AS INTEGER)"
-    whens = " ".join(f"WHEN {t} BETWEEN {lo} AND {hi} THEN '{lab}'" for lab, lo, hi in BUCKETS)
-    night = (f"WHEN {t} BETWEEN {NIGHT_LATE[0]} AND {NIGHT_LATE[1]} "
-             f"OR {t} BETWEEN {NIGHT_EARLY[0]} AND {NIGHT_EARLY[1]} THEN '{NIGHT}'")
-    return f"CASE {whens} {night} ELSE '{NUMBER_FALLBACK}' END"
+    return f"""CASE WHEN {t} BETWEEN 500 AND 1159 THEN 'MORNING' WHEN {t} BETWEEN 1200 AND 1659 THEN 'AFTERNOON'
+  WHEN {t} BETWEEN 1700 AND 2059 THEN 'EVENING' WHEN {t} BETWEEN 2100 AND 2359 OR {t} BETWEEN 0 AND 459 THEN 'NIGHT'
+  ELSE 'UNKNOWN' END"""
 
 
 def geodesic_ctes(src: str) -> list[tuple[str, str]]:
-    """CTE chain adding ``distance`` to ``src`` (columns lat1, lon1, lat2, lon2)."""
-    omf = repr(1.0 - WGS84_F)
-    half_f = repr(WGS84_F / 2)
-    a = repr(WGS84_A_KM)
-    g1 = (f"SELECT *, atan({omf} * tan(radians(lat1))) AS _b1, atan({omf} * tan(radians(lat2))) AS _b2,"
-          f" radians(lon2) - radians(lon1) AS _dl FROM {src}")
-    g2 = ("SELECT *, 2 * asin(sqrt(least(1.0, pow(sin((_b2 - _b1) / 2), 2)"
-          " + cos(_b1) * cos(_b2) * pow(sin(_dl / 2), 2)))) AS _s FROM g1")
-    g3 = (f"SELECT *, CASE WHEN _s = 0 THEN 0.0 ELSE {a} * (_s - {half_f} * ("
-          "(_s - sin(_s)) * pow(sin((_b1 + _b2) / 2) * cos((_b2 - _b1) / 2) / cos(_s / 2), 2)"
-          " + (_s + sin(_s)) * pow(cos((_b1 + _b2) / 2) * sin((_b2 - _b1) / 2) / sin(_s / 2), 2)"
-          ")) END AS distance FROM g2")
-    return [("g1", g1), ("g2", g2), ("g3", g3)]
+    """CTE chain adding ``distance`` to ``src`` (columns lat1, lon1, lat2, lon2).
+
+    The inverse problem by fixed-point iteration on the auxiliary sphere in
+    Cartesian form (unit vectors of the reduced latitudes; great-circle
+    angle and equatorial azimuth from cross and dot products), with Helmert's
+    series in the third-flattening-like parameter k1 for the length.
+    """
+    f = "(1 / 298.257223563)"
+    out = [("w0", f"SELECT *, atan((1 - {f}) * tan(radians(lat1))) AS b1, atan((1 - {f}) * tan(radians(lat2))) AS b2,"
+                  f" radians(lon2) - radians(lon1) AS dl, radians(lon2) - radians(lon1) AS w FROM {src}")]
+    turns = 12
+    for k in range(turns):
+        # Unit vectors p = (cos b1, 0, sin b1) and q = (cos b2 cos w, cos b2 sin w, sin b2); n = p x q.
+        out.append((f"turn{k}", "SELECT *, CASE WHEN ca2 < 1e-15 THEN 0 ELSE dot - 2 * sin(b1) * sin(b2) / ca2 END AS cm FROM ("
+                    "SELECT *, 1 - sa * sa AS ca2 FROM ("
+                    "SELECT *, atan2(sqrt(nx * nx + ny * ny + nz * nz), dot) AS arc,"
+                    " CASE WHEN nx * nx + ny * ny + nz * nz = 0 THEN 0 ELSE nz / sqrt(nx * nx + ny * ny + nz * nz) END AS sa FROM ("
+                    "SELECT lat1, lon1, lat2, lon2, division, b1, b2, dl, w, -sin(b1) * cos(b2) * sin(w) AS nx,"
+                    " sin(b1) * cos(b2) * cos(w) - cos(b1) * sin(b2) AS ny, cos(b1) * cos(b2) * sin(w) AS nz,"
+                    f" cos(b1) * cos(b2) * cos(w) + sin(b1) * sin(b2) AS dot FROM w{k})))"))
+        c = f"({f} / 16 * ca2 * (4 + {f} * (4 - 3 * ca2)))"
+        out.append((f"w{k + 1}", f"SELECT lat1, lon1, lat2, lon2, division, b1, b2, dl,"
+                    f" dl + (1 - {c}) * {f} * sa * (arc + {c} * sin(arc) * (cm + {c} * dot * (2 * cm * cm - 1))) AS w FROM turn{k}"))
+    b = f"(6378.137 * (1 - {f}))"
+    out.append(("series", f"SELECT *, (sqrt(1 + ca2 * (pow(6378.137, 2) / pow({b}, 2) - 1)) - 1)"
+                       f" / (sqrt(1 + ca2 * (pow(6378.137, 2) / pow({b}, 2) - 1)) + 1) AS k1 FROM turn{turns - 1}"))
+    out.append(("scaled", "SELECT *, (1 + k1 * k1 / 4) / (1 - k1) AS big_a, k1 * (1 - 3 * k1 * k1 / 8) AS big_b FROM series"))
+    out.append(("g3", f"SELECT *, {b} * big_a * (arc - big_b * sin(arc) * (cm + big_b / 4 * (dot * (2 * cm * cm - 1)"
+                      " - big_b / 6 * cm * (4 * pow(sin(arc), 2) - 3) * (4 * cm * cm - 3)))) AS distance FROM scaled"))
+    return out
+
+
+def _checksums() -> str:
+    columns = {"incidents": RAW_COLS, "stations": "prec, division, x, y", "income": "zip, community, median_income",
+               "revgeo": "lat, lon, zip", "households": "household_id, zip, community, median_income"}
+    parts = []
+    for name, cols in columns.items():
+        text = " || '|' || ".join(f"coalesce({c}, '<null>')" for c in cols.split(", "))
+        parts.append(f"SELECT '{name}' AS table_name, count(*) AS row_count,"
+                     f" CAST(sum(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)) AS BIGINT) AS checksum FROM {name}_raw")
+    return " UNION ALL ".join(parts)
 
 
 CITY = "'%Los Angeles (%'"
@@ -232,7 +268,8 @@ FROM g3""", [("j", _q4_joined(True))] + geodesic_ctes("j"))
 def _all() -> dict[str, str]:
     q: dict[str, str] = {}
     q["csv_scan_typed"] = with_views(["incidents"], "SELECT * FROM incidents")
-    q["csv_to_parquet"] = with_views(["incidents_raw"], "SELECT * FROM incidents_raw")
+    q["csv_scan_reordered"] = with_views(["incidents_a", "incidents_b"], "SELECT * FROM incidents_a UNION ALL SELECT * FROM incidents_b")
+    q["csv_to_parquet"] = with_views(["incidents_raw", "stations_raw", "income_raw", "revgeo_raw", "households_raw"], _checksums())
     q["csv_to_parquet_stream"] = with_views(
         ["incidents_a_raw", "incidents_b_raw"],
         "SELECT * FROM incidents_a_raw UNION ALL SELECT * FROM incidents_b_raw")
@@ -275,12 +312,17 @@ SELECT i.dr_no, g.zip FROM incidents i JOIN revgeo g ON i.lat = g.lat AND i.lon
               FROM incidents i JOIN revgeo g ON i.lat = g.lat AND i.lon = g.lon GROUP BY g.zip)
 SELECT zip, community, "count" FROM per_zip JOIN income USING (zip)""")
     q["join_null_safe"] = with_views(["incidents_a", "incidents_b"], """
+, one AS (SELECT dr_no, weapon_cd, max({'t': time_occ, 'a': area}) AS r FROM incidents_b GROUP BY dr_no, weapon_cd)
+SELECT a.dr_no, a.weapon_cd, a.premis_desc, b.r.t AS time_occ, b.r.a AS area FROM incidents_a a JOIN one b
+ON a.dr_no IS NOT DISTINCT FROM b.dr_no AND a.weapon_cd IS NOT DISTINCT FROM b.weapon_cd""")
+    q["join_null_safe_semi"] = with_views(["incidents_a", "incidents_b"], """
 SELECT a.dr_no, a.weapon_cd FROM incidents_a a
 WHERE EXISTS (SELECT 1 FROM incidents_b b
               WHERE a.dr_no = b.dr_no AND a.weapon_cd IS NOT DISTINCT FROM b.weapon_cd)""")
-    for fmt in ("parquet", "csv"):
+    for fmt in ("parquet", "csv", "converted"):
         q[f"q1_top_months_df_{fmt}"] = _q1("merged", '"count"')
-        q[f"q1_top_months_sql_{fmt}"] = _q1("merged", "total_crimes")
+        if fmt != "converted":
+            q[f"q1_top_months_sql_{fmt}"] = _q1("merged", "total_crimes")
     q["q2_time_of_day_string"] = _q2(daypart_text_case("time_occ"))
     q["q2_time_of_day_int"] = _q2(daypart_number_case("time_occ"))
     q["q3_income_top"] = _q3("DESC")

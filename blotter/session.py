@@ -7,12 +7,16 @@ reads its settings.
 ``shared_dir`` returns a folder under the cluster's shared checkpoint
 location (``spark.checkpoint.dir``). Intermediate tables that must
 outlive an executor (CSV staging, written checkpoints) go there, never to
-a machine-local temp folder. Only when the setting is absent, as in local
-tests, is a private folder created and registered as the checkpoint dir.
+a machine-local temp folder. Only where the setting is absent, as in local
+tests, is a folder of the application's own made and registered.
 """
 
 from __future__ import annotations
 
+import atexit
+import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -40,30 +44,29 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-_PRIVATE_BASE: dict[str, str] = {}
+_LOCAL = re.compile(r"local(\[.*\])?")
 
 
 def checkpoint_base(spark: SparkSession) -> str:
-    """The shared checkpoint folder; created privately only when unset."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: only the session conf is visible
-        base = spark.conf.get(CHECKPOINT_KEY, None)
-        if not base:
-            raise RuntimeError(f"{CHECKPOINT_KEY} is not set; name a shared folder for staging")
-        return base.rstrip("/")
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset a session whose executors are threads of the driver
+    gets a folder of its own, named after the application and removed when
+    the driver ends; any other session is refused, as its executors would
+    not see it.
+    """
+    sc = spark.sparkContext
     base = sc.getConf().get(CHECKPOINT_KEY, None)
     if not base:
-        if not sc.master.startswith("local"):
+        if not _LOCAL.fullmatch(sc.master):
             raise RuntimeError(
                 f"{CHECKPOINT_KEY} is not set: on a cluster, intermediate tables must go to a "
                 "shared file system folder, not to a machine-local temp folder")
-        app = sc.applicationId
-        base = _PRIVATE_BASE.get(app)
-        if base is None:
-            base = tempfile.mkdtemp(prefix="blotter-ckpt-")
+        base = os.path.join(tempfile.gettempdir(), f"blotter-{sc.applicationId}")
+        if not os.path.isdir(base):
+            os.makedirs(base)
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
             sc.setCheckpointDir(base)
-            _PRIVATE_BASE[app] = base
     return base.rstrip("/")
 
 

@@ -20,58 +20,21 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.descent import DESCENT_LABELS
 from . import schemas
-from .files import spread_thin_scan
 from .typed import (typed_households, typed_incidents, typed_income, typed_revgeo,
                     typed_stations)
 
 # Fixed values of the fixture rules (FIXTURES.md section 3).
-DESCENT_LETTERS = "ABCDFGHIJKLOPSUVWXZ"
+DESCENT_LETTERS = "".join(DESCENT_LABELS)      # every code of the label table, in order
 SPLIT_A_BEFORE = "1999-01-01"     # extract A: date_occ before this day
 SPLIT_B_FROM = "1998-07-01"       # extract B: date_occ from this day on
-REVGEO_SIZE = 600
 UNKNOWN_COORD_TEXT = "0"
 
 
-# Fact-like tables that grow with the data, with their unique row key; a thin
-# scan of one of them is spread over the cores by that key (only when the key
-# is read). Dimensions are read as is.
-FACT_KEYS = {"orders": "o_orderkey", "customer": "c_custkey"}
-
-# The driver tables are immutable inputs: their resolved scan (schema from
-# the Parquet footers, split count) is looked up once per session and path,
-# instead of re-running the footer job on every read. ``forget()`` drops it.
-_BASE: dict[tuple[int, str], tuple[DataFrame, int | None]] = {}
-
-
-def forget() -> None:
-    _BASE.clear()
-
-
-def _base(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
-    key = (id(spark), path)
-    hit = _BASE.get(key)
-    if hit is None or hit[0].sparkSession is not spark:
-        df = spark.read.parquet(path)
-        try:
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
-            splits = None
-        hit = (df, splits)
-        _BASE[key] = hit
-    return hit
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df, splits = _base(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-    df = df.select(*cols)
-    key = FACT_KEYS.get(name)
-    return spread_thin_scan(df, splits, key) if key in cols and splits is not None else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """A driver table with only ``cols`` read."""
-    return _table(spark, sf_dir, name, *cols)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*cols)
 
 
 def milli_text(v: Column) -> Column:
@@ -81,11 +44,11 @@ def milli_text(v: Column) -> Column:
 
 
 def lat_text(i: Column) -> Column:
-    return milli_text(F.lit(33700) + i * 37 % 600)
+    return milli_text(F.lit(33000) + i * 37 % 2000)
 
 
 def lon_text(i: Column) -> Column:
-    return F.concat(F.lit("-"), milli_text(F.lit(118700) - i * 53 % 600))
+    return F.concat(F.lit("-"), milli_text(F.lit(117000) + F.floor(i / 2000) * 7 % 60000))
 
 
 def _two(c: Column) -> Column:
@@ -132,20 +95,20 @@ def _incident_text() -> tuple[Column, ...]:
         k.cast("string").alias("dr_no"),
         F.when(k % 101 == 0, F.lit("bad")).otherwise(wall_clock_text(F.col("o_orderdate"))).alias("date_occ"),
         F.lpad((k * 7 % 2500).cast("string"), 4, "0").alias("time_occ"),
-        (cust % 21 + 1).cast("string").alias("area"),
+        (cust % 27 + 1).cast("string").alias("area"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("STREET"))
          .otherwise(F.col("o_orderpriority")).alias("premis_desc"),
         F.try_element_at(letters, (cust % 20 + 1).cast("int")).alias("vict_descent"),
         F.when(k % 11 == 0, F.lit(None).cast("string"))
          .otherwise((k % 300).cast("string")).alias("weapon_cd"),
-        F.when(unknown, F.lit(UNKNOWN_COORD_TEXT)).otherwise(lat_text(k)).alias("lat"),
-        F.when(unknown, F.lit(UNKNOWN_COORD_TEXT)).otherwise(lon_text(k)).alias("lon"),
+        F.when(unknown, F.lit(UNKNOWN_COORD_TEXT)).otherwise(lat_text(cust)).alias("lat"),
+        F.when(unknown, F.lit(UNKNOWN_COORD_TEXT)).otherwise(lon_text(cust)).alias("lon"),
     )
 
 
 def incidents_raw(spark: SparkSession, sf_dir: str, extract: str | None = None) -> DataFrame:
     """One text row per ``orders`` row; ``extract`` 'a' / 'b' picks an overlapping file."""
-    o = _table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     if extract is not None:
         o = o.filter(_extract_filter(extract))
     return o.select(*_incident_text())
@@ -154,16 +117,15 @@ def incidents_raw(spark: SparkSession, sf_dir: str, extract: str | None = None)
 @cache
 def _station_text() -> tuple[Column, ...]:
     n = F.col("n_nationkey")
-    return (n.between(1, 21),
-            n.cast("string").alias("prec"),
+    return ((n + 1).cast("string").alias("prec"),
             F.col("n_name").alias("division"),
             F.concat(F.lit("-"), milli_text(F.lit(118700) - n * 31 % 600)).alias("x"),
             milli_text(F.lit(33700) + n * 29 % 600).alias("y"))
 
 
 def stations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keep, *cols = _station_text()
-    return _table(spark, sf_dir, "nation", "n_nationkey", "n_name").filter(keep).select(*cols)
+    """One station per nation; two more areas have none."""
+    return table(spark, sf_dir, "nation", "n_nationkey", "n_name").select(*_station_text())
 
 
 def _community(flag: Column, name: Column) -> Column:
@@ -179,20 +141,21 @@ def _income_text() -> tuple[Column, ...]:
 
 
 def income_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "nation", "n_nationkey", "n_name").select(*_income_text())
+    return table(spark, sf_dir, "nation", "n_nationkey", "n_name").select(*_income_text())
 
 
 @cache
 def _revgeo_text() -> tuple[Column, ...]:
-    i = F.col("id")
+    i = F.col("c_custkey")
     return (i % 13 != 0,
             lat_text(i).alias("lat"), lon_text(i).alias("lon"),
             (F.lit(90000) + i % 25).cast("string").alias("zip"))
 
 
-def revgeo_raw(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
+def revgeo_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ZIP of most customers' positions (one row per position)."""
     keep, *cols = _revgeo_text()
-    return spark.range(REVGEO_SIZE).filter(keep).select(*cols)
+    return table(spark, sf_dir, "customer", "c_custkey").filter(keep).select(*cols)
 
 
 @cache
@@ -208,7 +171,7 @@ def _household_text() -> tuple[Column, ...]:
 
 def households_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-household income records (one per ``customer`` row)."""
-    return (_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return (table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
             .select(*_household_text()))
 
 
@@ -233,7 +196,7 @@ def income(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_income(income_raw(spark, sf_dir))
 
 
-def revgeo(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
+def revgeo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_revgeo(revgeo_raw(spark, sf_dir))
 
 
