@@ -7,8 +7,7 @@ the initial adaptive plans (before AQE re-optimises at runtime).
     python tools/show_plans.py [sf_dir] [--shuffle SCRATCH_DIR] > PLANS.md
 
 With ``--shuffle`` the shuffle-volume table of ``tools/shuffle_bytes.py``
-is appended, measured on one core (no thin-scan spread) with its event log
-in SCRATCH_DIR (a fresh folder of your own).
+is appended, measured on one core with its event log in SCRATCH_DIR (a fresh folder of your own).
 """
 
 from __future__ import annotations
@@ -72,8 +71,7 @@ def shuffle_section(scratch: str, sf_dir: str) -> str:
                          text=True, timeout=1800, check=True).stdout
     table = "\n".join(ln for ln in out.splitlines() if ln.startswith("|"))
     return ("## Shuffle volumes\n\nFrom `tools/shuffle_bytes.py` (Spark event log in a scratch folder; "
-            "shuffle bytes and records written by each route's tasks), on one core so the thin-scan "
-            "spread never fires: each question's own shuffles, as on a large input.\n\n"
+            "shuffle bytes and records written by each route's tasks), on one core.\n\n"
             f"{table}\n\n{SHUFFLE_NOTE}\n")
 
 
@@ -88,8 +86,7 @@ def main() -> None:
     spark = build_session("local[8]", 16, app_name="blotter-plans")
     print("# Physical plans of the headline routes\n")
     print(f"Generated by `tools/show_plans.py` on `{sf_dir}` (`local[8]`, 16 shuffle partitions). "
-          "Initial adaptive plans; the `Exchange` under each scan is the thin-scan spread, "
-          "present only because each test table is one Parquet row group.\n")
+          "Initial adaptive plans.\n")
     for name in ROUTES:
         print(f"## {name}\n\n```")
         print(summarise(formatted(QUERIES[name](spark, sf_dir))))

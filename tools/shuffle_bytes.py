@@ -1,7 +1,7 @@
 """Shuffle bytes written per route, read from Spark's event log.
 
     python tools/shuffle_bytes.py SCRATCH_DIR [sf_dir] [route ...]
-    BLOTTER_MASTER=local[1] python tools/shuffle_bytes.py ...   # no thin-scan spread
+    BLOTTER_MASTER=local[1] python tools/shuffle_bytes.py ...
 
 The event log goes to SCRATCH_DIR (a fresh folder of your own); no UI or
 server is involved. Each route runs once into the ``noop`` sink under its
@@ -56,8 +56,7 @@ def main(argv: list[str]) -> None:
             g = group_of_stage.get(e["Stage ID"])
             written[g] = written.get(g, 0) + w.get("Shuffle Bytes Written", 0)
             records[g] = records.get(g, 0) + w.get("Shuffle Records Written", 0)
-    spread = "one core: no thin-scan spread" if master == "local[1]" else "includes the thin-scan spread"
-    print(f"Shuffle written per route on `{sf_dir}`, `{master}` ({spread}):\n")
+    print(f"Shuffle written per route on `{sf_dir}`, `{master}`:\n")
     print("| route | shuffle MB | shuffle records |")
     print("|---|---|---|")
     for name in routes:
