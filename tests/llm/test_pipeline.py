@@ -1,0 +1,69 @@
+import corpus_pipeline as p
+import public_tokenizers
+from blotter.llm.quality import score_quality
+from blotter.llm.toxicity import score_toxicity
+from helpers import AWKWARD
+from pyspark.sql import functions as F
+from test_path_join import brute
+from tokenizers import Tokenizer
+
+SMALL = "/root/testdata/sf0.001"
+STAGE = dict(p.STAGES)
+
+
+def documents(spark):
+    return spark.read.parquet(f"{SMALL}/documents.parquet")
+
+
+def labels(spark):
+    return spark.read.parquet(f"{SMALL}/labels.parquet")
+
+
+def test_stages_and_their_order():
+    assert [n for n, _ in p.STAGES] == ["toxicity", "quality", "near_duplicates", "packing"]
+
+
+def test_each_stage_takes_the_decisions_of_its_operator(spark):
+    docs = documents(spark).withColumn("score", F.lit("x")).withColumn("predicted", F.lit(1))
+    kept = STAGE["toxicity"](spark, docs, SMALL)
+    assert kept.columns == p.COLUMNS
+    want = {r["doc_id"] for r in score_toxicity(documents(spark), labels(spark)).filter("predicted = 0").collect()}
+    assert {r["doc_id"] for r in kept.collect()} == want and 0 < len(want) < 200
+
+    kept = STAGE["quality"](spark, docs.withColumn("good", F.lit(False)), SMALL)
+    assert kept.columns == p.COLUMNS
+    want = {r["doc_id"] for r in score_quality(documents(spark), labels(spark), F.col("source"), F.concat_ws("/", "source", "lang"), ["doc_id"])
+            .filter("good").collect()}
+    assert {r["doc_id"] for r in kept.collect()} == want and 0 < len(want) < 200
+
+
+def test_one_document_of_each_group_stays(spark):
+    kept = STAGE["near_duplicates"](spark, documents(spark), SMALL)
+    assert kept.columns == p.COLUMNS
+    rows = [(r["doc_id"], r["text"]) for r in documents(spark).collect()]
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for *_, c in brute(rows, 5)})
+
+
+def test_awkward_documents_pass_through(spark):
+    full = [(i, t, None, None, len(t or "")) for i, t in AWKWARD]
+    docs = spark.createDataFrame(full, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for name in ("toxicity", "quality", "near_duplicates"):
+        out = STAGE[name](spark, docs, SMALL)
+        assert out.columns == p.COLUMNS and out.count() <= len(AWKWARD)
+        assert STAGE[name](spark, docs.limit(0), SMALL).count() == 0
+    stay = [r["doc_id"] for r in STAGE["near_duplicates"](spark, docs, SMALL).collect()]
+    # Copies with an id go but for the first; those without stay, repeated rows and empty texts with ids of their own do too.
+    assert sorted(i for i in stay if i is not None) == [1, 2, 3, 4, 5, 8, 9, 10, 11, 12] and stay.count(None) == 2
+
+
+def test_run_packs_what_the_stages_keep(spark):
+    docs = documents(spark)
+    for name, stage in p.STAGES[:-1]:
+        docs = stage(spark, docs, SMALL).cache()
+    t = Tokenizer.from_file(public_tokenizers.path(p.VOCABULARY))
+    t.encode_special_tokens = True
+    want = {r["doc_id"]: len(t.encode(r["text"], add_special_tokens=False).ids) + 1 for r in docs.collect()}
+    got = {}
+    for r in p.run(spark, SMALL).collect():
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + r["length"]
+    assert got == want
