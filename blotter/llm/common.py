@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -42,6 +43,16 @@ def remove(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps whose frames are gone.
+
+    It deletes them when the driver collects its garbage, which may else
+    happen long after an iterative operator has moved on.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def map_batches(df: DataFrame, keep: list[str], fn: Callable[[], Callable[[pa.RecordBatch], dict]],
                 fields: dict[str, pa.DataType]) -> DataFrame:
     """The columns ``keep`` of ``df`` as they are, and those that ``fn()(batch)`` makes of an Arrow batch.

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, remove, texts, write_table
+from .common import map_batches, release, remove, texts, write_table
 from .components import components
 from .words import BASE, U, mix, shingle_sets
 
@@ -216,6 +216,7 @@ class _Join:
     def sets(self, nodes: DataFrame) -> DataFrame:
         """(rep, items) of the classes that share a node with another: their full sets, made anew from the texts."""
         if self._sets is None:
+            release(self.spark)
             wanted = nodes.select(F.col("rep").alias(self.id_col)).distinct()
             some = self.docs.select(self.id_col, self.text_col).join(wanted, self.id_col, "left_semi")
             width, text_col = self.width, self.text_col
@@ -305,4 +306,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: i
            .select(id_col, "n_shingles", F.when(F.col(id_col).isNotNull(), F.coalesce("component", F.col(id_col).cast("bigint"))).alias("component_id")))
     out, _ = write_table(out.withColumn("kept", F.col(id_col).cast("bigint").eqNullSafe(F.col("component_id"))), "near-result")
     remove(docs.sparkSession, every_at, classes_at, *run.made)
+    del every, whole, classes, run, comps, named
+    release(docs.sparkSession)
     return out
