@@ -69,7 +69,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, packed into sequences."""
-    return pack(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

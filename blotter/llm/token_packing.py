@@ -27,7 +27,10 @@ counts of the parts before; a length that a third of all documents have is
 no bottleneck.
 
 Defined results: a null text is empty, an empty text is the end id alone;
-repeated rows are packed each; without rows there are no sequences.
+repeated rows are packed each; without rows there are no sequences. An added
+token of the vocabulary that a text quotes (``<|endoftext|>``) has its own id
+with ``added``, as the tokenizers library gives by default; without it the
+token is ordinary text.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .byte_bpe import encode
+from .byte_bpe import encode, safe_pieces
 from .common import map_batches, texts, write_table
 
 SEQUENCE = 2048
@@ -72,18 +75,28 @@ def load_vocabulary(path: str) -> tiktoken.Encoding:
     """The encoding of a tokenizers JSON file of a byte-level BPE, run by tiktoken (several times as fast).
 
     Both merge the pair of lowest rank first, so the ids are the same if the
-    file's merges make its ids in order; that is checked here.
+    file's merges make its ids in order; that is checked here. Added tokens
+    must be found alike by both, and in pieces of a text: without white
+    space, and none within another.
     """
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     model, byte_of = spec["model"], _byte_of()
-    added = {t["content"] for t in spec.get("added_tokens", [])}
+    added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if token not in added}
     merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
     ids = [model["vocab"][a + b] for a, b in merges]
     if model["type"] != "BPE" or "ByteLevel" not in json.dumps(spec["pre_tokenizer"]) or ids != sorted(set(ids)):
         raise ValueError(f"{path}: not a byte-level BPE whose merges make its ids in order")
-    return tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    if (any(t[k] for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip"))
+            or any(len(a.split()) != 1 or a != a.strip() for a in added) or any(a != b and a in b for a in added for b in added)):
+        raise ValueError(f"{path}: added tokens that take in their surroundings, hold white space or one another")
+    return tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=added)
+
+
+def encode_added(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """Like ``encode``, but added tokens in the text have their own ids."""
+    return [i for piece in safe_pieces(text) for i in encoding.encode(piece, allowed_special="all")]
 
 
 def token_crcs(ids: bytes) -> tuple[list[int], int]:
@@ -93,18 +106,18 @@ def token_crcs(ids: bytes) -> tuple[list[int], int]:
     return [zlib.crc32(view[k * step:(k + 1) * step]) for k in range(n)], zlib.crc32(view[n * step:])
 
 
-def _ids(encoding: tiktoken.Encoding, text: str) -> bytes:
+def _ids(encoding: tiktoken.Encoding, text: str, added: bool) -> bytes:
     """A document's ids with the end id, as little-endian unsigned 32-bit integers."""
-    return np.asarray([*encode(encoding, text), END_ID], "<u4").tobytes()
+    return np.asarray([*(encode_added if added else encode)(encoding, text), END_ID], "<u4").tobytes()
 
 
-def tokenized(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def tokenized(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
     """(id_col, ids): each document's ids with the end id, as bytes."""
     def start():
         encoding = load_vocabulary(vocabulary)
 
         def run(batch: pa.RecordBatch) -> dict:
-            return {"ids": [_ids(encoding, t) for t in texts(batch, text_col)]}
+            return {"ids": [_ids(encoding, t, added) for t in texts(batch, text_col)]}
         return run
 
     return map_batches(docs.select(id_col, text_col), [id_col], start, {"ids": pa.binary()})
@@ -114,7 +127,7 @@ MEASURED = {"tokens": pa.int64(), "wholes": pa.int64(), "rest": pa.int64(), "siz
             "rest_crc": pa.int64(), "part": pa.int64(), "rest_rank": pa.int64(), "whole_rank": pa.int64()}
 
 
-def _measured(docs: DataFrame, vocabulary: str, id_col: str, text_col: str) -> DataFrame:
+def _measured(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, added: bool) -> DataFrame:
     """(id_col, *MEASURED): lengths and digests, made where the ids are, and the numbers of a row within its part.
 
     ``size`` is the rest's class; ``rest_rank`` counts the rows before it in
@@ -129,7 +142,7 @@ def _measured(docs: DataFrame, vocabulary: str, id_col: str, text_col: str) -> D
             nonlocal wholes_seen
             out: dict[str, list] = {k: [] for k in MEASURED}
             for text in texts(batch, text_col):
-                ids = _ids(encoding, text)
+                ids = _ids(encoding, text, added)
                 n, (crcs, rest_crc) = len(ids) // 4, token_crcs(ids)
                 size = -(-(n % SEQUENCE) // CLASS_WIDTH)
                 for k, v in zip(MEASURED, (n, len(crcs), n % SEQUENCE, size, crcs, rest_crc, part, seen[size], wholes_seen)):
@@ -297,9 +310,9 @@ class Plan:
 PIECES = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("sequence_id", pa.int64()), ("ids_crc32", pa.int64())]))
 
 
-def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
     """(id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset): one row per piece of a document."""
-    measured, _ = write_table(_measured(docs, vocabulary, id_col, text_col), "pack-measured")
+    measured, _ = write_table(_measured(docs, vocabulary, id_col, text_col, added), "pack-measured")
     counts, _ = write_table(measured.filter("rest > 0").groupBy("part", "size").agg(F.count(F.lit(1)).alias("n"))
                             .unionByName(measured.groupBy("part").agg(F.sum("wholes").alias("n"))
                                          .select("part", F.lit(0).cast("bigint").alias("size"), "n")), "pack-counts")
@@ -339,12 +352,13 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
                          F.coalesce(F.sum("length").over(laid), F.lit(0).cast("bigint")).alias("offset"))
 
 
-def sequences(docs: DataFrame, pieces: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sequences(docs: DataFrame, pieces: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
     """(sequence_id, ids): the packed sequences themselves, for documents with unique ids.
 
     ``ids`` is padded with the end id to ``SEQUENCE`` unless its length is a power of two.
+    ``added`` is that of the pieces.
     """
-    tokens = tokenized(docs, vocabulary, id_col, text_col)
+    tokens = tokenized(docs, vocabulary, id_col, text_col, added)
     cut = F.expr("substring(ids, cast(start * 4 + 1 as int), cast(length * 4 as int))")
     # A sequence holds at most SEQUENCE pieces.
     rows = (pieces.select(id_col, "start", "length", "sequence_id", "offset").join(tokens, id_col)

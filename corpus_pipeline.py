@@ -53,7 +53,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences: one row per piece."""
-    return pack(docs.select(*COLUMNS), public_tokenizers.path(VOCABULARY))
+    return pack(docs.select(*COLUMNS), public_tokenizers.path(VOCABULARY), added=True)
 
 
 STAGES = [
