@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import salted_join
 from .byte_bpe import encoding_digests
-from .common import table
+from .common import table, write_table
 from .html_extract import extract_main_text
 from .path_join import near_duplicates
 from .quality import score_quality
-from .simhash import as_hex, fingerprint_documents
+from .simhash import as_hex, fingerprint_documents, near_counts
 from .token_packing import pack
 from .toxicity import score_toxicity
 from .topk_search import top_k
@@ -49,10 +50,14 @@ def op5_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text's fingerprint, its edited text's, and how like they and the next document's are."""
-    f = fingerprint_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
-    return f.select("doc_id", "n_chars", "edited_sha256", as_hex(F.col("f0"), F.col("f1")).alias("fingerprint"),
+    """Every text's fingerprint, its edited text's, how like they and the next document's are, and what other fingerprints are near."""
+    f, _ = write_table(fingerprint_documents(table(spark, sf_dir, "documents", "doc_id", "text")), "simhash-prints")
+    own = as_hex(F.col("f0"), F.col("f1"))
+    rows = f.select("doc_id", "n_chars", "edited_sha256", own.alias("fingerprint"),
                     as_hex(F.col("e0"), F.col("e1")).alias("edited_fingerprint"), "near_edited", "near_next")
+    # Every fingerprint is within the radius of itself, so no row is lost; copies of one text are a hot key.
+    near = near_counts(f).select(own.alias("print"), "near_prints", "nearest")
+    return salted_join(rows, near, "fingerprint", "print", salt_source="doc_id").drop("print")
 
 
 def op6_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,10 @@ string can overflow), by one grouped aggregation of the exploded terms.
 tables: the bits are cut into blocks, and for each choice of ``exact``
 blocks there is a table keyed by them. With ``radius + exact`` blocks, two
 fingerprints within the radius agree in at least ``exact`` whole blocks, so
-some table brings them together; the distance is then checked. Equal
-fingerprints are one entry, so groups of copies cost one lookup.
+some table brings them together; the distance is then checked. A pair that
+several tables bring together is taken from the first of them, so pairs need
+no shuffle to be told apart. Equal fingerprints are one entry, so groups of
+copies cost one lookup. ``near_counts`` sums the search up by fingerprint.
 
 DataFrame functions only: no Python runs on the executors.
 
@@ -24,6 +26,7 @@ share an id are ordered by text.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,6 +38,7 @@ BITS = 128
 LANES = 0x0000000100000001          # two votes in one long
 LOW = 0xFFFFFFFF
 BUCKETS_PER_PARTITION = 4
+RADIUS = 4                          # likeness 0.995 and more; 15 tables with keys of 42 bits and more
 
 
 # --- fingerprints ----------------------------------------------------------
@@ -98,18 +102,36 @@ def _blocks(n: int) -> list[tuple[int, int]]:
     return [(64 * half + a, b - a) for half in range(2) for a, b in zip(cuts, cuts[1:])]
 
 
-def block_tables(prints: DataFrame, radius: int, exact: int = 2) -> DataFrame:
-    """(f0, f1, table, key): every fingerprint once in each table."""
+def _tables(radius: int, exact: int) -> tuple[list[tuple[int, int]], list[tuple[int, ...]]]:
+    """The blocks, and the numbers of those that each table is keyed by."""
     n = radius + exact
     n += n % 2
+    return _blocks(n), list(combinations(range(n), exact + (n - radius - exact)))
+
+
+def _part(words: tuple[Column, Column], first: int, bits: int) -> Column:
+    word = F.shiftrightunsigned(words[first // 64], first % 64)
+    return word if bits == 64 else word.bitwiseAND(F.lit((1 << bits) - 1))
+
+
+def _first_table(a: tuple[Column, Column], b: tuple[Column, Column], table: Column, radius: int, exact: int) -> Column:
+    """Whether ``table`` is the first that brings two fingerprints together.
+
+    It is if, of the blocks up to its last one, the two agree in its own only.
+    """
+    blocks, chosen = _tables(radius, exact)
+    other = (a[0].bitwiseXOR(b[0]), a[1].bitwiseXOR(b[1]))
+    agree = reduce(Column.bitwiseOR, [F.when(_part(other, *block) == 0, 1 << i).otherwise(0) for i, block in enumerate(blocks)])
+    of_table = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), table + 1)
+    return agree.bitwiseAND(of_table([(2 << max(c)) - 1 for c in chosen])) == of_table([sum(1 << i for i in c) for c in chosen])
 
-    def part(first: int, bits: int) -> Column:
-        word = F.shiftrightunsigned(F.col(f"f{first // 64}"), first % 64)
-        return word if bits == 64 else word.bitwiseAND(F.lit((1 << bits) - 1))
 
-    chosen = combinations(_blocks(n), exact + (n - radius - exact))
-    entries = [F.struct(F.lit(t).alias("table"), F.xxhash64(*[part(*b) for b in blocks]).alias("key"))
-               for t, blocks in enumerate(chosen)]
+def block_tables(prints: DataFrame, radius: int, exact: int = 2) -> DataFrame:
+    """(f0, f1, table, key): every fingerprint once in each table."""
+    blocks, chosen = _tables(radius, exact)
+    words = (F.col("f0"), F.col("f1"))
+    entries = [F.struct(F.lit(t).alias("table"), F.xxhash64(*[_part(words, *blocks[i]) for i in numbers]).alias("key"))
+               for t, numbers in enumerate(chosen)]
     return prints.select("f0", "f1", F.explode(F.array(*entries)).alias("e")).select("f0", "f1", "e.table", "e.key")
 
 
@@ -121,9 +143,21 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int, exact: int
     q = block_tables(queries.select("f0", "f1").distinct(), radius, exact)
     q = q.select(F.col("f0").alias("q0"), F.col("f1").alias("q1"), F.col("table").alias("qt"), F.col("key").alias("qk"))
     p = block_tables(prints.select("f0", "f1").distinct(), radius, exact)
-    near = distance((F.col("q0"), F.col("q1")), (F.col("f0"), F.col("f1")))
-    return (q.join(p, (F.col("qt") == F.col("table")) & (F.col("qk") == F.col("key")) & (near <= radius))
-             .select("q0", "q1", "f0", "f1", near.cast("int").alias("distance")).distinct())
+    of_query, of_print = (F.col("q0"), F.col("q1")), (F.col("f0"), F.col("f1"))
+    near = distance(of_query, of_print)
+    return (q.join(p, (F.col("qt") == F.col("table")) & (F.col("qk") == F.col("key")) & (near <= radius)
+                   & _first_table(of_query, of_print, F.col("table"), radius, exact))
+             .select("q0", "q1", "f0", "f1", near.cast("int").alias("distance")))
+
+
+def near_counts(prints: DataFrame, radius: int = RADIUS, exact: int = 2) -> DataFrame:
+    """(f0, f1, near_prints, nearest) of every distinct fingerprint.
+
+    ``near_prints`` is the number of other distinct fingerprints within
+    ``radius``, ``nearest`` the distance of the nearest (null if there is none).
+    """
+    return (within_radius(prints, prints, radius, exact).groupBy(F.col("q0").alias("f0"), F.col("q1").alias("f1"))
+            .agg((F.count(F.lit(1)) - 1).alias("near_prints"), F.min(F.when(F.col("distance") > 0, F.col("distance"))).alias("nearest")))
 
 
 # --- the next document, and edited texts -------------------------------------
