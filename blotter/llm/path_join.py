@@ -53,9 +53,9 @@ COORDINATES = 128
 BRANCHES = 2
 FIRST_DEPTH = 3
 SMALL_NODE = 100
-# Of the 128 tokens' sketches two sets of similarity s differ in 128 * (1 - s) * 15/16: at 0.8 in 24, with a deviation
-# of 4.4; five deviations more are still compared. At 0.5, where splitting stops to pay, they differ in 60.
-SKETCH_NEAR = 46
+MISSED = 1e-4
+# Of the 128 tokens' sketches two sets of similarity s differ in 128 * (1 - s) * 15/16 (``sketch_near``).
+# At 0.5, where splitting stops to pay, they differ in 60; a node that is not split loses nothing, whatever the threshold.
 SKETCH_TIGHT = 60
 SKETCH = [f"s{i}" for i in range(COORDINATES // 16)]
 NIBBLES = 0x1111111111111111
@@ -63,6 +63,22 @@ _SEEDS = mix(np.arange(1, COORDINATES + 1, dtype=U) * U(0xD1B54A32D192ED03))
 _ODD = mix(_SEEDS) | U(1)
 
 
+def sketch_near(percent: int) -> int:
+    """In how many sketches sets at the threshold may differ and still be compared: the mean and five deviations (46 at 80)."""
+    p = (1 - percent / 100) * 15 / 16
+    return int(COORDINATES * p + 5 * (COORDINATES * p * (1 - p)) ** 0.5)
+
+
+def trees_for(percent: int, max_depth: int) -> int:
+    """How many trees miss a pair at the threshold with a probability under ``MISSED`` (4 at 80)."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent is {percent}; it must be over 0 and at most 100")
+    s, missed = percent / 100, 0.0
+    for _ in range(max_depth):
+        missed = (1 - s + s * missed) ** BRANCHES
+    return max(1, int(np.ceil(np.log(MISSED) / np.log(missed)))) if missed else 1
+
+
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """The minwise tokens of non-empty sets, one row each (32 bits of every minimum)."""
     out = np.empty((len(sets), COORDINATES), np.uint32)
@@ -154,7 +170,7 @@ def _differing(a: str, b: str) -> Column:
 def _close(a: str, b: str, percent: int) -> Column:
     """Not excluded by set sizes or sketches."""
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (_differing(a, b) <= SKETCH_NEAR)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (_differing(a, b) <= sketch_near(percent))
 
 
 def _similar(a: str, b: str, percent: int) -> Column:
@@ -288,9 +304,13 @@ class _Join:
         return comps
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 4, max_depth: int = 10,
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int | None = None, max_depth: int = 10,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_shingles, component_id, kept) of every row: its set's size, the smallest id of its component."""
+    """(id_col, n_shingles, component_id, kept) of every row: its set's size, the smallest id of its component.
+
+    ``trees`` is as many as ``percent`` needs, if not given.
+    """
+    trees = trees or trees_for(percent, max_depth)
     every, every_at = write_table(set_table(docs, width, id_col, text_col), "near-docs")
     whole = every.filter(F.col("set_id").isNotNull() & F.col(id_col).isNotNull())
     # One class per distinct set; copies collapse in the map-side part of this aggregation.
