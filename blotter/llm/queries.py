@@ -13,6 +13,7 @@ from .html_extract import extract_main_text
 from .path_join import near_duplicates
 from .quality import score_quality
 from .simhash import as_hex, fingerprint_documents, near_counts
+from .spelling import spelling_variants
 from .token_packing import pack
 from .toxicity import score_toxicity
 from .topk_search import top_k
@@ -89,7 +90,13 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op2_html_extract, op3_simhash, op4_toxicity, op5_warc_derive, op6_path_join, op7_quality, op8_token_packing, op9_byte_bpe, op10_topk_search)}
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of all texts with its spelling form and root."""
+    return spelling_variants(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_rules, op2_html_extract, op3_simhash, op4_toxicity, op5_warc_derive, op6_path_join, op7_quality, op8_token_packing, op9_byte_bpe, op10_topk_search,
+                                 op12_spelling)}
 
 _RULES_SQL = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
 
