@@ -10,6 +10,7 @@ from ..operators.joins import salted_join
 from .byte_bpe import encoding_digests
 from .common import table, write_table
 from .html_extract import extract_main_text
+from .license_scan import scan_licenses
 from .path_join import near_duplicates
 from .quality import score_quality
 from .simhash import as_hex, fingerprint_documents, near_counts
@@ -95,8 +96,13 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license phrases and notices."""
+    return scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text")).drop("spans")
+
+
 QUERIES = {f.__name__: f for f in (op1_url_rules, op2_html_extract, op3_simhash, op4_toxicity, op5_warc_derive, op6_path_join, op7_quality, op8_token_packing, op9_byte_bpe, op10_topk_search,
-                                 op12_spelling)}
+                                 op12_spelling, op13_license_scan)}
 
 _RULES_SQL = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
 
