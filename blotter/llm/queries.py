@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import salted_join
 from .byte_bpe import encoding_digests
 from .common import table, write_table
+from .conversation_repair import repair_conversations
 from .html_extract import extract_main_text
 from .license_scan import scan_licenses
 from .path_join import near_duplicates
@@ -91,6 +92,11 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after the damage, and the cheapest repair."""
+    return repair_conversations(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every frequent word of all texts with its spelling form and root."""
     return spelling_variants(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -102,7 +108,7 @@ def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_url_rules, op2_html_extract, op3_simhash, op4_toxicity, op5_warc_derive, op6_path_join, op7_quality, op8_token_packing, op9_byte_bpe, op10_topk_search,
-                                 op12_spelling, op13_license_scan)}
+                                 op11_conversation_repair, op12_spelling, op13_license_scan)}
 
 _RULES_SQL = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
 
