@@ -1,18 +1,23 @@
 """DataFrame -> DataFrame operators."""
 
 from .aggregate import group_count, one_per_key, sum_by_key
+from .asof import asof_join
 from .filters import (firearm_with_coordinates, in_half_open, nonzero, where_equals, where_like,
                       where_not_null)
+from .intervals import interval_join, overlap_join
+from .islands import islands
 from .joins import (STRATEGIES, checked_broadcast, equi_condition, join_with_strategy,
                     null_safe_condition, null_safe_join, salted_join)
+from .nearest import k_nearest
 from .sets import union_all, union_distinct
 from .topk import bottom_k, top_k
 from .window import rank_within, top_n_per_group
 
 __all__ = [
-    "STRATEGIES", "bottom_k", "checked_broadcast", "equi_condition",
-    "firearm_with_coordinates", "group_count", "in_half_open", "join_with_strategy", "nonzero",
-    "null_safe_condition", "null_safe_join", "one_per_key", "rank_within", "salted_join",
+    "STRATEGIES", "asof_join", "bottom_k", "checked_broadcast", "equi_condition",
+    "firearm_with_coordinates", "group_count", "in_half_open", "interval_join", "islands",
+    "join_with_strategy", "k_nearest", "nonzero",
+    "null_safe_condition", "null_safe_join", "one_per_key", "overlap_join", "rank_within", "salted_join",
     "sum_by_key", "top_k",
     "top_n_per_group", "union_all", "union_distinct", "where_equals", "where_like",
     "where_not_null",
