@@ -202,3 +202,16 @@ def test_final_plan_stays_in_whole_stage_codegen(spark, name):
     ops = re.findall(r"^[\s:+-]*(\*\(\d+\) )?(Project|Filter|HashAggregate|BroadcastHashJoin|SortMergeJoin|"
                      r"ShuffledHashJoin|Generate)\b", final, flags=re.M)
     assert ops and all(star for star, _ in ops), [op for star, op in ops if not star]
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if n.startswith("q4_") and not n.endswith("_udf")])
+def test_distance_code_is_small_enough_to_be_compiled(spark, capsys, name):
+    """The JVM interprets a method of more than 8,000 bytes for ever."""
+    import re
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        QUERIES[name](spark, SF_SMALL).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
