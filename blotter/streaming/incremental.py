@@ -23,10 +23,14 @@ from .dedup import csv_arrivals, first_arrivals
 from .state import BatchTables
 from .windows import run_batches
 
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
 TOTALS = {
-    "months": T.StructType.fromDDL("year int, month int, n bigint"),
-    "dayparts": T.StructType.fromDDL("time_of_day string, n bigint"),
-    "divisions": T.StructType.fromDDL("division string, n bigint, measured bigint, km double"),
+    "months": _schema(year=T.IntegerType(), month=T.IntegerType(), n=T.LongType()),
+    "dayparts": _schema(time_of_day=T.StringType(), n=T.LongType()),
+    "divisions": _schema(division=T.StringType(), n=T.LongType(), measured=T.LongType(), km=T.DoubleType()),
 }
 
 
