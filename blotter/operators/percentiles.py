@@ -9,7 +9,7 @@ thousandth; it is over when they are equal. No list of a group's values is
 ever made, and a group holding a third of the rows is counted by all tasks.
 
 Percentiles are interpolated between the two nearest ranks, as
-``percentile`` does. Defined results: null values and those that are not
+``percentile`` does, unless values of the group are asked for. Defined results: null values and those that are not
 numbers don't count; a group without others has no row; null keys are a
 group.
 """
@@ -25,18 +25,24 @@ from .joins import checked_broadcast
 INFINITE = ("Infinity", "-Infinity")
 
 
-def exact_percentiles(df: DataFrame, on: list[str], value: str, shares: list[float], bins: int = 1024) -> DataFrame:
-    """(on, n, share, percentile) of ``value``, a column of doubles, per group and each of ``shares`` (0 to 1)."""
+def exact_percentiles(df: DataFrame, on: list[str], value: str, shares: list[float], bins: int = 1024, interpolate: bool = True) -> DataFrame:
+    """(on, n, share, percentile) of ``value``, a column of doubles, per group and each of ``shares`` (0 to 1).
+
+    Without ``interpolate`` it is the least value that at least the share of
+    the rows does not exceed, a value of the group, as ``percentile_disc``.
+    """
     if not all(0 <= s <= 1 for s in shares) or bins < 2:
         raise ValueError("shares lie between 0 and 1, and a round needs two bins")
     key = [f"_k{i}" for i in range(len(on))]
     v = F.col(f"`{value}`").cast("double")
-    rows = df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(on, key)], v.alias("_v")).filter("_v IS NOT NULL AND NOT isnan(_v)")
-    group = F.struct(F.lit(0).alias("_"), *key)
-    rows = rows.select(group.alias("_g"), "_v")
+    group = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(k) for c, k in zip(on, key)])
+    # Every round reads the values: they are computed once, and filters on them stop here.
+    rows = materialize(df.select(group.alias("_g"), v.alias("_v")), "percentile-values").filter("_v IS NOT NULL AND NOT isnan(_v)")
     stats = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
     each = stats.select("*", F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share")) if shares else stats.withColumn("share", F.lit(0.0)).limit(0)
     place = F.col("share") * (F.col("n") - 1)
+    if not interpolate:
+        place = F.greatest(F.ceil(F.col("share") * F.col("n")) - 1, F.lit(0))
     each = materialize(each.withColumn("below", F.floor(place)).withColumn("above", F.ceil(place)), "percentile-ranks")
     ranks = each.select("_g", "lo", "hi", F.explode(F.array("below", "above")).alias("rank")).distinct().withColumn("skipped", F.lit(0).cast("bigint"))
     ranks = materialize(ranks, "percentile-round")

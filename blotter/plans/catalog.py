@@ -23,7 +23,7 @@ from ..sources.files import csv_to_parquet, read_csv, read_parquet, write_csv
 from ..sources.schemas import INCIDENTS_RAW, RAW_SCHEMAS
 from ..sources.typed import typed_incidents
 from ..streaming import convert_available
-from . import q1, q2, q3, q4
+from . import extended, q1, q2, q3, q4
 from .incidents import (merge_extracts, merged_incidents, merged_incidents_from_csv,
                         stage_extracts_as_csv)
 
@@ -283,4 +283,5 @@ QUERIES: dict[str, Query] = {
     "q4_station_distance_broadcast": _q4("broadcast"),
     "q4_station_distance_repartition": _q4("salted"),
     "q4_station_distance_udf": _q4(udf=True),
+    **extended.QUERIES,
 }

@@ -265,6 +265,88 @@ SELECT lat1 AS crime_lat, lon1 AS crime_lon, lat2 AS station_lat, lon2 AS statio
 FROM g3""", [("j", _q4_joined(True))] + geodesic_ctes("j"))
 
 
+CTES["duties"] = """
+SELECT l_orderkey * 10 + l_linenumber AS period_id, CAST(l_suppkey % 27 + 1 AS INTEGER) AS area, l_shipdate - to_hours(l_partkey % 36) AS on_at,
+  l_shipdate - to_hours(l_partkey % 36) + to_hours(CAST(l_quantity AS INTEGER)) AS off_at FROM lineitem"""
+CTES["readings"] = """
+SELECT CAST(l_suppkey % 27 + 1 AS INTEGER) AS area, l_shipdate AS read_at, l_orderkey * 10 + l_linenumber AS reading_id, l_quantity AS level FROM lineitem"""
+CTES["visits"] = """
+SELECT o_orderkey AS visit_id, CAST(o_custkey % 27 + 1 AS INTEGER) AS area, o_orderdate AS came_at, o_orderdate + to_hours(o_orderkey % 5 + 1) AS left_at FROM orders"""
+CTES["revised_raw"] = f"""
+SELECT {RAW_COLS.replace('premis_desc', "CASE WHEN CAST(dr_no AS BIGINT) % 10 = 0 THEN 'STREET' ELSE premis_desc END AS premis_desc")}
+FROM incidents_b_raw, range(2) AS twice(i) WHERE i = 0 OR CAST(dr_no AS BIGINT) % 31 = 0"""
+CTES["arrivals"] = """
+SELECT event_type, epoch(date_trunc('second', ts))::BIGINT AS s,
+  CAST(floor((epoch(date_trunc('second', ts))::BIGINT + event_id * 7 % 11 * 3600 + CASE WHEN event_id % 50 = 0 THEN 518400 ELSE 0 END - 1704067200) / 518400.0) AS INTEGER) AS delta
+FROM events"""
+DEPENDS.update({"revised_raw": ["incidents_b_raw"]})
+
+
+def _nearest(sites: str, k: int, columns: str) -> str:
+    # Great-circle distance by the haversine.
+    return with_views(["incidents", sites], f"""
+, spots AS (SELECT DISTINCT lat, lon FROM incidents WHERE lat <> 0 AND lon <> 0),
+sites AS (SELECT DISTINCT * FROM ({columns})),
+pairs AS (SELECT p.lat, p.lon, s.key,
+    round(2 * 6371.0088 * asin(sqrt(pow(sin(radians(s.y - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(s.y)) * pow(sin(radians(s.x - p.lon) / 2), 2))), 6) AS km
+  FROM spots p, sites s),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lat, lon ORDER BY km, key) AS nth FROM pairs QUALIFY nth <= {k})""")
+
+
+def _extended(q: dict[str, str]) -> None:
+    q["nearest_stations"] = _nearest("stations", 3, "SELECT prec AS key, y, x FROM stations") + """
+SELECT dr_no, CAST(nth AS INTEGER) AS near_rank, key AS prec, km AS near_km FROM incidents JOIN ranked USING (lat, lon)"""
+    q["nearest_geocode"] = _nearest("revgeo", 1, "SELECT zip AS key, lat AS y, lon AS x FROM revgeo") + """
+SELECT dr_no, key AS zip, km AS near_km FROM incidents JOIN ranked USING (lat, lon)"""
+    q["join_interval"] = with_views(["incidents", "duties"], """
+SELECT i.dr_no, i.area, d.period_id FROM incidents i JOIN duties d ON i.area = d.area AND d.on_at <= i.date_occ AND i.date_occ < d.off_at""")
+    q["join_overlap"] = with_views(["visits", "duties"], """
+SELECT v.visit_id, v.area, d.period_id FROM visits v JOIN duties d
+ON v.area = d.area AND v.came_at < d.off_at AND d.on_at < v.left_at WHERE d.on_at < d.off_at""")
+    q["join_asof"] = with_views(["incidents", "readings"], """
+, one AS (SELECT area, read_at, max(reading_id) AS reading_id, arg_max(level, reading_id) AS level FROM readings GROUP BY area, read_at)
+SELECT i.dr_no, i.area, i.date_occ, o.read_at, o.reading_id, o.level
+FROM incidents i ASOF LEFT JOIN one o ON i.area = o.area AND i.date_occ >= o.read_at""")
+    q["gaps_and_islands"] = with_views(["incidents"], """
+, steps AS (SELECT area, date_occ, coalesce(date_occ - lag(date_occ) OVER w > to_days(3), true) AS begins
+            FROM incidents WHERE date_occ IS NOT NULL AND area IS NOT NULL WINDOW w AS (PARTITION BY area ORDER BY date_occ)),
+runs AS (SELECT area, date_occ, CAST(sum(CAST(begins AS INTEGER)) OVER (PARTITION BY area ORDER BY date_occ ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM steps)
+SELECT area, island, min(date_occ) AS "start", max(date_occ) AS "end", count(*) AS n FROM runs GROUP BY area, island""")
+    q["rollup_months"] = with_views(["incidents"], """
+, m AS (SELECT CAST(year(date_occ) AS INTEGER) AS year, CAST(month(date_occ) AS INTEGER) AS month, area, weapon_cd FROM incidents)
+SELECT year, month, area, CAST(grouping_id(year, month, area) AS BIGINT) AS grouping_id, count(*) AS "count", CAST(sum(weapon_cd) AS BIGINT) AS total_weapon_cd
+FROM m GROUP BY ROLLUP (year, month, area)""")
+    q["cube_premises"] = with_views(["incidents"], """
+SELECT premis_desc, vict_descent, CAST(grouping_id(premis_desc, vict_descent) AS BIGINT) AS grouping_id, count(*) AS "count"
+FROM incidents GROUP BY CUBE (premis_desc, vict_descent)""")
+    q["percentile_distance"] = with_views(["merged", "stations"], """
+, rounded AS (SELECT division, round(distance, 6) AS distance FROM g3 WHERE distance IS NOT NULL),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY division ORDER BY distance) AS nth, count(*) OVER (PARTITION BY division) AS n FROM rounded),
+shares(share) AS (VALUES (0.5::DOUBLE), (0.95::DOUBLE))
+SELECT division, n, share, distance AS percentile FROM numbered, shares WHERE nth = greatest(1, ceil(share * n))""", [("j", _q4_joined(True))] + geodesic_ctes("j"))
+    q["difference_bag"] = with_views(["incidents_b_raw", "revised_raw"], f"""
+SELECT {RAW_COLS}, CAST(sum(d) AS BIGINT) AS "change"
+FROM (SELECT {RAW_COLS}, -1 AS d FROM incidents_b_raw UNION ALL SELECT {RAW_COLS}, 1 AS d FROM revised_raw)
+GROUP BY ALL HAVING sum(d) <> 0""")
+    q["difference_keyed"] = with_views(["incidents_a_raw", "revised_raw"], f"""
+, went AS (SELECT {RAW_COLS} FROM incidents_a_raw EXCEPT ALL SELECT {RAW_COLS} FROM revised_raw),
+came AS (SELECT {RAW_COLS} FROM revised_raw EXCEPT ALL SELECT {RAW_COLS} FROM incidents_a_raw),
+ones AS (SELECT dr_no FROM (SELECT dr_no, 1 AS w, 0 AS c FROM went UNION ALL SELECT dr_no, 0, 1 FROM came) GROUP BY dr_no HAVING sum(w) = 1 AND sum(c) = 1)
+SELECT 'delete' AS action, dr_no, premis_desc, date_occ FROM went WHERE dr_no NOT IN (SELECT dr_no FROM ones)
+UNION ALL SELECT CASE WHEN dr_no IN (SELECT dr_no FROM ones) THEN 'update' ELSE 'insert' END, dr_no, premis_desc, date_occ FROM came""")
+    q["stream_windows"] = with_views(["arrivals"], """
+, seen AS (SELECT delta, max(s) AS latest FROM arrivals GROUP BY delta),
+marks AS (SELECT d.delta, max(e.latest) - 86400 AS mark FROM seen d LEFT JOIN seen e ON e.delta < d.delta GROUP BY d.delta),
+named AS (SELECT event_type, s // 86400 * 86400 AS window_start, coalesce(s // 86400 * 86400 + 86400 <= mark, false) AS late FROM arrivals JOIN marks USING (delta))
+SELECT event_type, CAST(window_start AS BIGINT) AS window_start,
+  CASE WHEN late THEN 'late' WHEN window_start + 86400 <= (SELECT max(latest) - 86400 FROM seen) THEN 'closed' ELSE 'open' END AS state, count(*) AS n
+FROM named GROUP BY ALL""")
+    q["stream_dedup"] = q["union_distinct"].replace("SELECT * FROM merged_raw", f"SELECT {RAW_COLS} FROM merged_raw")
+    q["incremental_q1"] = q["q1_top_months_df_parquet"]
+    q["incremental_q2"] = q["q2_time_of_day_string"]
+    q["incremental_q4"] = q["q4_station_distance"]
+
+
 def _all() -> dict[str, str]:
     q: dict[str, str] = {}
     q["csv_scan_typed"] = with_views(["incidents"], "SELECT * FROM incidents")
@@ -336,6 +418,7 @@ WHERE EXISTS (SELECT 1 FROM incidents_b b
     q["q4_station_distance_unfiltered"] = _q4(False)
     for s in ("broadcast", "repartition", "udf"):
         q[f"q4_station_distance_{s}"] = _q4(True)
+    _extended(q)
     return q
 
 

@@ -1,5 +1,6 @@
 """Differences of versions, grouping sets and exact percentiles against brute force."""
 
+import math
 import random
 from collections import Counter
 from itertools import combinations
@@ -85,6 +86,8 @@ def test_percentiles_with_a_hot_group(spark, bins):
     shares = [0.0, 0.5, 0.95, 1.0]
     got = exact_percentiles(spark.createDataFrame(data, "k int, v double"), ["k"], "v", shares, bins)
     found = {(x["k"], x["share"]): (x["n"], x["percentile"]) for x in got.collect()}
+    discrete = exact_percentiles(spark.createDataFrame(data, "k int, v double"), ["k"], "v", shares, bins, interpolate=False)
+    disc = {(x["k"], x["share"]): x["percentile"] for x in discrete.collect()}
     groups = {}
     for k, v in data:
         if v is not None and v == v:
@@ -97,6 +100,7 @@ def test_percentiles_with_a_hot_group(spark, bins):
             lo, hi = values[int(place)], values[min(len(values) - 1, int(place) + (place > int(place)))]
             want = lo if lo == hi else lo + (hi - lo) * (place - int(place))
             n, p = found[k, s]
+            assert disc[k, s] == values[max(math.ceil(s * len(values)) - 1, 0)]
             assert n == len(values) and (p == want or abs(p - want) <= 1e-12 * abs(want) or (p != p and want != want)), (k, s)
 
 

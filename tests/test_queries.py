@@ -95,6 +95,8 @@ def test_intended_physical_node(spark, name, node):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pairwise_joins_and_no_python_in_hot_path(spark, name):
+    if name.startswith(("stream_", "incremental_")):
+        pytest.skip("its result is read from what the stream wrote")
     p = plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     if name.endswith("_udf"):
