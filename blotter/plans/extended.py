@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (asof_join, bag_difference, cube, exact_percentiles, interval_join, islands, k_nearest, keyed_difference, nonzero, overlap_join, rollup)
-from ..session import shared_dir
+from ..operators import sketches
+from ..session import materialize, shared_dir
 from ..sources import derived
 from ..sources.files import write_csv
 from ..sources.schemas import INCIDENTS_RAW
+from ..sources.tables import read_table, write_bucketed, write_partitioned
 from ..streaming import count_available, deduplicate_available, update_available
 from . import q4
 from .incidents import merged_incidents
@@ -125,6 +127,40 @@ def percentile_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("division", "n", "share", "percentile")
 
 
+def sketches_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per year, sketches stored by month and merged: whether distinct parts and median price are as near the exact ones as stated."""
+    li = derived.table(spark, sf_dir, "lineitem", "l_partkey", "l_extendedprice", "l_shipdate")
+    li = li.select(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"), "l_partkey", "l_extendedprice")
+    stored = materialize(sketches.sketch(li, ["year", "month"], "l_partkey", "l_extendedprice"), "month-sketches")
+    guess = sketches.estimate(sketches.merge(stored, ["year"]), [0.5]).select("year", "distinct_estimate", F.col("quantile_estimates")[0].alias("median"))
+    guess = materialize(guess, "year-estimates")
+    exact = li.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("l_partkey").alias("n_distinct"))
+    price = F.col("l_extendedprice")
+    ranks = li.join(guess, "year").groupBy("year", "distinct_estimate").agg(F.avg((price < F.col("median")).cast("double")).alias("below"), F.avg((price <= F.col("median")).cast("double")).alias("upto"))
+    near = F.abs(F.col("distinct_estimate") - F.col("n_distinct")) <= F.greatest(F.lit(0.5), sketches.DISTINCT_ERROR * F.col("n_distinct"))
+    return exact.join(ranks, "year").select("year", "n", "n_distinct", near.alias("distinct_within"),
+                                            ((F.col("below") <= 0.5 + sketches.RANK_ERROR) & (F.col("upto") >= 0.5 - sketches.RANK_ERROR)).alias("median_within"))
+
+
+# --- layout ---------------------------------------------------------------
+
+def layout_bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items and their quantity per incident, from two tables bucketed alike."""
+    inc = write_bucketed(derived.incidents(spark, sf_dir).select("dr_no", "area"), "incidents", ["dr_no"], 16)
+    items = derived.table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity").withColumnRenamed("l_orderkey", "dr_no")
+    items = write_bucketed(items, "items", ["dr_no"], 16)
+    per = read_table(spark, items).groupBy("dr_no").agg(F.count(F.lit(1)).alias("n_items"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
+    return read_table(spark, inc).join(per.hint("merge"), "dr_no").select("dr_no", "area", "n_items", "quantity")
+
+
+def layout_partition_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents per day of the areas whose station's division ends in 3, from a table partitioned by area."""
+    inc = derived.incidents(spark, sf_dir).select("dr_no", F.to_date("date_occ").alias("day"), "area")
+    inc = read_table(spark, write_partitioned(inc, "incidents_by_area", ["area"]))
+    st = derived.stations(spark, sf_dir).filter("division LIKE '%3'").select(F.col("prec").alias("area"), "division")
+    return inc.join(F.broadcast(st), "area").groupBy("division", "day").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- versions -------------------------------------------------------------
 
 def difference_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,4 +225,4 @@ def incremental_q4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (nearest_stations, nearest_geocode, join_interval, join_overlap, join_asof, gaps_and_islands, rollup_months, cube_premises,
-                                   percentile_distance, difference_bag, difference_keyed, stream_windows, stream_dedup, incremental_q1, incremental_q2, incremental_q4)}
+                                   percentile_distance, sketches_merged, layout_bucketed_join, layout_partition_pruned, difference_bag, difference_keyed, stream_windows, stream_dedup, incremental_q1, incremental_q2, incremental_q4)}

@@ -324,6 +324,15 @@ FROM incidents GROUP BY CUBE (premis_desc, vict_descent)""")
 numbered AS (SELECT *, row_number() OVER (PARTITION BY division ORDER BY distance) AS nth, count(*) OVER (PARTITION BY division) AS n FROM rounded),
 shares(share) AS (VALUES (0.5::DOUBLE), (0.95::DOUBLE))
 SELECT division, n, share, distance AS percentile FROM numbered, shares WHERE nth = greatest(1, ceil(share * n))""", [("j", _q4_joined(True))] + geodesic_ctes("j"))
+    q["sketches_merged"] = """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n, count(DISTINCT l_partkey) AS n_distinct, true AS distinct_within, true AS median_within
+FROM lineitem GROUP BY 1"""
+    q["layout_bucketed_join"] = with_views(["incidents"], """
+SELECT i.dr_no, i.area, count(*) AS n_items, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+FROM incidents i JOIN lineitem ON l_orderkey = i.dr_no GROUP BY i.dr_no, i.area""")
+    q["layout_partition_pruned"] = with_views(["incidents", "stations"], """
+SELECT s.division, CAST(i.date_occ AS DATE) AS "day", count(*) AS n
+FROM incidents i JOIN stations s ON i.area = s.prec WHERE s.division LIKE '%3' GROUP BY 1, 2""")
     q["difference_bag"] = with_views(["incidents_b_raw", "revised_raw"], f"""
 SELECT {RAW_COLS}, CAST(sum(d) AS BIGINT) AS "change"
 FROM (SELECT {RAW_COLS}, -1 AS d FROM incidents_b_raw UNION ALL SELECT {RAW_COLS}, 1 AS d FROM revised_raw)

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+HEADERS_AT_ONCE = 32
+
 
 def csv_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     """The data files of paths, folders and globs (names starting with ``_`` or ``.`` are no data)."""
@@ -57,10 +59,16 @@ def csv_header(spark: SparkSession, file: str) -> tuple[str, ...]:
 
 
 def files_by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files of ``path``, grouped by their header rows."""
+    """The files of ``path``, grouped by their header rows.
+
+    Only first rows are read, of ``HEADERS_AT_ONCE`` files at a time: a
+    distributed read of first rows would be one of all rows.
+    """
     out: dict[tuple[str, ...], list[str]] = {}
-    for f in csv_files(spark, path):
-        out.setdefault(csv_header(spark, f), []).append(f)
+    files = csv_files(spark, path)
+    with ThreadPoolExecutor(max_workers=HEADERS_AT_ONCE) as pool:
+        for f, header in zip(files, pool.map(lambda f: csv_header(spark, f), files)):
+            out.setdefault(header, []).append(f)
     if not out:
         raise ValueError(f"no CSV file with a header row in {path}")
     return out
