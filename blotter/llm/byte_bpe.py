@@ -5,6 +5,9 @@ works on an unbounded string: a single space between two characters that
 are not white space always starts a new match of the split pattern (a
 match holds at most one leading space, and only runs of white space match
 across several), so the pieces' ids joined are the ids of the whole text.
+A long run of white space, on which the split pattern's lookahead would
+backtrack through the whole run, is one match but for its last character,
+and all of it at the text's end: it is merged as one, without the pattern.
 Decoding returns raw bytes; single ids need not be valid UTF-8.
 
 Defined results: a null text is empty; an empty text has no ids, and the
@@ -16,7 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,6 +32,9 @@ from .common import map_batches, texts
 
 CHUNK_CHARS = 32_768
 SAFE = re.compile(r"(?<=\S) (?=\S)")
+# What the split pattern takes for white space.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = re.compile(f"[{WHITE}]{{2048,}}")
 
 
 @lru_cache(maxsize=4)
@@ -55,10 +61,42 @@ def safe_pieces(text: str, size: int = CHUNK_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
+def runs_apart(text: str, added: Iterable[str] = ()) -> Iterator[tuple[str, bool]]:
+    """(piece, whether it is one match of white space) of ``text``: long runs of white space on their own.
+
+    A run's last character goes with what follows, unless that is the end or
+    one of the ``added`` tokens, which are cut out before the pattern is used.
+    """
+    at = 0
+    for m in LONG_RUN.finditer(text):
+        last = m.end() == len(text) or any(text.startswith(a, m.end()) for a in added)
+        end = m.end() if last else m.end() - 1
+        if m.start() > at:
+            yield text[at:m.start()], False
+        yield text[m.start():end], True
+        at = end
+    if at < len(text):
+        yield text[at:], False
+
+
+def pieces(text: str, added: Iterable[str] = ()) -> Iterator[tuple[str, bool]]:
+    """``runs_apart`` with other pieces cut to a bounded length where that is safe."""
+    for part, run in runs_apart(text, added):
+        if run:
+            yield part, True
+        else:
+            yield from ((piece, False) for piece in safe_pieces(part))
+
+
+def run_ids(encoding: tiktoken.Encoding, run: str) -> list[int]:
+    """The ids of one match."""
+    return encoding._encode_single_piece(run.encode("utf-8"))
+
+
 def encode(encoding: tiktoken.Encoding, text: str) -> list[int]:
     if len(text) <= CHUNK_CHARS:
         return encoding.encode_ordinary(text)
-    return [i for piece in safe_pieces(text) for i in encoding.encode_ordinary(piece)]
+    return [i for piece, run in pieces(text) for i in (run_ids(encoding, piece) if run else encoding.encode_ordinary(piece))]
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text",

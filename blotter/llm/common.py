@@ -80,20 +80,34 @@ def texts(batch: pa.RecordBatch, column: str) -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_chars: int, id_col: str, text_col: str) -> list[tuple[str, int]]:
-    """(text, label) of at most ``per_class`` documents of each label, those of more than ``max_chars`` characters left out.
+def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_chars: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, label) of at most ``per_class`` documents of each label, of those of at most ``max_chars`` characters.
 
     ``labels`` has (id, label) with one row per id. The documents are chosen
     by a hash of their ids, so they are the same whatever the partitions;
     only ids are moved to choose them, and the table of chosen ids, at most
-    2 * ``per_class`` rows, is what is broadcast to fetch their texts.
+    2 * ``per_class`` rows, is what is broadcast to fetch their texts. Of
+    several texts of one id the least is taken, so there are no more texts
+    than ids.
     """
-    present = labels.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
+    fitting = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).filter(F.length("text") <= max_chars)
+    present = labels.join(fitting.select("id"), "id", "left_semi")
     chosen = [r["id"] for label in (0, 1) for r in present.filter(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(per_class).collect()]
-    if not chosen:
-        return []
     few = docs.sparkSession.createDataFrame([(i,) for i in chosen], T.StructType([T.StructField("id", labels.schema["id"].dataType)]))
     few = F.broadcast(few.join(labels, "id"))
-    texts_of = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).filter(F.length("text") <= max_chars)
-    rows = texts_of.join(few, "id").select("id", "text", "label").dropDuplicates(["id", "text"]).collect()
-    return sorted(((r["text"], r["label"]) for r in rows), key=lambda r: (r[1], r[0]))
+    return fitting.join(few, "id").groupBy("id", "label").agg(F.min("text").alias("text")).select("id", "text", "label")
+
+
+def in_one_task(sample: DataFrame, fn: Callable[[list[str], list[int]], bytes]) -> bytes:
+    """``fn`` of the texts and labels of a bounded sample (id, text, label), in order of label and text, run by an executor.
+
+    So neither the texts nor what a model needs to be fitted are in the driver, which only gets the result.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(((t, y) for b in batches for t, y in zip(texts(b, "text"), b.column("label").to_pylist())), key=lambda r: (r[1], r[0]))
+        made = fn([t for t, _ in rows], [y for _, y in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["made"])
+
+    # An empty sample may have no task.
+    row = sample.select("text", "label").repartition(1).mapInArrow(run, "made binary").first()
+    return bytes(row["made"]) if row else fn([], [])

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>|</?[a-zA-Z][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)""", re.S)
@@ -53,6 +54,8 @@ def text_blocks(page: str) -> list[Block]:
     """The blocks of visible text, in page order."""
     root = Element("", frozenset(), None, 0)
     stack, inner = [root], root     # open elements; the innermost block element
+    block_at: list[int] = [0]       # where block elements stand in the stack
+    opened: Counter[str] = Counter()
     blocks: list[Block] = []
     parts: list[str] = []
     state = [0, 0]                  # characters inside links, depth of links
@@ -71,8 +74,11 @@ def text_blocks(page: str) -> list[Block]:
         if any(e.tag in BLOCK for e in gone):
             end_block()
         state[1] = max(0, state[1] - sum(e.tag == "a" for e in gone))
+        opened.subtract(e.tag for e in gone)
         del stack[k:]
-        inner = next(e for e in reversed(stack) if e.tag in BLOCK or e is root)
+        while block_at[-1] >= k:
+            block_at.pop()
+        inner = stack[block_at[-1]]
 
     def add(raw: str) -> None:
         text = html_lib.unescape(raw) if "&" in raw else raw
@@ -90,7 +96,8 @@ def text_blocks(page: str) -> list[Block]:
             continue
         tag = m[2].lower()
         if m[1]:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
+            # Elements passed on the way to the one that ends are closed with it.
+            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0) if opened[tag] > 0 else 0
             if k:
                 close(k)
             elif tag in BLOCK:
@@ -108,17 +115,19 @@ def text_blocks(page: str) -> list[Block]:
         else:
             if tag in BLOCK:
                 if tag in ENDS_P:
-                    k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag in BLOCK), 0)
+                    k = block_at[-1]
                     if k and stack[k].tag == "p":
                         close(k)
                 if ends := SAME_ENDS.get(tag):
-                    k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag in BLOCK), 0)
+                    k = block_at[-1]
                     if k and stack[k].tag in ends:
                         close(k)
                 end_block()
             stack.append(element := _element(tag, m[3], stack[-1]))
+            opened[tag] += 1
             if tag in BLOCK:
                 inner = element
+                block_at.append(len(stack) - 1)
             elif tag == "a":
                 state[1] += 1
     if at < len(page):

@@ -50,25 +50,31 @@ def _state(element: Element, known: dict[int, str]) -> str:
 
     Only comments stay comments, whatever element is used inside for one of them.
     """
-    hit = known.get(id(element))
-    if hit is not None:
-        return hit
-    outer = _state(element.parent, known) if element.parent is not None else "none"
+    chain = []
+    at: Element | None = element
+    while at is not None and id(at) not in known:
+        chain.append(at)
+        at = at.parent
+    state = known[id(at)] if at is not None else "none"
+    for each in reversed(chain):
+        state = known[id(each)] = _inside(each, state)
+    return state
+
+
+def _inside(element: Element, outer: str) -> str:
+    """An element's state, given that of the element around it."""
     tag, words = element.tag, element.words
     if outer == "comment" or words & COMMENT_WORDS:
-        state = "comment"
-    elif tag in CONTENT_TAGS:
-        state = "content"
-    elif tag in SIDE_TAGS or (words & SIDE_WORDS and tag != "body" and tag != "html"):
-        state = "side"
-    elif (tag == "header" or words & HEAD_WORDS) and outer != "content":
-        state = "side"
-    elif words & CONTENT_WORDS and outer == "none" and tag not in ("body", "html"):
-        state = "content"
-    else:
-        state = outer
-    known[id(element)] = state
-    return state
+        return "comment"
+    if tag in CONTENT_TAGS:
+        return "content"
+    if tag in SIDE_TAGS or (words & SIDE_WORDS and tag != "body" and tag != "html"):
+        return "side"
+    if (tag == "header" or words & HEAD_WORDS) and outer != "content":
+        return "side"
+    if words & CONTENT_WORDS and outer == "none" and tag not in ("body", "html"):
+        return "content"
+    return outer
 
 
 def block_score(block: Block, state: str) -> float:

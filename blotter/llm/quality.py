@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, map_batches, texts, write_table
+from .common import in_one_task, labelled_sample, map_batches, texts, write_table
 from .words import SPACE, U, parts, prefix_sums, span_hashes, word_spans
 
 BUCKETS = 1 << 10               # of word shapes
@@ -89,12 +89,13 @@ def classifier(docs: DataFrame, labels: DataFrame, per_class: int, max_chars: in
     """
     known = (labels.select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("label"))
              .filter(F.col("id").isNotNull() & F.col("label").isin(0, 1)).groupBy("id").agg(F.max("label").alias("label")))
-    sample = labelled_sample(docs, known, per_class, max_chars, id_col, text_col)
-    y = np.array([label for _, label in sample])
-    if len(set(y.tolist())) < 2:
+    def fitted(some: list[str], known: list[int]) -> bytes:
+        return fit(shape_features(some), np.array(known)).tobytes() if len(set(known)) == 2 else b""
+
+    weights = np.frombuffer(in_one_task(labelled_sample(docs, known, per_class, max_chars, id_col, text_col), fitted)).copy()
+    if not len(weights):
         return None
     share = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    weights = fit(shape_features([t for t, _ in sample]), y)
     weights[-1] += np.log(share[1] / share[0])
     return weights
 

@@ -150,13 +150,13 @@ ORACLE = {
         WITH whole AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
             FROM embeddings
-            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         ranked AS (
             SELECT query_id, vec_id, score,
                    row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
             FROM (SELECT q.vec_id AS query_id, c.vec_id,
-                         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+                         CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
                   FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0))
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
 }

@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .byte_bpe import encode, safe_pieces
+from .byte_bpe import encode, pieces, run_ids
 from .common import map_batches, texts, write_table
 
 SEQUENCE = 2048
@@ -96,7 +96,8 @@ def load_vocabulary(path: str) -> tiktoken.Encoding:
 
 def encode_added(encoding: tiktoken.Encoding, text: str) -> list[int]:
     """Like ``encode``, but added tokens in the text have their own ids."""
-    return [i for piece in safe_pieces(text) for i in encoding.encode(piece, allowed_special="all")]
+    added = encoding.special_tokens_set
+    return [i for piece, run in pieces(text, added) for i in (run_ids(encoding, piece) if run else encoding.encode(piece, allowed_special="all"))]
 
 
 def token_crcs(ids: bytes) -> tuple[list[int], int]:

@@ -17,9 +17,9 @@ blocks), in two rounds: first each batch meets one bundle, which sets a
 floor under each query's k-th score; then it meets all of them and skips
 the blocks whose bound lies below. No group grows with the data.
 
-Defined results: vectors that are null, empty, or hold a null or
-non-finite component take no part, as queries or candidates; a shorter
-vector counts as zero in the components it lacks; ties go to the smaller
+Defined results: vectors that are null or hold a null or non-finite
+component take no part, as queries or candidates; a shorter vector counts
+as zero in the components it lacks, an empty one in all; ties go to the smaller
 id; rows that repeat an id are candidates each (a query skips all rows
 with its own id and is answered once per row); rows with a null id take
 no part. Quantised values up to 2**20 are multiplied as doubles, which is
@@ -46,7 +46,7 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
     x = F.transform(vector_col, lambda v: v.cast("double"))
     fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     return (vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col))
-            .filter(F.col("id").isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0))
+            .filter(F.col("id").isNotNull() & F.col(vector_col).isNotNull())
             .filter(fine)
             .select("id", F.transform(x, lambda v: F.floor(v * scale).cast("bigint")).alias("ints")))
 

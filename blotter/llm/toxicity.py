@@ -1,8 +1,8 @@
 """Toxicity scores of whole documents by a recurrent network over overlapping windows.
 
 The network (``recurrent_net``: bidirectional gated recurrent units with
-attention pooling over word and character inputs) is trained here, on a
-bounded sample of labelled documents, and sent to the tasks; they score
+attention pooling over word and character inputs) is trained in one task, on
+a bounded sample of labelled documents, and sent to the others; they score
 every window of every document. A document is as toxic as its worst window:
 its score is the largest window score, calibrated to a probability on the
 sample.
@@ -20,17 +20,23 @@ kind to learn from every score is 0.
 
 from __future__ import annotations
 
+import pickle
+import re
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, map_batches, texts
-from .recurrent_net import WINDOW, Net, score_texts, train
+from .common import in_one_task, labelled_sample, map_batches, texts
+from .recurrent_net import STRIDE, WINDOW, Net, score_texts, train
 
 FOLDS = 5
 TEXT_CHARS = 500_000            # longer texts are scored in overlapping stretches
 GROUP_CHARS = 1_000_000         # texts scored together
+# The network's words: runs of ASCII letters and of anything beyond ASCII.
+WORD = re.compile("[A-Za-z\x80-\U0010ffff]+")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -39,29 +45,49 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_chars: int,
-                    id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list[str], np.ndarray]:
-    """Texts and labels of the bounded sample."""
+                    id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """(id, text, label) of the bounded sample."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
              .filter(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id")))
              .groupBy("id").agg(F.max("label").alias("label")))
-    sample = labelled_sample(docs, known, per_class, max_chars, id_col, text_col)
-    return [t for t, _ in sample], np.array([y for _, y in sample], np.int64)
+    return labelled_sample(docs, known, per_class, max_chars, id_col, text_col)
+
+
+def fitted(some: list[str], labels: list[int], epochs: int) -> tuple[Net | None, float, float]:
+    """The net and its calibration; no net without both labels."""
+    known = np.array(labels, np.int64)
+    if len(set(labels)) != 2:
+        return None, 1.0, 0.0
+    net = train(some, known, epochs=epochs)
+    return net, *calibration(worst_windows(net, some), known)
 
 
 def stretches(text: str) -> list[str]:
-    """A long text in stretches that share ``WINDOW`` words; together they have all its windows' words."""
-    out, start = [], 0
-    while len(text) - start > TEXT_CHARS:
-        cut = next((k for k in range(start + TEXT_CHARS, len(text)) if text[k].isspace()), len(text))
-        out.append(text[start:cut])
-        back = cut
-        for _ in range(WINDOW):
-            back = max(text.rfind(" ", start + 1, back), text.rfind("\n", start + 1, back))
-            if back < 0:
-                back = cut
-                break
-        start = back
-    return [*out, text[start:]] if start < len(text) or not out else out
+    """A long text in stretches whose windows are together the windows of the text.
+
+    Words are those of the network. A stretch ends where a window of the
+    text does, and the next begins with the next window, so no stretch has a
+    window that the text doesn't have; the last is at least a window long.
+    """
+    if len(text) <= TEXT_CHARS:
+        return [text]
+    starts, ends = array("q"), array("q")
+    for m in WORD.finditer(text):
+        starts.append(m.start())
+        ends.append(m.end())
+    n, first, out = len(starts), 0, []
+    while True:
+        last = first + WINDOW               # words of the stretch end before this one
+        while last + STRIDE <= n and ends[last + STRIDE - 1] - starts[first] <= TEXT_CHARS:
+            last += STRIDE
+        if last >= n or ends[-1] - starts[first] <= TEXT_CHARS:
+            break
+        out.append(text[starts[first]:starts[last]])
+        first = last - WINDOW + STRIDE
+    # The text's last window ends with it; one or two more windows of the grid may come twice.
+    while first and first > n - WINDOW:
+        first -= STRIDE
+    return [*out, text[starts[first]:]] if n else [""]
 
 
 def worst_windows(net: Net, some: list[str]) -> np.ndarray:
@@ -101,11 +127,8 @@ def calibration(scores: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tup
 def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_chars: int = 20_000, epochs: int = 5,
                    keep: tuple[str, ...] = ("doc_id",), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(keep..., held_out, score, predicted) of every document; predicted is 1 from a score of 0.5."""
-    sample, known = training_sample(docs, labels, per_class, max_chars, id_col, text_col)
-    net, slope, offset = None, 1.0, 0.0
-    if len(set(known.tolist())) == 2:
-        net = train(sample, known, epochs=epochs)
-        slope, offset = calibration(worst_windows(net, sample), known)
+    sample = training_sample(docs, labels, per_class, max_chars, id_col, text_col)
+    net, slope, offset = pickle.loads(in_one_task(sample, lambda some, known: pickle.dumps(fitted(some, known, epochs))))
 
     def start():
         def run(batch: pa.RecordBatch) -> dict:

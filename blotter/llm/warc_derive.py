@@ -34,8 +34,9 @@ from .common import map_batches, texts
 from .html_blocks import text_blocks
 
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
-TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title|\Z)", re.I | re.S)
-HREF = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+TITLE, TITLE_END = re.compile("<title", re.I), re.compile("</title", re.I)
+ANCHOR = re.compile(r"<a\b", re.I)
+HREF = re.compile(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
 def digest(c: Column) -> Column:
@@ -62,12 +63,31 @@ def response_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "
 
 
 def outlinks(page: str) -> list[str]:
-    return [unescape(m[1] or m[2] or m[3] or "") for m in HREF.finditer(page)]
+    """The targets of ``a`` tags in page order; every character is passed a bounded number of times."""
+    out, at, end = [], 0, -1
+    while (tag := ANCHOR.search(page, at)) is not None:
+        if end < tag.end():
+            end = page.find(">", tag.end())
+            end = len(page) if end < 0 else end
+        # No further anchor in this tag could have a link either.
+        link = HREF.search(page, tag.end(), end)
+        if link is None:
+            at = end
+            continue
+        # A quoted target may hold the character that ends tags.
+        link = HREF.match(page, link.start()) or link
+        out.append(unescape(link[1] or link[2] or link[3] or ""))
+        at = link.end()
+    return out
 
 
 def title(page: str) -> str:
-    m = TITLE.search(page)
-    return " ".join(unescape(m[1]).split()) if m else ""
+    begin = TITLE.search(page)
+    start = page.find(">", begin.end()) + 1 if begin else 0
+    if not start:
+        return ""
+    end = TITLE_END.search(page, start)
+    return " ".join(unescape(page[start:end.start() if end else len(page)]).split())
 
 
 def plain_text(page: str) -> str:
