@@ -70,10 +70,27 @@ def checkpoint_base(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+# What this process was given paths for, with what it takes to delete them.
+_given: list[tuple] = []
+
+
+def _delete_given() -> None:
+    """Delete this process's working folders; results read from them are gone with it anyway."""
+    for jvm, conf, path in _given:
+        try:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        except Exception:  # noqa: BLE001 - the JVM may have ended first; nothing depends on the folder
+            return
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    name = "-".join(parts + (uuid.uuid4().hex[:12],))
-    return f"{checkpoint_base(spark)}/blotter/{name}"
+    """A fresh, unique path under the shared checkpoint folder, deleted when the driver ends."""
+    path = f"{checkpoint_base(spark)}/blotter/{'-'.join(parts + (uuid.uuid4().hex[:12],))}"
+    if not _given:
+        atexit.register(_delete_given)
+    _given.append((spark._jvm, spark._jsc.hadoopConfiguration(), path))
+    return path
 
 
 def materialize(df, name: str = "table", partition_by: list[str] | None = None):
