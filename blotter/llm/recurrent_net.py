@@ -22,6 +22,7 @@ ROWS = 1 << 17                  # of the input table
 INPUT, HIDDEN = 12, 8
 GRAMS = (4, 5)                  # characters (UTF-8 bytes), borders included
 BATCH = 512                     # windows scored at once
+PART = 1 << 18                  # bytes whose words are read at once: each makes about a dozen rows
 F32 = np.float32
 BORDER = np.array([32], np.uint8)
 WORDLESS = -10.0                # the score of a text without words: nothing speaks for label 1
@@ -68,7 +69,7 @@ def read_words(texts: list[str]) -> Words:
     borders, so ``word,`` and ``word`` share their grams.
     """
     rows, sizes, counts = [], [], np.zeros(len(texts), np.int64)
-    for data, (ends, owners) in parts(texts):
+    for data, (ends, owners) in parts(texts, PART):
         folded = FOLD[data]
         letter = ((folded >= 97) & (folded <= 122)) | (folded >= 128)
         # With a border before the first word and after the last.

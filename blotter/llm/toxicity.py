@@ -34,7 +34,7 @@ from .recurrent_net import STRIDE, WINDOW, Net, score_texts, train
 
 FOLDS = 5
 TEXT_CHARS = 500_000            # longer texts are scored in overlapping stretches
-GROUP_CHARS = 1_000_000         # texts scored together
+GROUP_CHARS = 250_000           # texts scored together
 # The network's words: runs of ASCII letters and of anything beyond ASCII.
 WORD = re.compile("[A-Za-z\x80-\U0010ffff]+")
 

@@ -48,25 +48,26 @@ def _grown(n: int) -> None:
         _UP, _DOWN = _powers(n)
 
 
-def parts(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bytes, number of text of each byte run's end) in parts cut at white space, each about ``PART_BYTES`` long.
+def parts(texts: list[str], limit: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bytes, number of text of each byte run's end) in parts cut at white space, each about ``limit`` long (``PART_BYTES``).
 
     Yields the bytes of one or more texts, each followed by a space, with
     the end of each text's run; a text longer than a part comes in several.
     """
+    limit = limit or PART_BYTES
     held: list[bytes] = []
     owners: list[int] = []
     size = 0
     for i, text in enumerate(texts):
         raw = text.encode("utf-8", "surrogatepass") + b" "
-        while len(raw) > PART_BYTES:
-            cut = max(raw.rfind(b" ", 0, PART_BYTES), raw.rfind(b"\n", 0, PART_BYTES)) + 1 or _next_space(raw)
+        while len(raw) > limit:
+            cut = max(raw.rfind(b" ", 0, limit), raw.rfind(b"\n", 0, limit)) + 1 or _next_space(raw, limit)
             if held:
                 yield _joined(held, owners)
                 held, owners, size = [], [], 0
             yield _joined([raw[:cut]], [i])
             raw = raw[cut:]
-        if size + len(raw) > PART_BYTES and held:
+        if size + len(raw) > limit and held:
             yield _joined(held, owners)
             held, owners, size = [], [], 0
         held.append(raw)
@@ -76,8 +77,8 @@ def parts(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield _joined(held, owners)
 
 
-def _next_space(raw: bytes) -> int:
-    cuts = [c for c in (raw.find(b" ", PART_BYTES), raw.find(b"\n", PART_BYTES)) if c >= 0]
+def _next_space(raw: bytes, limit: int) -> int:
+    cuts = [c for c in (raw.find(b" ", limit), raw.find(b"\n", limit)) if c >= 0]
     return min(cuts) + 1 if cuts else len(raw)
 
 
