@@ -21,7 +21,9 @@ of a group of copies:
 2. only members of a node that are in different components are compared
    further: a class asks every larger component that has a member near it in
    a node, and is joined to it if any of its members is similar enough. A
-   semi-join on full sets answers that, so no pairs are written out.
+   semi-join on full sets answers that, so no pairs are written out. Where
+   many ask a large component, the larger side is dealt over several tasks
+   and the smaller one copied to each.
 
 Two members of one component need no comparing, so what a group of n
 copies costs is about n. All links are confirmed on full sets.
@@ -45,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, release, remove, texts, write_table
+from .common import likely_in, map_batches, release, remove, texts, write_table
 from .components import components
 from .words import BASE, U, mix, shingle_sets
 
@@ -53,6 +55,7 @@ COORDINATES = 128
 BRANCHES = 2
 FIRST_DEPTH = 3
 SMALL_NODE = 100
+COMPARED = 4_000_000            # pairs of a component's members and those that ask it, in one task
 MISSED = 1e-4
 # Of the 128 tokens' sketches two sets of similarity s differ in 128 * (1 - s) * 15/16 (``sketch_near``).
 # At 0.5, where splitting stops to pay, they differ in 60; a node that is not split loses nothing, whatever the threshold.
@@ -206,7 +209,8 @@ class _Join:
         sketch = self.classes.select("rep", *SKETCH, "n")
         final: list[DataFrame] = []
         for depth in range(FIRST_DEPTH, self.max_depth + 1):
-            frontier = self.keep(frontier, "frontier") if depth > FIRST_DEPTH else frontier
+            # Dealt by path once, for the sizes and for the join with them.
+            frontier = frontier.repartition("path")
             pick = F.xxhash64("path", "rep")
             sizes = frontier.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min(pick).alias("centre")).filter("size > 1")
             live = self.keep(frontier.join(sizes, "path").withColumn("centre", pick == F.col("centre")).join(sketch, "rep"), "nodes")
@@ -222,8 +226,8 @@ class _Join:
                 final.append(live)
                 break
             final.append(live.join(loose, "path", "left_anti"))
-            frontier = _branch(live.join(loose, "path", "left_semi").select("path", "rep")
-                               .join(self.classes.select("rep", "minwise"), "rep"))
+            parted = live.join(loose, "path", "left_semi").select("path", "rep")
+            frontier = _branch(parted.join(likely_in(self.classes.select("rep", "minwise"), "rep", parted.select("rep")), "rep"))
         out = final[0]
         for f in final[1:]:
             out = out.unionByName(f)
@@ -234,7 +238,8 @@ class _Join:
         if self._sets is None:
             release(self.spark)
             wanted = nodes.select(F.col("rep").alias(self.id_col)).distinct()
-            some = self.docs.select(self.id_col, self.text_col).join(wanted, self.id_col, "left_semi")
+            # An inner join: a semi-join would be pushed below the filter, and every text shuffled.
+            some = likely_in(self.docs.select(self.id_col, self.text_col), self.id_col, wanted).join(wanted, self.id_col)
             width, text_col = self.width, self.text_col
 
             def start():
@@ -280,23 +285,34 @@ class _Join:
         once = F.array_min(F.array_intersect("paths", "o_paths")) == F.col("path")
         group = placed.filter("size > 1").drop("paths")
         groups = _named(group.select("path", "comp", "size").distinct(), "o_", "comp", "size")
-        asked = (placed.join(single, "path").filter(smaller & _close("", "o_", self.percent) & once).select("rep", "o_comp")
+        asked = (placed.join(single, "path").filter(smaller & _close("", "o_", self.percent) & once).select("rep", "o_comp", "o_size")
                  .unionByName(
                      placed.drop("paths").join(groups, "path").filter(smaller)
                      .join(group.select(F.col("path").alias("at"), *[F.col(c).alias("m_" + c) for c in ("comp", *SKETCH, "n")]),
                            (F.col("path") == F.col("at")) & (F.col("o_comp") == F.col("m_comp")) & _close("", "m_", self.percent), "left_semi")
-                     .select("rep", "o_comp"))
+                     .select("rep", "o_comp", "o_size"))
                  .distinct())
         asked = self.keep(asked, "asked")
         # A link to any member joins the two; the sets are compared within the join, so no pairs are made.
         sets = self.sets(nodes)
-        x = (asked.join(member.select("rep", *SKETCH, "n"), "rep").join(sets, "rep"))
+        cells = F.ceil(F.count(F.lit(1)) * F.col("o_size") / COMPARED).cast("int")
+        dealt = (asked.groupBy("o_comp", "o_size").agg(cells.alias("cells"), (F.count(F.lit(1)) <= F.col("o_size")).alias("by_member"))
+                 .select(F.col("o_comp").alias("of"), "cells", "by_member"))
+
+        def cell(split: Column, key: str) -> Column:
+            """The cells of a row: one by its hash, if its side is split, else all."""
+            every = F.sequence(F.lit(0), F.col("cells") - 1)
+            return F.explode(F.when(split, F.array(F.pmod(F.xxhash64(key), F.col("cells")).cast("int"))).otherwise(every))
+
+        x = (asked.join(dealt, F.col("o_comp") == F.col("of")).select("rep", "o_comp", cell(~F.col("by_member"), "rep").alias("cell"))
+             .join(member.select("rep", *SKETCH, "n"), "rep").join(sets, "rep"))
         y = (member.select(F.col("rep").alias("m_rep"), "comp", *[F.col(c).alias("m_" + c) for c in (*SKETCH, "n")])
-             .join(asked.select(F.col("o_comp").alias("comp")).distinct(), "comp", "left_semi")
-             .join(sets.select(F.col("rep").alias("m_rep"), F.col("items").alias("m_items")), "m_rep").drop("m_rep"))
-        more = self.keep(x.join(y, (F.col("o_comp") == F.col("comp")) & _close("", "m_", self.percent)
+             .join(dealt, F.col("comp") == F.col("of"))
+             .join(sets.select(F.col("rep").alias("m_rep"), F.col("items").alias("m_items")), "m_rep")
+             .select("comp", *["m_" + c for c in (*SKETCH, "n", "items")], cell(F.col("by_member"), "m_rep").alias("m_cell")))
+        more = self.keep(x.join(y, (F.col("o_comp") == F.col("comp")) & (F.col("cell") == F.col("m_cell")) & _close("", "m_", self.percent)
                                 & _similar("items", "m_items", self.percent), "left_semi")
-                         .select(F.col("rep").alias("a"), F.col("o_comp").alias("b")), "more")
+                         .select(F.col("rep").alias("a"), F.col("o_comp").alias("b")).distinct(), "more")
         if more.isEmpty():
             return comps
         comps, comps_at = components(links.unionByName(more))

@@ -132,3 +132,22 @@ def test_components_against_union_find(spark):
     linked = {v for a, b in links if a != b for v in (a, b)}
     assert got == {v: root(v) for v in linked}
     assert components(spark.createDataFrame([], "a bigint, b bigint"))[0].count() == 0
+
+
+def test_large_components_are_asked_in_several_tasks(spark, monkeypatch):
+    # Cells of two comparisons: both sides of the last confirmation are dealt and copied.
+    monkeypatch.setattr(path_join, "COMPARED", 2)
+    rows = corpus(4, groups=6, copies=25, words=40, edits=5)
+    assert found(docs(spark, rows), 2) == brute(rows, 2)
+
+
+def test_filter_before_a_join_loses_nothing(spark):
+    from blotter.llm.common import likely_in
+
+    wanted = list(range(-500, 40000, 7))
+    rows = spark.range(-1000, 60000).selectExpr("id AS k", "id AS llm_id").union(spark.sql("SELECT CAST(NULL AS BIGINT), 1"))
+    left = likely_in(rows, "k", spark.createDataFrame([(w,) for w in wanted], "w bigint"))
+    assert left.columns == ["k", "llm_id"]
+    got = [r["k"] for r in left.collect() if r["k"] is not None]
+    assert set(wanted) <= set(got) and len(got) == len(set(got)) and len(got) < len(wanted) * 1.2
+    assert likely_in(rows, "k", spark.createDataFrame([], "w bigint")).count() == 0
