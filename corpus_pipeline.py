@@ -46,9 +46,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document, that with the smallest id, of each group of near duplicates."""
     docs = docs.select(*COLUMNS)
     stay = near_duplicates(docs, width=5, percent=80).filter("kept").select(F.col("doc_id").alias("stay_id")).distinct()
-    # Both steps need rows of an id together: one shuffle.
-    return (docs.join(stay, F.col("doc_id").eqNullSafe(F.col("stay_id")), "left_semi")
-                .dropDuplicates(["doc_id", "text"]).select(*COLUMNS))
+    # Both steps need rows of an id together: one shuffle of the texts, which a null-safe join would make two.
+    # No row without an id is a copy.
+    kept = docs.join(stay, F.col("doc_id") == F.col("stay_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(docs.filter("doc_id IS NULL").dropDuplicates(["doc_id", "text"])).select(*COLUMNS)
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
