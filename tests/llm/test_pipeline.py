@@ -1,3 +1,5 @@
+import re
+
 import corpus_pipeline as p
 import public_tokenizers
 from blotter.llm.quality import score_quality
@@ -67,3 +69,22 @@ def test_run_packs_what_the_stages_keep(spark):
     for r in p.run(spark, SMALL).collect():
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + r["length"]
     assert got == want
+
+
+def test_texts_of_kept_rows_are_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(p, "near_duplicates", lambda docs, **_: docs.select("doc_id", (F.coalesce("doc_id", F.lit(1)) != 2).alias("kept")))
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "d"), (None, None), (3, None), (3, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = p.drop_near_copies(spark, docs, "")
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "")
+    assert sorted(got, key=key) == sorted({r for r in rows if r[0] != 2}, key=key)
+    # Only rows without an id are dealt by id and text; the others stay where the join by id left them.
+    assert "SortMergeJoin" in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(doc_id#\d+L, text#\d+", plan)) == 1
