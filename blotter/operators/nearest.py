@@ -8,13 +8,17 @@ on the sphere does. Space is covered by cubic cells; a cell at level m is
 1. The starting level is the coarsest whose fullest cell holds at most
    ``crowd`` sites (counted for all levels in one aggregate).
 2. Occupied cells, not points, look for sites in the 27 cells around them.
-   The k-th smallest *greatest* distance between cell and site bounds every
-   point's k-th nearest. If the bound is within a cell's width, no site
-   outside the block can be nearer and the cell is settled; the others are
-   merged into cells twice as wide and look again. Each round is an
-   equi-join on cells whose k best rows are kept before they are shuffled.
+   Of a cell only the box that its points take up counts: the sphere cuts
+   many cells near a corner, and those would never settle as whole cells.
+   The k-th smallest *greatest* distance between box and site bounds every
+   point's k-th nearest. If the bound is within the box's distance to the
+   end of the block, no site outside can be nearer and the cell is settled;
+   the others are merged into cells twice as wide and look again. Each
+   round is an equi-join on cells whose k best rows are kept before they
+   are shuffled.
 3. A settled cell's candidates are the sites whose *smallest* distance to
-   it is within its bound. They come as arrays of at most ``CHUNK``; a
+   its box is within its bound. They come as arrays of about ``CHUNK``,
+   dealt by key and position, as many sites may have one key; a
    point reads its cell's array in place, and only points whose cell has
    several arrays go through a ranking shuffle.
 
@@ -44,6 +48,7 @@ CHUNK = 256
 SLACK = 1e-9                    # of the radius, 6 mm: more than what distances are rounded by
 DECIMALS = 6
 AXES = ("x", "y", "z")
+BOX = [f"{end}{a}" for a in AXES for end in ("lo", "hi")]
 
 
 def _vector(lat: str, lon: str) -> list[Column]:
@@ -64,21 +69,38 @@ def _coarser(by: int, prefix: str) -> list[Column]:
     return [F.shiftright(f"f{a}", by).alias(f"{prefix}{a}") for a in AXES]
 
 
+def _box() -> list[Column]:
+    """The box that points take up."""
+    return [c for a in AXES for c in (F.min(a).alias(f"lo{a}"), F.max(a).alias(f"hi{a}"))]
+
+
+def _merged() -> list[Column]:
+    """The box that boxes take up."""
+    return [c for a in AXES for c in (F.min(f"lo{a}").alias(f"lo{a}"), F.max(f"hi{a}").alias(f"hi{a}"))]
+
+
 def _squared(to_site: bool, level: int, greatest: bool) -> Column:
-    """The squared distance of the box u and a site, or the box n: the least or the greatest."""
+    """The squared distance of the box lo to hi and a site, or the cell n: the least or the greatest."""
     width, total = 2.0 / 2 ** level, F.lit(0.0)
     for a in AXES:
-        lo = F.col(f"u{a}") * width - 1
+        lo, hi = F.col(f"lo{a}"), F.col(f"hi{a}")
         if not to_site:
-            apart = F.greatest(F.abs(F.col(f"u{a}") - F.col(f"n{a}")) - 1, F.lit(0)) * width
+            cell = F.col(f"n{a}") * width - 1
+            apart = F.greatest(cell - hi, lo - cell - width, F.lit(0.0))
         elif greatest:
-            apart = F.greatest(F.abs(F.col(a) - lo), F.abs(F.col(a) - lo - width))
+            apart = F.greatest(F.abs(F.col(a) - lo), F.abs(F.col(a) - hi))
         else:
-            apart = F.greatest(lo - F.col(a), F.col(a) - lo - width, F.lit(0.0))
+            apart = F.greatest(lo - F.col(a), F.col(a) - hi, F.lit(0.0))
         total = total + apart * apart
     return total
 
 
+def _reach(level: int) -> Column:
+    """How far around the box every site is in one of the 27 cells."""
+    width = 2.0 / 2 ** level
+    return F.least(*[c for a in AXES for c in (F.col(f"lo{a}") + 1 - (F.col(f"u{a}") - 1) * width, (F.col(f"u{a}") + 2) * width - 1 - F.col(f"hi{a}"))])
+
+
 def _around(units: DataFrame, columns: list[str]) -> DataFrame:
     """Every unit with each of the 27 cells around it as nx, ny, nz."""
     steps = F.array(*[F.struct(*[F.lit(s).cast("bigint").alias(a) for s, a in zip((i, j, k), AXES)])
@@ -96,25 +118,26 @@ def _start_level(sites: DataFrame, crowd: int) -> int:
 
 
 def _settle(cells: DataFrame, sites: DataFrame, start: int, k: int) -> list[tuple[int, DataFrame, DataFrame]]:
-    """Per level that settles some: (level, its cells with their bound, the finest cells they settle)."""
+    """Per level that settles some: (level, its cells with their box and bound, the finest cells they settle)."""
     unit, near = [f"u{a}" for a in AXES], [f"n{a}" for a in AXES]
+    whole = [*unit, *BOX]
     out, pending = [], cells
     for level in range(start, -1, -1):
-        by, width = start - level, 2.0 / 2 ** level
-        units = pending.select(*_coarser(by, "u")).distinct()
-        hits = _around(units, unit).join(sites.select(*_coarser(by, "n"), *AXES), near).select(*unit, F.sqrt(_squared(True, level, True)).alias("far"))
+        by = start - level
+        units = pending.groupBy(*_coarser(by, "u")).agg(*_merged())
+        hits = _around(units, whole).join(sites.select(*_coarser(by, "n"), *AXES), near).select(*whole, F.sqrt(_squared(True, level, True)).alias("far"))
         best = hits.withColumn("nth", F.row_number().over(Window.partitionBy(*unit).orderBy("far"))).filter(F.col("nth") <= k)
-        bounds = best.groupBy(*unit).agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("bound"))
+        bounds = best.groupBy(*whole).agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("bound"))
         if level:
-            done = bounds.filter((F.col("n") == k) & (F.col("bound") + SLACK <= width)).select(*unit, "bound")
+            done = bounds.filter((F.col("n") == k) & (F.col("bound") + SLACK <= _reach(level))).select(*whole, "bound")
         else:
             # The widest block holds every site: with fewer than k all of them are near.
-            done = bounds.select(*unit, F.when(F.col("n") == k, F.col("bound")).otherwise(4.0).alias("bound"))
+            done = bounds.select(*whole, F.when(F.col("n") == k, F.col("bound")).otherwise(4.0).alias("bound"))
         done = materialize(done, "nearest-settled")
         named = pending.select("*", *_coarser(by, "u"))
         settled = materialize(named.join(done.select(*unit), unit, "left_semi"), "nearest-cells")
         out.append((level, done, settled))
-        pending = materialize(named.join(done.select(*unit), unit, "left_anti").select(*[f"f{a}" for a in AXES]), "nearest-pending")
+        pending = materialize(named.join(done.select(*unit), unit, "left_anti").select(*[f"f{a}" for a in AXES], *BOX), "nearest-pending")
         if pending.isEmpty():
             break
     return out
@@ -137,10 +160,10 @@ def k_nearest(points: DataFrame, sites: DataFrame, k: int, site_key: str, lat: s
     spots = points.filter(_known(lat, lon)).select(F.col(lat).alias("lat"), F.col(lon).alias("lon")).distinct().select("lat", "lon", *_vector("lat", "lon"))
     spots = materialize(spots.select("*", *[_cell(a, start).alias(f"f{a}") for a in AXES]), "nearest-spots")
     unit, fine = [f"u{a}" for a in AXES], [f"f{a}" for a in AXES]
-    cells = materialize(spots.select(*fine).distinct(), "nearest-pending")
+    cells = materialize(spots.groupBy(*fine).agg(*_box()), "nearest-pending")
     tables, units = [], []
     for level, done, settled in _settle(cells, where, start, k):
-        block = _around(done, [*unit, "bound"]).filter(F.sqrt(_squared(False, level, False)) <= F.col("bound") + SLACK)
+        block = _around(done, [*unit, *BOX, "bound"]).filter(F.sqrt(_squared(False, level, False)) <= F.col("bound") + SLACK)
         found = block.join(where.select("key", *AXES, *_coarser(start - level, "n")), [f"n{a}" for a in AXES])
         found = found.filter(F.sqrt(_squared(True, level, False)) <= F.col("bound") + SLACK)
         tables.append(found.select(F.lit(level).alias("level"), *unit, "key", *AXES))
@@ -151,7 +174,7 @@ def k_nearest(points: DataFrame, sites: DataFrame, k: int, site_key: str, lat: s
         candidates, units_of = candidates.unionByName(t), units_of.unionByName(u)
     candidates = materialize(candidates, "nearest-candidates")
     sizes = candidates.groupBy(*unit).agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
-    arrays = (candidates.join(sizes, unit).withColumn("nth", F.pmod(F.xxhash64("key"), F.col("chunks")))
+    arrays = (candidates.join(sizes, unit).withColumn("nth", F.pmod(F.xxhash64("key", *AXES), F.col("chunks")))
               .groupBy(*unit, "chunks", "nth").agg(F.collect_list(F.struct("key", F.struct(*AXES).alias("at"))).alias("sites")))
     placed = spots.join(units_of, fine).join(arrays, unit)
 

@@ -88,6 +88,40 @@ def test_nearest_without_sites_or_points(spark):
         k_nearest(p, p, 1, "lat")
 
 
+def test_nearest_cells_settle_where_their_sites_are(spark, monkeypatch):
+    # The sphere cuts many cells near a corner: as whole cells they would be merged up to the whole globe.
+    from blotter.operators import nearest
+
+    levels = []
+    settle = nearest._settle
+
+    def seen(*args):
+        out = settle(*args)
+        levels.append([level for level, _, _ in out])
+        return out
+
+    monkeypatch.setattr(nearest, "_settle", seen)
+    at = [(i, 33 + i % 60 * .01, -117 - i // 60 * .01) for i in range(3600)]
+    p = spark.createDataFrame([(i, la + .001, lo + .001) for i, la, lo in at], "id int, lat double, lon double")
+    s = spark.createDataFrame(at, "prec int, y double, x double")
+    out = k_nearest(p, s, 1, "prec", site_lat="y", site_lon="x")
+    assert out.filter("id <> near_key").count() == 0 and out.count() == 3600
+    assert len(levels[0]) <= 3
+
+
+def test_nearest_among_many_sites_of_one_key(spark, monkeypatch):
+    # Arrays of candidates are dealt by more than the key.
+    from blotter.operators import nearest
+
+    longest = []
+    collected = nearest.F.collect_list
+    monkeypatch.setattr(nearest.F, "collect_list", lambda c: longest.append(1) or nearest.F.when(nearest.F.count(nearest.F.lit(1)) <= 64, collected(c)))
+    r = random.Random(9)
+    sites = [(1, 34 + r.uniform(0, 1e-6), -118 + r.uniform(0, 1e-6)) for _ in range(600)]
+    check_nearest(spark, [(1, 34.0, -118.0), (2, 34.1, -118.0)], sites, 1, chunk=16)
+    assert longest
+
+
 # --- intervals ----------------------------------------------------------
 
 def moment(r, days=20):
