@@ -1,6 +1,8 @@
 """Gaps and islands: runs of a key's rows no more than a gap apart.
 
-Rows of one key and time are counted first. Within a key and time bucket a
+Rows of one key and time are counted first, and these counts written: what
+follows reads them twice, and a filter on a bucket would else be computed
+from each row's time before the count. Within a key and time bucket a
 row's predecessor is the one before it; the first row's is the last of the
 bucket before that has rows, carried in a table of one row per key and
 bucket, as is the number of runs begun so far. So a key that holds most of
@@ -12,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .intervals import _all_known
 from .times import seconds
 
@@ -23,8 +26,8 @@ def islands(df: DataFrame, on: list[str], at: str, gap: int, bucket: int = 30 *
     are the first and last time of the run, ``n`` its rows. Rows with a null
     key or time belong to no run.
     """
-    times = (_all_known(df, [at, *on]).select(*on, F.col(at).alias("_at"), seconds(df, at).alias("_s")).groupBy(*on, "_at", "_s").agg(F.count(F.lit(1)).alias("_n"))
-             .withColumn("_bucket", F.floor(F.col("_s") / bucket)))
+    counted = materialize(df.groupBy(*on, F.col(at).alias("_at")).agg(F.count(F.lit(1)).alias("_n")), "islands-times")
+    times = _all_known(counted, ["_at", *on]).withColumn("_s", seconds(counted, "_at")).withColumn("_bucket", F.floor(F.col("_s") / bucket))
     here = Window.partitionBy(*on, "_bucket").orderBy("_at")
     inner = times.withColumn("_last", F.lag("_s").over(here))
     begins = F.col("_s") - F.col("_last") > gap

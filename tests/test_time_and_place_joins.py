@@ -225,3 +225,17 @@ def test_islands_with_nine_tenths_in_one_area(spark, bucket):
     df = spark.createDataFrame(data, "id int, area int, t timestamp_ntz")
     assert rows(islands(df, ["area"], "t", gap, bucket)) == want
     assert islands(df.limit(0), ["area"], "t", gap).count() == 0
+
+
+def test_islands_read_each_time_once(spark):
+    # A costly time is computed once a row, not again in every filter and bucket made of it.
+    read = spark.sparkContext.accumulator(0)
+
+    def text(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(i % 3, DAY + dt.timedelta(hours=i)) for i in range(90)], "area int, t timestamp_ntz").mapInArrow(text, "area int, t timestamp_ntz")
+    assert sum(r["n"] for r in islands(df, ["area"], "t", 86400).collect()) == 90
+    assert read.value == 90
