@@ -172,6 +172,17 @@ def test_overlapping_intervals(spark):
     assert rows(overlap_join(a, b, "ls", "le", "rs", "re", ["area"]).select("l", "r")) == want
 
 
+def test_the_interval_query_parses_each_time_once(spark, tmp_path):
+    from blotter.plans.extended import join_interval
+
+    ntz = "timestamp_ntz'1996-01-02 00:00:00'"
+    spark.sql(f"SELECT id AS o_orderkey, id AS o_custkey, {ntz} AS o_orderdate, 'x' AS o_orderpriority FROM range(1, 20)").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql(f"SELECT id AS l_orderkey, 1 AS l_linenumber, id AS l_suppkey, 36 AS l_partkey, 5.0D AS l_quantity, {ntz} AS l_shipdate FROM range(1, 20)").write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = join_interval(spark, str(tmp_path))
+    assert "gettimestamp" not in plan(out).lower()
+    assert rows(out) == Counter({(i, i % 27 + 1, i * 10 + 1): 1 for i in range(1, 20)})
+
+
 # --- as-of --------------------------------------------------------------
 
 @pytest.mark.parametrize("same_time,max_age", [(True, None), (False, None), (True, 3 * 86400)])
