@@ -187,15 +187,19 @@ def _named(df: DataFrame, prefix: str, *cols: str) -> DataFrame:
 
 
 class _Join:
-    """One run: classes, its final nodes, and what is confirmed so far."""
+    """One run: classes, its final nodes, and what is confirmed so far.
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, width: int, percent: int, trees: int, max_depth: int,
+    ``signed`` has the classes with their signatures and is written at
+    ``signed_at``, which is deleted once the nodes are known.
+    """
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, signed: DataFrame, signed_at: str, width: int, percent: int, trees: int, max_depth: int,
                  id_col: str, text_col: str):
         self.spark: SparkSession = docs.sparkSession
-        self.docs, self.classes = docs, classes
+        self.docs, self.classes, self.signed = docs, classes, signed
         self.width, self.percent, self.trees, self.max_depth = width, percent, trees, max_depth
         self.id_col, self.text_col = id_col, text_col
-        self.made: list[str] = []
+        self.made = [signed_at]
         self._sets: DataFrame | None = None
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -205,15 +209,16 @@ class _Join:
 
     def nodes(self) -> DataFrame:
         """(path, rep, *SKETCH, n, centre) of the members of all final nodes that have two or more."""
-        frontier = _branch(self.classes.select("rep", "minwise"), self.trees, FIRST_DEPTH)
-        sketch = self.classes.select("rep", *SKETCH, "n")
+        signed = self.signed.select("rep", "minwise", *SKETCH, "n")
+        frontier = _branch(signed.select("rep", "minwise"), self.trees, FIRST_DEPTH)
         final: list[DataFrame] = []
         for depth in range(FIRST_DEPTH, self.max_depth + 1):
-            # Dealt by path once, for the sizes and for the join with them.
-            frontier = frontier.repartition("path")
+            # Dealt by path once, for the sizes and for the join with them: the join's own filters (nothing is null) would make a second shuffle.
+            frontier = frontier.filter("path is not null and rep is not null").repartition("path")
             pick = F.xxhash64("path", "rep")
             sizes = frontier.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min(pick).alias("centre")).filter("size > 1")
-            live = self.keep(frontier.join(sizes, "path").withColumn("centre", pick == F.col("centre")).join(sketch, "rep"), "nodes")
+            live = self.keep(frontier.join(sizes, "path").withColumn("centre", pick == F.col("centre"))
+                             .join(signed.select("rep", *SKETCH, "n"), "rep"), "nodes")
             if depth == self.max_depth:
                 final.append(live)
                 break
@@ -227,7 +232,10 @@ class _Join:
                 break
             final.append(live.join(loose, "path", "left_anti"))
             parted = live.join(loose, "path", "left_semi").select("path", "rep")
-            frontier = _branch(parted.join(likely_in(self.classes.select("rep", "minwise"), "rep", parted.select("rep")), "rep"))
+            if depth == FIRST_DEPTH:
+                # The classes that any deeper node can have.
+                signed = self.keep(likely_in(signed, "rep", parted.select("rep")), "parted")
+            frontier = _branch(parted.join(signed.select("rep", "minwise"), "rep"))
         out = final[0]
         for f in final[1:]:
             out = out.unionByName(f)
@@ -252,7 +260,7 @@ class _Join:
 
     def confirmed(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) whose full sets are similar enough."""
-        sets = self.sets(nodes)
+        sets = likely_in(self.sets(nodes), "rep", pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))))
         left = sets.select(F.col("rep").alias("a"), F.col("items").alias("ia"))
         right = sets.select(F.col("rep").alias("b"), F.col("items").alias("ib"))
         return (pairs.select("a", "b").join(right, "b").join(left, "a")
@@ -261,25 +269,29 @@ class _Join:
     def components(self) -> DataFrame:
         """(node, component) of the classes that are linked to another; the component is its smallest class."""
         nodes = self.keep(self.nodes(), "final")
+        # No later step reads signatures or the nodes on the way.
+        remove(self.spark, *self.made[:-1])
+        del self.made[:-1]
         # 1. Each class and the best centre among its nodes.
         star = (nodes.filter(~F.col("centre")).join(_named(nodes.filter("centre"), "c_", "rep", *SKETCH, "n"), "path")
                 .filter(_close("", "c_", self.percent)).groupBy(F.col("rep").alias("a"))
                 .agg(F.min(F.struct(_differing("", "c_").alias("d"), F.col("c_rep").alias("b"))).alias("best"))
                 .select("a", "best.b"))
-        links = self.keep(self.confirmed(star, nodes), "star")
+        links = self.keep(self.confirmed(self.keep(star, "best"), nodes), "star")
         comps, comps_at = components(links)
         self.made.append(comps_at)
+        release(self.spark)
 
         # 2. Classes in a node with a class of another component, and that component; asked from the smaller's side.
         size = comps.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-        member = self.keep(self.classes.select("rep", *SKETCH, "n").join(comps.join(size, "component").withColumnRenamed("node", "rep"), "rep", "left")
+        sketched = likely_in(self.classes.select("rep", *SKETCH, "n"), "rep", nodes.select("rep"))
+        member = self.keep(sketched.join(comps.join(size, "component").withColumnRenamed("node", "rep"), "rep", "left")
                            .select("rep", *SKETCH, "n", F.coalesce("component", "rep").alias("comp"), F.coalesce("size", F.lit(1)).alias("size")), "members")
-        placed = nodes.select("path", "rep").join(member, "rep")
-        mixed = placed.groupBy("path").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("path")
-        placed = self.keep(placed.join(mixed, "path"), "in-mixed")
+        where = nodes.select("path", "rep").join(member.select("rep", "comp"), "rep")
+        mixed = where.groupBy("path").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("path")
         # A class is in a bounded number of nodes; two that share several are paired in the first of them only.
-        paths = placed.groupBy("rep").agg(F.collect_list("path").alias("paths"))
-        placed = self.keep(placed.join(paths, "rep"), "mixed")
+        paths = where.join(mixed, "path").groupBy("rep").agg(F.collect_list("path").alias("paths"))
+        placed = self.keep(member.join(paths, "rep").withColumn("path", F.explode("paths")), "mixed")
         smaller = (F.col("size") < F.col("o_size")) | ((F.col("size") == F.col("o_size")) & (F.col("comp") < F.col("o_comp")))
         single = _named(placed.filter("size = 1"), "o_", *SKETCH, "n", "comp", "size", "paths")
         once = F.array_min(F.array_intersect("paths", "o_paths")) == F.col("path")
@@ -294,11 +306,14 @@ class _Join:
                  .distinct())
         asked = self.keep(asked, "asked")
         # A link to any member joins the two; the sets are compared within the join, so no pairs are made.
-        sets = self.sets(nodes)
         cells = F.ceil(F.count(F.lit(1)) * F.col("o_size") / COMPARED).cast("int")
         dealt = (asked.groupBy("o_comp", "o_size").agg(cells.alias("cells"), (F.count(F.lit(1)) <= F.col("o_size")).alias("by_member"))
                  .select(F.col("o_comp").alias("of"), "cells", "by_member"))
 
+        of_asked = member.join(dealt.select("of"), F.col("comp") == F.col("of"), "left_semi").select("rep")
+        release(self.spark)
+        sets = likely_in(self.sets(nodes), "rep", asked.select("rep").unionByName(of_asked))
+
         def cell(split: Column, key: str) -> Column:
             """The cells of a row: one by its hash, if its side is split, else all."""
             every = F.sequence(F.lit(0), F.col("cells") - 1)
@@ -327,21 +342,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: i
     ``trees`` is as many as ``percent`` needs, if not given.
     """
     trees = trees or trees_for(percent, max_depth)
-    every, every_at = write_table(set_table(docs, width, id_col, text_col), "near-docs")
+    every, wide_at = write_table(set_table(docs, width, id_col, text_col), "near-docs")
     whole = every.filter(F.col("set_id").isNotNull() & F.col(id_col).isNotNull())
     # One class per distinct set; copies collapse in the map-side part of this aggregation.
-    classes, classes_at = write_table(whole.groupBy("set_id").agg(F.min(F.struct(
+    signed, signed_at = write_table(whole.groupBy("set_id").agg(F.min(F.struct(
         F.col(id_col).cast("bigint").alias("rep"), "minwise", *SKETCH, F.col("n_shingles").alias("n"))).alias("c"))
-        .select("set_id", "c.*"), "near-classes")
-    run = _Join(docs, classes.drop("set_id"), width, percent, trees, max_depth, id_col, text_col)
+        .select("set_id", "c.*"), "near-signed")
+    # Signatures are most of both tables; what is read to the end is written without them.
+    every, every_at = write_table(every.drop("minwise", *SKETCH), "near-rows")
+    classes, classes_at = write_table(signed.drop("minwise"), "near-classes")
+    remove(docs.sparkSession, wide_at)
+    release(docs.sparkSession)
+    run = _Join(docs, classes.drop("set_id"), signed, signed_at, width, percent, trees, max_depth, id_col, text_col)
     comps = run.components()
     named = (classes.select("set_id", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
              .select("set_id", F.coalesce("component", "rep").alias("component")))
     # Few distinct sets hold many rows each, at most: a join that may split the rows of one.
-    out = (every.drop("minwise", *SKETCH).join(named, "set_id", "left")
+    out = (every.join(named, "set_id", "left")
            .select(id_col, "n_shingles", F.when(F.col(id_col).isNotNull(), F.coalesce("component", F.col(id_col).cast("bigint"))).alias("component_id")))
     out, _ = write_table(out.withColumn("kept", F.col(id_col).cast("bigint").eqNullSafe(F.col("component_id"))), "near-result")
     remove(docs.sparkSession, every_at, classes_at, *run.made)
-    del every, whole, classes, run, comps, named
+    del every, whole, signed, classes, run, comps, named
     release(docs.sparkSession)
     return out

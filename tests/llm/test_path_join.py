@@ -151,3 +151,29 @@ def test_filter_before_a_join_loses_nothing(spark):
     got = [r["k"] for r in left.collect() if r["k"] is not None]
     assert set(wanted) <= set(got) and len(got) == len(set(got)) and len(got) < len(wanted) * 1.2
     assert likely_in(rows, "k", spark.createDataFrame([], "w bigint")).count() == 0
+
+
+def test_wide_columns_are_neither_kept_nor_moved_longer_than_read(spark, monkeypatch):
+    # Signatures are deleted once the nodes are known; of the full sets only those compared are shuffled.
+    written, plans = {}, {}
+    write, drop = path_join.write_table, path_join.remove
+
+    def writing(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        if name in ("near-best", "near-sets", "near-asked", "near-more"):
+            assert not [n for n, columns in written.values() if "minwise" in columns], name
+        table, at = write(df, name)
+        written[at] = name, df.columns
+        return table, at
+
+    def removing(session, *paths):
+        for p in paths:
+            written.pop(p, None)
+        drop(session, *paths)
+
+    monkeypatch.setattr(path_join, "write_table", writing)
+    monkeypatch.setattr(path_join, "remove", removing)
+    rows = corpus(4, groups=6, copies=25, words=40, edits=5)
+    assert found(docs(spark, rows), 2) == brute(rows, 2)
+    assert "near-best" in plans and all("llm_word" in plans[n] for n in ("near-star", "near-more", "near-members"))
+    assert [n for n, _ in written.values()] == ["near-result"]
