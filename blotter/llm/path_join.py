@@ -296,10 +296,17 @@ class _Join:
         single = _named(placed.filter("size = 1"), "o_", *SKETCH, "n", "comp", "size", "paths")
         once = F.array_min(F.array_intersect("paths", "o_paths")) == F.col("path")
         group = placed.filter("size > 1").drop("paths")
-        groups = _named(group.select("path", "comp", "size").distinct(), "o_", "comp", "size")
+        # A component's members in a node lie in a ball about one of them: those whose distance to that one is too large are near none.
+        middle = (group.groupBy("path", "comp", "size").agg(F.min(F.struct("rep", *SKETCH)).alias("m"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+                  .select("path", "comp", "size", "m.*", "lo", "hi"))
+        reach = (group.join(_named(middle, "c_", "comp", *SKETCH), ["path"]).filter(F.col("comp") == F.col("c_comp"))
+                 .groupBy("path", "comp").agg(F.max(_differing("", "c_")).alias("reach")))
+        groups = _named(middle.join(reach, ["path", "comp"]), "o_", "comp", "size", *SKETCH, "lo", "hi", "reach")
+        in_reach = ((F.col("n") * 100 >= F.col("o_lo") * self.percent) & (F.col("o_hi") * 100 >= F.col("n") * self.percent)
+                    & (_differing("", "o_") <= sketch_near(self.percent) + F.col("o_reach")))
         asked = (placed.join(single, "path").filter(smaller & _close("", "o_", self.percent) & once).select("rep", "o_comp", "o_size")
                  .unionByName(
-                     placed.drop("paths").join(groups, "path").filter(smaller)
+                     placed.drop("paths").join(groups, "path").filter(smaller & in_reach)
                      .join(group.select(F.col("path").alias("at"), *[F.col(c).alias("m_" + c) for c in ("comp", *SKETCH, "n")]),
                            (F.col("path") == F.col("at")) & (F.col("o_comp") == F.col("m_comp")) & _close("", "m_", self.percent), "left_semi")
                      .select("rep", "o_comp", "o_size"))
