@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remove, write_table
+from .common import release, remove, write_table
 
 
 def components(links: DataFrame) -> tuple[DataFrame, str]:
@@ -45,6 +45,7 @@ def components(links: DataFrame) -> tuple[DataFrame, str]:
         old.append(edges_at)
         edges, edges_at = write_table(edges.join(left, "a").join(right, "b").filter("ea <> eb")
                                       .select(F.col("ea").alias("a"), F.col("eb").alias("b")).distinct(), "cc-edges")
+        release(spark)
     old.append(edges_at)
     if found is None:
         found = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -236,6 +236,7 @@ class _Join:
                 # The classes that any deeper node can have.
                 signed = self.keep(likely_in(signed, "rep", parted.select("rep")), "parted")
             frontier = _branch(parted.join(signed.select("rep", "minwise"), "rep"))
+            release(self.spark)
         out = final[0]
         for f in final[1:]:
             out = out.unionByName(f)
@@ -267,8 +268,9 @@ class _Join:
                 .filter(_similar("ia", "ib", self.percent)).select("a", "b").distinct())
 
     def components(self) -> DataFrame:
-        """(node, component) of the classes that are linked to another; the component is its smallest class."""
+        """(node, component) of the classes that are linked to another, and of some that are not; the component is its smallest class."""
         nodes = self.keep(self.nodes(), "final")
+        release(self.spark)
         # No later step reads signatures or the nodes on the way.
         remove(self.spark, *self.made[:-1])
         del self.made[:-1]
@@ -280,7 +282,6 @@ class _Join:
         links = self.keep(self.confirmed(self.keep(star, "best"), nodes), "star")
         comps, comps_at = components(links)
         self.made.append(comps_at)
-        release(self.spark)
 
         # 2. Classes in a node with a class of another component, and that component; asked from the smaller's side.
         size = comps.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
@@ -292,6 +293,7 @@ class _Join:
         # A class is in a bounded number of nodes; two that share several are paired in the first of them only.
         paths = where.join(mixed, "path").groupBy("rep").agg(F.collect_list("path").alias("paths"))
         placed = self.keep(member.join(paths, "rep").withColumn("path", F.explode("paths")), "mixed")
+        release(self.spark)
         smaller = (F.col("size") < F.col("o_size")) | ((F.col("size") == F.col("o_size")) & (F.col("comp") < F.col("o_comp")))
         single = _named(placed.filter("size = 1"), "o_", *SKETCH, "n", "comp", "size", "paths")
         once = F.array_min(F.array_intersect("paths", "o_paths")) == F.col("path")
@@ -337,9 +339,12 @@ class _Join:
                          .select(F.col("rep").alias("a"), F.col("o_comp").alias("b")).distinct(), "more")
         if more.isEmpty():
             return comps
-        comps, comps_at = components(links.unionByName(more))
-        self.made.append(comps_at)
-        return comps
+        # Only these links join components, so no link within one is followed again.
+        merged, merged_at = components(more.join(member.select(F.col("rep").alias("a"), "comp"), "a").select(F.col("comp").alias("a"), "b").distinct())
+        self.made.append(merged_at)
+        # Classes may share an id (rows that repeat one with another text).
+        return (member.select(F.col("rep").alias("node"), "comp").distinct().join(merged.withColumnRenamed("node", "comp"), "comp", "left")
+                .select("node", F.coalesce("component", "comp").alias("component")))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int | None = None, max_depth: int = 10,

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-PART_BYTES = 1 << 21            # bytes worked on at once: what bounds memory
+PART_BYTES = 1 << 19            # bytes worked on at once: what bounds memory
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 # ASCII white space (space, and 0x09 to 0x0D).

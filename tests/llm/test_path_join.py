@@ -177,3 +177,53 @@ def test_wide_columns_are_neither_kept_nor_moved_longer_than_read(spark, monkeyp
     assert found(docs(spark, rows), 2) == brute(rows, 2)
     assert "near-best" in plans and all("llm_word" in plans[n] for n in ("near-star", "near-more", "near-members"))
     assert [n for n, _ in written.values()] == ["near-result"]
+
+
+def test_only_links_between_components_are_followed_again(spark, monkeypatch):
+    # The driver had to run all rounds over all links twice.
+    asked, follow = [], path_join.components
+
+    def following(links):
+        asked.append({(r["a"], r["b"]) for r in links.collect()})
+        return follow(links)
+
+    monkeypatch.setattr(path_join, "components", following)
+    rows = corpus(4, groups=6, copies=25, words=40, edits=5)
+    assert found(docs(spark, rows), 2) == brute(rows, 2)
+    first, again = asked
+    roots = {v["component"] for v in follow(spark.createDataFrame(sorted(first), "a bigint, b bigint"))[0].collect()}
+    linked = {x for link in first for x in link}
+    assert again and not again & first and len(again) < len(first)
+    assert all(x in roots or x not in linked for link in again for x in link)
+
+
+def test_ids_shared_by_several_texts_stay_single_rows(spark):
+    rows = corpus(5, groups=4, copies=20, words=40, edits=5)
+    rows += [(i, t + " and more") for i, t in rows[::4]]
+    got = near_duplicates(docs(spark, rows), width=2).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(i for i, _ in rows)
+
+
+def test_listings_of_written_tables_are_not_cached(spark, monkeypatch):
+    from blotter.llm import common
+    from pyspark.sql import DataFrameReader
+
+    seen, read = [], DataFrameReader.parquet
+    before = spark.conf.get(common.LISTINGS)
+
+    def reading(self, *paths, **options):
+        seen.append(spark.conf.get(common.LISTINGS))
+        return read(self, *paths, **options)
+
+    monkeypatch.setattr(DataFrameReader, "parquet", reading)
+    table, at = common.write_table(spark.range(10), "listed")
+    assert seen == ["0"] and spark.conf.get(common.LISTINGS) == before
+    assert table.count() == 10
+    common.remove(spark, at)
+
+
+def test_words_are_worked_on_in_parts_of_half_a_megabyte():
+    # Each part takes some forty times its bytes, in each worker, and the tables of powers sixteen.
+    from blotter.llm import words
+
+    assert words.PART_BYTES <= 1 << 19 and words._powers(words.PART_BYTES + 1)[0].nbytes < 1 << 23
