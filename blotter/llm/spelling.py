@@ -90,16 +90,18 @@ def near_words(words: DataFrame, crowded: int = CROWDED) -> DataFrame:
 
     ``words`` is read several times: pass a written table. The crowded
     reduced words, at most (words / ``crowded``) of them, are broadcast.
+    Neighbourhoods never are: Spark sizes them as the words they are made
+    of, without the rows that ``explode`` adds, so their joins are hinted.
     """
     keyed = words.select("word", "n", reduced(F.col("word")).alias("key"))
     crowds = F.broadcast(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") > crowded).select("key"))
     around = keyed.select("word", F.explode(neighbourhood(F.col("key"), SYMBOLS)).alias("key"))
     sparse = keyed.join(crowds, "key", "left_anti").select("key", F.col("word").alias("near"), F.col("n").alias("near_n"))
-    found = around.join(sparse, "key").filter(F.levenshtein("word", "near", 1) == 1).select("word", "near", "near_n")
+    found = around.hint("merge").join(sparse, "key").filter(F.levenshtein("word", "near", 1) == 1).select("word", "near", "near_n")
     touching = around.join(crowds, "key", "left_semi").select("word").distinct()
     spelled = touching.select("word", F.explode(neighbourhood(F.col("word"), LETTERS)).alias("near"))
     spelled = spelled.filter("near <> word").withColumn("key", reduced(F.col("near"))).join(crowds, "key", "left_semi")
-    exact = spelled.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near").select("word", "near", "near_n")
+    exact = spelled.hint("merge").join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near").select("word", "near", "near_n")
     return found.unionByName(exact)
 
 
@@ -116,19 +118,21 @@ def with_roots(grouped: DataFrame) -> DataFrame:
     """``grouped`` with ``root``: the end of the chain of forms, or the word itself.
 
     Counts grow fivefold at each step, so chains are short; pointers are
-    doubled until none moves. ``grouped`` must be a written table.
+    doubled until none moves. ``grouped`` must be a written table. The joins
+    are hinted: Spark sizes a table by its compressed files, a few times
+    smaller than what a broadcast would hold in the driver.
     """
     spark = grouped.sparkSession
     # Only words with a form can be passed through.
     jumps, at = write_table(grouped.filter("form IS NOT NULL").select("word", F.col("form").alias("root")), "spelling-jumps")
     while True:
         onward = jumps.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        moved, moved_at = write_table(jumps.join(onward, "root", "left").select("word", F.coalesce("further", "root").alias("root"),
+        moved, moved_at = write_table(jumps.join(onward.hint("merge"), "root", "left").select("word", F.coalesce("further", "root").alias("root"),
                                                                               F.col("further").isNotNull().alias("moved")), "spelling-jumps")
         remove(spark, at)
         jumps, at = moved.select("word", "root"), moved_at
         if moved.filter("moved").isEmpty():
-            out, _ = write_table(grouped.join(jumps, "word", "left").select(*grouped.columns, F.coalesce("root", "word").alias("root")), "spelling-roots")
+            out, _ = write_table(grouped.join(jumps.hint("merge"), "word", "left").select(*grouped.columns, F.coalesce("root", "word").alias("root")), "spelling-roots")
             remove(spark, at)
             return out
 

@@ -122,3 +122,21 @@ def test_no_python_in_the_plan(spark):
     words = spelling.vocabulary(spelling.runs(docs(spark, AWKWARD)))
     plan = spelling.near_words(words)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_only_the_crowded_words_are_broadcast(spark, tmp_path, monkeypatch):
+    # Spark sizes a neighbourhood as the few words it is made of, and would broadcast its many rows.
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    spark.createDataFrame([(w, n) for w, n in (("summer", 900), ("sumer", 7), ("summers", 20), ("winter", 50))], "word string, n bigint").write.parquet(f"{tmp_path}/words")
+    words = spark.read.parquet(f"{tmp_path}/words")
+    plan = plan_of(spelling.near_words(words))
+    assert plan.count("SortMergeJoin") == 2
+    joins = re.findall("BroadcastHashJoin .*", plan)
+    assert joins and all("LeftAnti, BuildRight" in j or "LeftSemi, BuildRight" in j for j in joins)
+
+    written, write = [], spelling.write_table
+    monkeypatch.setattr(spelling, "write_table", lambda df, name: written.append(plan_of(df)) or write(df, name))
+    grouped, _ = write(spelling.forms(words, spelling.near_words(words)), "grouped")
+    roots = {r["word"]: r["root"] for r in spelling.with_roots(grouped).collect()}
+    assert roots == {"summer": "summer", "sumer": "summer", "summers": "summer", "winter": "winter"}
+    assert sum("SortMergeJoin" in p for p in written) >= 2 and not any("BroadcastHashJoin" in p for p in written)
