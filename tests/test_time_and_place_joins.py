@@ -183,6 +183,43 @@ def test_the_interval_query_parses_each_time_once(spark, tmp_path):
     assert rows(out) == Counter({(i, i % 27 + 1, i * 10 + 1): 1 for i in range(1, 20)})
 
 
+def shuffled(df):
+    """The rows that each shuffle by salt wrote, once ``df`` has run."""
+    df.collect()
+    out, nodes = [], [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        n = nodes.pop()
+        kind = n.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            nodes.append(n.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            nodes.append(n.plan())
+        else:
+            if kind == "ShuffleExchangeExec" and any(c in n.outputPartitioning().toString() for c in ("_salt#", "_copy#")):
+                out.append(n.metrics().apply("shuffleRecordsWritten").value())
+            nodes += [n.children().apply(i) for i in range(n.children().size())]
+    return out
+
+
+def test_few_copies_of_intervals_are_shuffled(spark):
+    # Copies in bins take disk: an interval has two at most, whatever its length.
+    hours = lambda n: DAY + dt.timedelta(hours=n)
+    for long in (3, 10, 40, 200):
+        p = spark.createDataFrame([(i, 1, hours(i * 5)) for i in range(300)], "id int, area int, t timestamp_ntz")
+        s = spark.createDataFrame([(i, 1, hours(i * 5 + 1), hours(i * 5 + 1 + long)) for i in range(300)], "period int, area int, a timestamp_ntz, b timestamp_ntz")
+        points, periods = sorted(shuffled(interval_join(p, s, "t", "a", "b", ["area"])))
+        assert points == 300 and periods <= 600
+
+
+def test_exploded_intervals_are_not_broadcast(spark, tmp_path):
+    # Spark sizes written rows without the copies that explode adds.
+    s = spark.createDataFrame([(i, DAY, DAY + dt.timedelta(hours=i % 9)) for i in range(60)], "period int, a timestamp_ntz, b timestamp_ntz")
+    s.write.parquet(f"{tmp_path}/s")
+    s = spark.read.parquet(f"{tmp_path}/s")
+    for out in (interval_join(s.select("period", "a"), s.toDF("other", "c", "d"), "a", "c", "d"), overlap_join(s, s.toDF("other", "c", "d"), "a", "b", "c", "d")):
+        assert "SortMergeJoin" in plan(out)
+
+
 # --- as-of --------------------------------------------------------------
 
 @pytest.mark.parametrize("same_time,max_age", [(True, None), (False, None), (True, 3 * 86400)])
