@@ -211,6 +211,31 @@ def test_few_copies_of_intervals_are_shuffled(spark):
         assert points == 300 and periods <= 600
 
 
+def test_each_side_of_an_overlap_is_shuffled_once(spark):
+    hours = lambda n: DAY + dt.timedelta(hours=n)
+    a = spark.createDataFrame([(i, hours(i * 5), hours(i * 5 + 3)) for i in range(300)], "l int, ls timestamp, le timestamp")
+    b = spark.createDataFrame([(i, hours(i * 5 + 1), hours(i * 5 + 26)) for i in range(300)], "r int, rs timestamp, re timestamp")
+    sides = shuffled(overlap_join(a, b, "ls", "le", "rs", "re"))
+    assert len(sides) == 2 and sum(sides) <= 300 * 4 + 300 * 2
+
+
+@pytest.mark.parametrize("salt", [1_000_000, 20])
+def test_overlaps_of_short_and_long(spark, salt):
+    # Every bin and salt gives a pair at most once, whichever side is longer or starts first.
+    r = random.Random(11)
+    some = lambda n: [(i, r.choice([1, 1, 1, 2, None]), s := r.uniform(-500, 500), s + 4 ** r.uniform(-2, 6) * r.choice([1, 1, 1, -1])) for i in range(n)]
+    left, right = some(250), some(250)
+    left += [(900, 1, -64.0, 0.0), (901, 1, 0.0, 64.0), (902, 1, 5.0, 5.0), (903, 1, None, 5.0)] * 2
+    right += [(900, 1, -64.0, 0.0), (901, 1, 0.0, 64.0), (902, 1, 5.0, 5.0), (903, 1, 5.0, None)] * 2
+    a = spark.createDataFrame(left, "l int, area int, ls double, le double")
+    b = spark.createDataFrame(right, "r int, area int, rs double, re double")
+    want = Counter((i, x, j) for i, x, s, e in left for j, y, t, f in right if x == y is not None and None not in (s, t, e, f) and s < e and t < f and s < f and t < e)
+    got = overlap_join(a, b, "ls", "le", "rs", "re", ["area"], width=1, rows_per_salt=salt)
+    assert got.columns == ["l", "area", "ls", "le", "r", "rs", "re"] and not refused(got)
+    assert rows(got.select("l", "area", "r")) == want
+    assert overlap_join(a.limit(0), b, "ls", "le", "rs", "re", ["area"]).count() == 0 == overlap_join(a, b.limit(0), "ls", "le", "rs", "re", ["area"]).count()
+
+
 def test_exploded_intervals_are_not_broadcast(spark, tmp_path):
     # Spark sizes written rows without the copies that explode adds.
     s = spark.createDataFrame([(i, DAY, DAY + dt.timedelta(hours=i % 9)) for i in range(60)], "period int, a timestamp_ntz, b timestamp_ntz")
